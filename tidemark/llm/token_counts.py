@@ -7,7 +7,7 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import map_rows, shared_folder, table
+from .common import map_rows, shared_folder, stored, table
 
 TOKENIZER = "byte_bpe_50k.json"
 CACHE_SCHEMA = "content string, tokenizer string, n_tokens long"
@@ -76,7 +76,8 @@ def cached_token_counts(
         return {"content": content, "tokenizer": [version] * len(text), "n_tokens": counter(path)(text)}
 
     map_rows(missing, encode, CACHE_SCHEMA, encode_rows).write.mode("append").parquet(cache)
-    known = read_cache(spark, cache, version)
+    # written once more, one row for a digest: the join below then has bare exchanges, of which a hot one can be split
+    known = stored(read_cache(spark, cache, version), "token-counts-read")
     counted = docs.select("doc_id", "content", F.octet_length("text").cast("long").alias("n_bytes")).join(known, "content")
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
 
