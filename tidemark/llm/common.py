@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import os
 import tempfile
 import uuid
@@ -47,16 +50,33 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 def map_rows(df: DataFrame, fn: Callable[..., dict], schema: str, slice_rows: int = 256) -> DataFrame:
     """``mapInArrow`` in slices: ``fn(columns as lists by name) -> columns as lists``."""
     out_schema = pa_schema(schema)
+    bounded_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, slice_rows):
                 cols = fn(**batch.slice(at, slice_rows).to_pydict())
                 yield pa.RecordBatch.from_arrays([pa.array(cols[f.name], f.type) for f in out_schema], schema=out_schema)
+        release_memory()
 
     return df.mapInArrow(run, schema)
 
 
+def release_memory() -> None:
+    """Give freed memory back, so that an idle Python worker leaves room for the JVM beside it."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
+def bounded_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Arrow batches of at most ``rows`` rows, where the session has Spark's default of 10,000 long texts."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":
+        spark.conf.set(key, str(rows))
+
+
 ARROW = {
     "long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(), "boolean": pa.bool_(),
     "binary": pa.binary(), "array<long>": pa.list_(pa.int64()), "array<string>": pa.list_(pa.string()),
@@ -71,7 +91,7 @@ def pa_schema(ddl: str) -> pa.Schema:
 class TokenHashes(dict):
     """64-bit hashes of words, kept for repeated words up to a bounded number."""
 
-    def __init__(self, most: int = 300_000):
+    def __init__(self, most: int = 100_000):
         super().__init__()
         self.most = most
 

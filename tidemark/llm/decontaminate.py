@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WORD_BYTES, mixed, stored, table, words_of
+from .common import WORD_BYTES, bounded_batches, mixed, stored, table, words_of
 
 WINDOW = 10
 #: Words of benchmark text in one broadcast slice; a larger benchmark is scanned for in several slices.
@@ -125,6 +125,7 @@ def mark_overlap(
     words is taken slice by slice, the marks so far being written between two scans.
     Null or empty texts and items have no words; repeated items and rows act alike.
     """
+    bounded_batches(docs.sparkSession)
     out = docs.withColumns({names[0]: F.lit(0).cast("long"), names[1]: F.array().cast("array<string>"), names[2]: F.array().cast("array<long>")})
     schema, inputs = out.schema, docs.columns
     first = True

@@ -76,34 +76,33 @@ class Forest:
             self.up[max(i, j)] = min(i, j)
 
 
-def _blocks(members: DataFrame, key: str, payload: list[str], weight: str, block: int, smallest: int = 2) -> DataFrame:
-    """Deal each key's members into blocks of about ``block`` weight and bring every two blocks together once.
+def _dealt(members: DataFrame, key: str, weight: str, block: int) -> DataFrame:
+    """Members (key, node, ...) of keys that have several, with the number of blocks of their key and their own block.
 
-    ``members`` are (key, node, *payload). The result is (left, right): arrays of the members of two blocks of
-    one key; right is null where both are the same block. A key's weight comes from a partial aggregate, so a
-    hot key is cut before its rows meet, and no task ever holds more than two blocks of it.
+    A block has about ``block`` weight. A key's weight comes from a partial aggregate, so a hot key is cut
+    before its rows meet.
     """
-    sizes = members.groupBy(key).agg(F.sum(weight).alias("_w"), F.count("*").alias("_n")).where(f"_n >= {smallest}")
-    parts = F.ceil(F.col("_w") / block).cast("int")
-    dealt = members.join(sizes.select(key, parts.alias("_parts")), key)
-    dealt = dealt.withColumn("_i", F.pmod(F.xxhash64("node"), F.col("_parts")).cast("int"))
-    chunks = dealt.groupBy(key, "_parts", "_i").agg(F.collect_list(F.struct("node", *payload)).alias("m"))
-    chunks = stored(chunks, "ngram-blocks")
-    whole = chunks.where("_parts = 1").select(F.col("m").alias("left"), F.lit(None).cast(chunks.schema["m"].dataType).alias("right"))
-    met = (
-        chunks.where("_parts > 1")
-        .withColumn("_j", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
-        .withColumn("_lo", F.least("_i", "_j"))
-        .withColumn("_hi", F.greatest("_i", "_j"))
-        .groupBy(key, "_lo", "_hi")
-        .agg(F.min(F.when(F.col("_i") == F.col("_lo"), F.col("m"))).alias("left"), F.min(F.when((F.col("_i") == F.col("_hi")) & (F.col("_lo") != F.col("_hi")), F.col("m"))).alias("right"))
-        .select("left", "right")
-    )
-    return whole.unionByName(met.where("left IS NOT NULL"))
+    sizes = members.groupBy(key).agg(F.sum(weight).alias("w"), F.count("*").alias("c")).where("c > 1")
+    parts = sizes.select(key, F.ceil(F.col("w") / block).cast("int").alias("parts"))
+    return members.join(parts, key).withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+
+
+def _met(dealt: DataFrame, key: str, payload: list[str], label: str) -> DataFrame:
+    """Bring every two blocks of a key together once, as (left, right) arrays; right is null for a block with itself.
+
+    No task ever holds more than two blocks of a key.
+    """
+    blocks = stored(dealt.groupBy(key, "parts", "part").agg(F.collect_list(F.struct("node", *payload)).alias("m")), label)
+    whole = blocks.where("parts = 1").select(F.col("m").alias("left"), F.lit(None).cast(blocks.schema["m"].dataType).alias("right"))
+    both = blocks.where("parts > 1").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    both = both.withColumns({"lo": F.least("part", "other"), "hi": F.greatest("part", "other")}).groupBy(key, "lo", "hi")
+    met = both.agg(F.first(F.when(F.col("part") == F.col("lo"), F.col("m")), True).alias("left"), F.first(F.when((F.col("part") == F.col("hi")) & (F.col("lo") < F.col("hi")), F.col("m")), True).alias("right"))
+    # a block to which no node was dealt has no partner
+    return whole.unionByName(met.where("left IS NOT NULL AND (lo = hi OR right IS NOT NULL)").select("left", "right"))
 
 
 def _candidates(least: float):
-    """Kernel: nodes of one bucket whose signatures agree enough, as (a, b) with b the least node of its local component."""
+    """Kernel: nodes whose signatures agree enough, as edges (a, b) of a spanning forest of one block or between two."""
     schema = pa_schema("a binary, b binary")
 
     def near(sa: np.ndarray, sb: np.ndarray) -> np.ndarray:
@@ -124,14 +123,20 @@ def _candidates(least: float):
                 nodes = sorted(seen) + [m["node"] for m in two]
                 sig = np.frombuffer(b"".join([seen[x] for x in nodes[: len(seen)]] + [m["sig"] for m in two]), np.uint8).reshape(len(nodes), -1)
                 roots = Forest(len(nodes))
-                k = len(seen)
-                hits = near(sig[:k], sig[k:]) if two else np.triu(near(sig, sig), 1)
-                for i, j in zip(*np.nonzero(hits >= least * sig.shape[1]), strict=True):
-                    roots.join(int(i), int(j) + (k if two else 0))
-                for i in range(len(nodes)):
-                    if (r := roots.root(i)) != i:
-                        out_a.append(nodes[i])
-                        out_b.append(nodes[r])
+                k, enough = len(seen), least * sig.shape[1]
+                for lo, hi in ((0, k), (k, len(nodes))):
+                    for i, j in zip(*np.nonzero(np.triu(near(sig[lo:hi], sig[lo:hi]) >= enough, 1)), strict=True):
+                        roots.join(lo + int(i), lo + int(j))
+                if not two:
+                    edges = [(i, roots.root(i)) for i in range(k) if roots.root(i) != i]
+                else:  # what each block has in itself, its own row tells; here only what joins the two
+                    edges = []
+                    for i, j in zip(*np.nonzero(near(sig[:k], sig[k:]) >= enough), strict=True):
+                        if roots.root(int(i)) != roots.root(k + int(j)):
+                            roots.join(int(i), k + int(j))
+                            edges.append((int(i), k + int(j)))
+                out_a += [nodes[i] for i, _ in edges]
+                out_b += [nodes[j] for _, j in edges]
             yield pa.RecordBatch.from_arrays([pa.array(out_a, pa.binary()), pa.array(out_b, pa.binary())], schema=schema)
 
     return run
@@ -238,23 +243,20 @@ def ngram_jaccard_join(
         .select("node", "copies", F.col("m.doc_id").alias("first_id"), "m.n", "m.sig", "m.keys")
     )
     nodes = stored(nodes, "ngram-nodes")
-    entries = nodes.select("node", "sig", F.explode("keys").alias("bucket"), F.lit(1).alias("one"))
-    met = _blocks(entries, "bucket", ["sig"], "one", block_members)
+    entries = nodes.select("node", F.explode("keys").alias("bucket"), F.lit(1).alias("one"))
+    entries = _dealt(entries, "bucket", "one", block_members).join(nodes.select("node", "sig"), "node")
+    met = _met(entries, "bucket", ["sig"], "ngram-buckets")
     near = components(met.mapInArrow(_candidates(screen), "a binary, b binary"), "ngram-candidates")
     wanted = nodes.join(near, "node").select("node", "root", "copies", "n", F.col("first_id").alias("doc_id"))
+    wanted = _dealt(wanted, "root", "n", block_shingles).drop("n")
 
-    def regram(doc_id, text, node, root, copies, n):
-        out: dict = {"root": [], "node": [], "copies": [], "n": [], "grams": []}
-        for t, node_, root_, copies_, n_ in zip(text, node, root, copies, n, strict=True):
-            x = shingles(lower_words(t), gram, hashes)
-            if len(x) and digest(x) == node_:
-                for name, v in zip(out, (root_, node_, copies_, n_, x.tobytes()), strict=True):
-                    out[name].append(v)
-        return out
+    def regram(doc_id, text, **kept):
+        kept["grams"] = [x.tobytes() for x in (shingles(lower_words(t), n, hashes) for t in text)]
+        right = [i for i, (g, node) in enumerate(zip(kept["grams"], kept["node"], strict=True)) if hashlib.blake2b(g, digest_size=16).digest() == node]
+        return {k: [v[i] for i in right] for k, v in kept.items()}
 
-    gram = n
-    sets = map_rows(docs.join(wanted, "doc_id"), regram, "root binary, node binary, copies long, n long, grams binary", 64)
-    met = _blocks(stored(sets, "ngram-sets"), "root", ["copies", "grams"], "n", block_shingles)
+    sets = map_rows(docs.join(wanted, "doc_id"), regram, "root binary, node binary, copies long, parts int, part int, grams binary", 64)
+    met = _met(sets, "root", ["copies", "grams"], "ngram-sets")
     links = stored(met.mapInArrow(_verified(similarity), "a binary, b binary, links long"), "ngram-links")
     classes = components(links, "ngram-classes")
     degree = links.groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
@@ -262,7 +264,9 @@ def ngram_jaccard_join(
     rooted = small.join(classes, "node").join(degree, "node", "left")
     least = rooted.groupBy("root").agg(F.min("first_id").alias("class_id"))
     rooted = rooted.join(least, "root").select("node", "class_id", "links")
+    # written, so that the last join has bare exchanges, of which one that a hot text fills can be split
     small = small.join(rooted, "node", "left").select("node", "copies", F.coalesce("class_id", "first_id").alias("class_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"))
+    small = stored(small, "ngram-classes")
     has = described.where("doc_id IS NOT NULL AND n > 0").select("doc_id", "node")
     none = described.where("doc_id IS NULL OR n = 0")
     return (
