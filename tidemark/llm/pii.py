@@ -336,7 +336,8 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = found.select("doc_id", F.arrays_zip("kinds", "starts", "ends", "is_base").alias("s"))
     text = lambda x: F.concat_ws(":", x["kinds"], x["starts"].cast("string"), x["ends"].cast("string"))
     base = F.filter("s", lambda x: x["is_base"] == 1)
-    counts = [F.size(F.filter(base, lambda x, k=k: x["kinds"] == k)).cast("long").alias(f"n_{k}") for k in BASE]
+    of = lambda kind: F.size(F.filter(base, lambda x: x["kinds"] == kind)).cast("long").alias(f"n_{kind}")
+    counts = [of(kind) for kind in BASE]
     return rows.select(
         "doc_id", *counts, F.sha2(F.array_join(F.transform(base, text), ",").cast("binary"), 256).alias("base_sha256"), F.array_join(F.transform("s", text), ",").alias("spans"),
     )
