@@ -100,7 +100,7 @@ class PieceModel:
 class ChunkCache(dict):
     """Encoded chunks of one of the ways, up to a bounded number."""
 
-    def __init__(self, model: PieceModel, seed: int, way: int, dropout: int, most: int = 250_000):
+    def __init__(self, model: PieceModel, seed: int, way: int, dropout: int, most: int = 450_000):
         super().__init__()
         self.model, self.seed, self.dropout, self.most = model, (seed * WAYS + way) & _M64, dropout, most
 
@@ -187,6 +187,6 @@ def decode_pieces(encoded: DataFrame, *, ids_col: str = "piece_ids", text_col: s
 
 def op8_piece_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    encoded = encode_pieces(docs).withColumn("n_pieces", F.size("piece_ids").cast("long")).withColumn("ids_crc32", F.crc32(F.array_join("piece_ids", ",").cast("binary")))
+    encoded = encode_pieces(docs).withColumn("n_pieces", F.size("piece_ids").cast("long")).withColumn("ids_hash", F.xxhash64("piece_ids"))
     back = decode_pieces(encoded, keep_ids=False)
-    return back.select("doc_id", "n_pieces", "ids_crc32", F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"), (F.col("decoded") == F.col("text")).alias("lossless"))
+    return back.select("doc_id", "n_pieces", "ids_hash", F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"), (F.col("decoded") == F.col("text")).alias("lossless"))
