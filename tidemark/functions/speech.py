@@ -1,0 +1,172 @@
+"""Speech text rules that need a program, as plain functions; ``vectorised`` makes Arrow UDFs of them."""
+
+from __future__ import annotations
+
+import re
+from collections.abc import Callable
+from difflib import SequenceMatcher
+
+import pandas as pd
+from pyspark.sql import functions as F
+
+_END = re.compile(r"(?<=[.!?…;])\s+")
+_TOKEN = re.compile(r"[а-яa-z]+|\d+")
+
+
+def vectorised(fn: Callable, returns: str):
+    """An Arrow UDF of a function of one or more values; null arguments give null."""
+
+    @F.pandas_udf(returns)
+    def run(*cols: pd.Series) -> pd.Series:
+        return pd.Series([None if any(x is None for x in v) else fn(*v) for v in zip(*cols, strict=True)])
+
+    return run
+
+
+# Russian cardinal words.
+UNITS = "ноль один два три четыре пять шесть семь восемь девять десять одиннадцать двенадцать тринадцать четырнадцать пятнадцать шестнадцать семнадцать восемнадцать девятнадцать".split()
+TENS = "двадцать тридцать сорок пятьдесят шестьдесят семьдесят восемьдесят девяносто".split()
+HUNDREDS = "сто двести триста четыреста пятьсот шестьсот семьсот восемьсот девятьсот".split()
+SCALES = [("тысяча", "тысячи", "тысяч"), ("миллион", "миллиона", "миллионов"), ("миллиард", "миллиарда", "миллиардов")]
+
+
+def number_words(n: int) -> list[str]:
+    """Words of 0 <= n < 10^12; a lone thousand drops its "one"."""
+    if n < 20:
+        return [UNITS[n]]
+    out: list[str] = []
+    for level in range(3, -1, -1):
+        group = n // 1000**level % 1000
+        if not group:
+            continue
+        words = [HUNDREDS[group // 100 - 1]] if group >= 100 else []
+        rest = group % 100
+        if rest >= 20:
+            words.append(TENS[rest // 10 - 2])
+            rest %= 10
+        if rest:
+            feminine = {1: "одна", 2: "две"} if level == 1 else {}
+            words.append(feminine.get(rest, UNITS[rest]))
+        if level:
+            if group == 1:
+                words = [] if level == 1 else words
+            last, teen = group % 10, 10 < group % 100 < 20
+            words.append(SCALES[level - 1][2 if teen or last == 0 or last > 4 else 0 if last == 1 else 1])
+        out += words
+    return out
+
+
+def heard_words(text: str) -> list[str]:
+    """Comparable words: no stress marks, lower case, yo as ye, digits spelt out (longer numbers digit by digit)."""
+    out: list[str] = []
+    for t in _TOKEN.findall(text.replace("+", "").lower().replace("ё", "е")):
+        out += (number_words(int(t)) if len(t) <= 12 else [UNITS[int(d)] for d in t]) if t.isdigit() else [t]
+    return [w.replace("ё", "е") for w in out]
+
+
+def text_ratio(a: str, b: str) -> float:
+    return SequenceMatcher(None, a.lower(), b.lower()).ratio()
+
+
+def script_similarity(heard: str, sung: str, plain: str) -> float:
+    """The better likeness of what was heard to the script, as sung or as written; 0 for an empty script."""
+    h, s, p = heard_words(heard), heard_words(sung), heard_words(plain)
+    return max(SequenceMatcher(None, h, x).ratio() for x in (s, p)) if s else 0.0
+
+
+def split_text(text: str, limit: int = 150) -> list[str]:
+    """Pieces of at most ``limit`` UTF-8 bytes, cut after sentences, else at a comma, dash, colon or space, else between characters."""
+    size = lambda s: len(s.encode())
+    pieces: list[str] = []
+    held = ""
+    for sentence in (s for s in _END.split(text.strip()) if s):
+        if held and size(held) + 1 + size(sentence) <= limit:
+            held += " " + sentence
+            continue
+        if held:
+            pieces.append(held)
+        while size(sentence) > limit:
+            head = sentence.encode()[:limit].decode(errors="ignore")
+            at = max(head.rfind(c) for c in ",—: ")
+            at = at + 1 if at > 0 else len(head)
+            pieces.append(sentence[:at].strip())
+            sentence = sentence[at:].strip()
+        held = sentence
+    return [p for p in [*pieces, held] if p]
+
+
+_PIECES = re.compile(r"(\s+)")
+_PUNCT = "«»\"'()[]{}.,!?…;:—-"
+
+
+def name_stress(text: str, stems: dict[str, str], *, force: bool = False) -> str:
+    """Mark words that begin with a dictionary stem, the longest first; a marked word stays unless ``force``."""
+    order = sorted(stems, key=len, reverse=True)
+
+    def one(token: str) -> str:
+        core = token.strip(_PUNCT)
+        bare = core.replace("+", "") if force else core
+        if not core or (not force and "+" in core):
+            return token
+        stem = next((s for s in order if bare.lower().startswith(s.lower())), None)
+        if stem is None:
+            return token
+        marked = stems[stem]
+        first = next((i for i, c in enumerate(marked) if c != "+"), 0)
+        if bare[0].islower():
+            marked = marked[:first] + marked[first].lower() + marked[first + 1 :]
+        elif bare[0].isupper():
+            marked = marked[:first] + marked[first].upper() + marked[first + 1 :]
+        return token.replace(core, marked + bare[len(stem) :], 1)
+
+    return "".join(one(t) for t in _PIECES.split(text))
+
+
+def homographs(text: str, english: str, forms: dict[str, list[dict]]) -> str:
+    """Replace a form by its first variant of which a cue stands in the English text; capitals are kept."""
+    english = english.lower()
+
+    def one(token: str) -> str:
+        core = token.strip(_PUNCT)
+        variant = next((v for v in forms.get(core.lower(), []) if any(cue.lower() in english for cue in v["en"])), None)
+        if not core or variant is None:
+            return token
+        marked = variant["marked"]
+        if core[0].isupper():
+            i = 1 if marked[0] == "+" else 0
+            marked = marked[:i] + marked[i].upper() + marked[i + 1 :]
+        return token.replace(core, marked, 1)
+
+    return "".join(one(t) for t in _PIECES.split(text))
+
+
+def translator_marks(text: str, marked: str) -> str:
+    """Words that the translator marked override the same words of ``text``; the last mark of a word counts."""
+    own = {t.strip(_PUNCT).replace("+", "").lower().replace("ё", "е"): t.strip(_PUNCT) for t in marked.split() if "+" in t}
+
+    def one(token: str) -> str:
+        core = token.strip(_PUNCT)
+        mark = own.get(core.replace("+", "").lower().replace("ё", "е")) if core else None
+        return token.replace(core, mark, 1) if mark else token
+
+    return "".join(one(t) for t in _PIECES.split(text))
+
+
+def shared_blocks(a: list[str], b: list[str]) -> int:
+    return sum(m.size for m in SequenceMatcher(None, a, b, autojunk=False).get_matching_blocks())
+
+
+def reattach_punctuation(words: list[str], text: str) -> list[str] | None:
+    """Deal the marks of ``text`` back to ``words`` (leading spaces kept); null if letters and digits differ."""
+    keep = lambda s: [c for c in s.lower() if c.isalnum()]
+    if keep("".join(words)) != keep(text):
+        return None
+    out, at = [], 0
+    for k, word in enumerate(words):
+        need, piece = len(keep(word)), ""
+        while at < len(text) and (need or (not text[at].isspace() and not text[at].isalnum()) or k == len(words) - 1):
+            need -= text[at].isalnum()
+            piece += text[at]
+            at += 1
+        out.append((" " if word[:1] == " " else "") + piece.strip())
+    return out

@@ -1,5 +1,7 @@
 """Every registered query by name, with the SQL that gives the same rows."""
 
+from . import timeline
+
 FLAGSHIP = "merge_short"
-QUERIES: dict = {}
-SQL: dict = {}
+QUERIES: dict = dict(timeline.QUERIES)
+SQL: dict = dict(timeline.SQL)
