@@ -109,9 +109,11 @@ def slot_ends(segments: DataFrame) -> DataFrame:
     order = W.partitionBy("media").orderBy("start_ms", "ord")
     line = line.withColumn("pos", F.row_number().over(order))
     here = F.struct("pos", "start_ms")
-    following = order.rowsBetween(1, W.unboundedFollowing)
-    same = W.partitionBy("media", "speaker").orderBy("start_ms", "ord").rowsBetween(1, W.unboundedFollowing)
-    line = line.withColumn("a", F.first(F.when(~flag("orig"), here), True).over(following)).withColumn("b", F.first(here, True).over(same))
+    # the first of the rows after one is the last of those before it in the other direction, which costs linear time
+    back = [F.desc("start_ms"), F.desc("ord")]
+    following = W.partitionBy("media").orderBy(*back).rowsBetween(W.unboundedPreceding, -1)
+    same = W.partitionBy("media", "speaker").orderBy(*back).rowsBetween(W.unboundedPreceding, -1)
+    line = line.withColumn("a", F.last(F.when(~flag("orig"), here), True).over(following)).withColumn("b", F.last(here, True).over(same))
     return line.where(~flag("orig")).select("media", "ord", F.least("a", "b")["start_ms"].alias("slot_end"))
 
 

@@ -63,7 +63,9 @@ def lone_effect_gain(frames: DataFrame, *, reach: int = 3, poke: float = 2, long
     w = W.partitionBy("track").orderBy("frame_no")
     f = frames.withColumn("lone", ~F.max("loud").over(w.rowsBetween(-reach, reach)))
     anchor = F.when(~F.col("lone"), F.col("level"))
-    f = f.withColumn("before", F.last(anchor, True).over(w.rowsBetween(W.unboundedPreceding, 0))).withColumn("after", F.first(anchor, True).over(w.rowsBetween(0, W.unboundedFollowing)))
+    f = f.withColumn("before", F.last(anchor, True).over(w.rowsBetween(W.unboundedPreceding, 0)))
+    back = W.partitionBy("track").orderBy(F.desc("frame_no"))  # a frame that runs to the end costs quadratic time, its mirror image does not
+    f = f.withColumn("after", F.last(anchor, True).over(back.rowsBetween(W.unboundedPreceding, 0)))
     out = F.col("lone") & F.col("before").isNotNull() & F.col("after").isNotNull() & (F.col("level") > poke * F.greatest(F.least("before", "after"), F.lit(floor)))
     f = f.withColumn("out", out).withColumn("new", (F.col("out") & ~F.coalesce(F.lag("out").over(w), F.lit(False))).cast("int"))
     f = f.withColumn("run", F.sum("new").over(w.rowsBetween(W.unboundedPreceding, 0)))

@@ -1,7 +1,7 @@
 """Every registered query by name, with the SQL that gives the same rows."""
 
-from . import timeline
+from . import records, timeline
 
 FLAGSHIP = "merge_short"
-QUERIES: dict = dict(timeline.QUERIES)
-SQL: dict = dict(timeline.SQL)
+QUERIES: dict = timeline.QUERIES | records.QUERIES
+SQL: dict = timeline.SQL | records.SQL
