@@ -29,7 +29,7 @@ def accept(findings: DataFrame, accepted: DataFrame) -> DataFrame:
     The first acceptance in order counts. ``accepted`` is a list kept by hand; findings meet it by stage.
     """
     f = findings.withColumn("_row", F.monotonically_increasing_id())
-    hit = f.join(F.broadcast(accepted), "stage").where(F.contains("msg", "contains"))
+    hit = f.join(accepted, "stage").where(F.contains("msg", "contains"))
     first = hit.groupBy("_row").agg(F.min("ord").alias("used"))
     out = f.join(first, "_row", "left")
     lowered = out.select("stage", F.when(F.col("used").isNotNull(), "warn").otherwise(F.col("severity")).alias("severity"), "seg_id", "msg")

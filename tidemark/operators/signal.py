@@ -36,7 +36,7 @@ def voiced_islands(frames: DataFrame, *, threshold: float = 5.6, least_ms: int =
 def bleed_filter(frames: DataFrame, *, floor: float = 15, share: float = 0.12) -> DataFrame:
     """Frames at least as loud as the floor and as a share of their track's 95th percentile."""
     cut = frames.groupBy("track").agg(F.greatest(F.lit(float(floor)), share * F.percentile("level", F.lit(0.95))).alias("cut"))
-    return frames.join(F.broadcast(cut), "track").where("level >= cut").drop("cut")
+    return frames.join(cut, "track").where("level >= cut").drop("cut")
 
 
 def pair_coefficients(frames: DataFrame, solo: DataFrame, *, least_level: float = 20, least_samples: int = 8) -> DataFrame:
@@ -53,20 +53,24 @@ def pair_coefficients(frames: DataFrame, solo: DataFrame, *, least_level: float
 def expected_bleed(frames: DataFrame, coefficients: DataFrame, *, audible: float = 20) -> DataFrame:
     """(track, frame_no, expected): the most that another track can leak; null where an audible one is uncalibrated."""
     other = frames.select(F.col("track").alias("j"), "frame_no", F.col("level").alias("lj"))
-    met = frames.select(F.col("track").alias("i"), "frame_no").join(other, "frame_no").where("i <> j").join(F.broadcast(coefficients), ["i", "j"], "left")
+    met = frames.select(F.col("track").alias("i"), "frame_no").join(other, "frame_no").where("i <> j").join(coefficients, ["i", "j"], "left")
     g = met.groupBy(F.col("i").alias("track"), "frame_no").agg(F.max(F.col("coefficient") * F.col("lj")).alias("e"), F.bool_or((F.col("lj") > audible) & F.col("coefficient").isNull()).alias("unknown"))
     return g.select("track", "frame_no", F.when(~F.col("unknown"), F.col("e")).alias("expected"))
 
 
-def lone_effect_gain(frames: DataFrame, *, reach: int = 3, poke: float = 2, longest: int = 15, duck: float = 0.01, floor: float = 1.0) -> DataFrame:
-    """Gain for (track, frame_no, level, loud): short runs of bed that stand out far from any speech are ducked."""
+def lone_effect_gain(frames: DataFrame, *, reach: int = 3, poke: float = 2, longest: int = 15, duck: float = 0.01, floor: float = 1e-3) -> DataFrame:
+    """Gain for (track, frame_no, level, loud): short runs of bed that stand out far from any speech are ducked.
+
+    They are measured against the bed under the speech before and after, the lower of the two; without speech on
+    both sides nothing is ducked.
+    """
     w = W.partitionBy("track").orderBy("frame_no")
     f = frames.withColumn("lone", ~F.max("loud").over(w.rowsBetween(-reach, reach)))
-    anchor = F.when(~F.col("lone"), F.col("level"))
+    anchor = F.when(F.col("loud"), F.col("level"))
     f = f.withColumn("before", F.last(anchor, True).over(w.rowsBetween(W.unboundedPreceding, 0)))
     back = W.partitionBy("track").orderBy(F.desc("frame_no"))  # a frame that runs to the end costs quadratic time, its mirror image does not
     f = f.withColumn("after", F.last(anchor, True).over(back.rowsBetween(W.unboundedPreceding, 0)))
-    out = F.col("lone") & F.col("before").isNotNull() & F.col("after").isNotNull() & (F.col("level") > poke * F.greatest(F.least("before", "after"), F.lit(floor)))
+    out = F.col("lone") & F.col("before").isNotNull() & F.col("after").isNotNull() & (F.col("level") > floor) & (F.col("level") > poke * F.greatest(F.least("before", "after"), F.lit(floor)))
     f = f.withColumn("out", out).withColumn("new", (F.col("out") & ~F.coalesce(F.lag("out").over(w), F.lit(False))).cast("int"))
     f = f.withColumn("run", F.sum("new").over(w.rowsBetween(W.unboundedPreceding, 0)))
     n = F.sum(F.col("out").cast("int")).over(W.partitionBy("track", "run"))
@@ -105,7 +109,7 @@ def cosine(a: Column, b: Column) -> Column:
 def voice_margin(vectors: DataFrame, *, label: str = "label", vector: str = "embedding") -> DataFrame:
     """All columns and ``margin``: similarity to the own label's centroid less that to the nearest other one."""
     c = centroids(vectors, label=label, vector=vector)
-    met = vectors.join(F.broadcast(c.select(F.col(label).alias("_other"), "centroid")))  # labels are speakers: few
+    met = vectors.crossJoin(c.select(F.col(label).alias("_other"), "centroid"))  # every voice is compared with every speaker's profile
     met = met.withColumn("sim", cosine(F.col(vector), F.col("centroid")))
     keys = [x for x in vectors.columns if x != vector]
     return met.groupBy(*keys).agg((F.max(F.when(F.col(label) == F.col("_other"), F.col("sim"))) - F.max(F.when(F.col(label) != F.col("_other"), F.col("sim")))).alias("margin"))

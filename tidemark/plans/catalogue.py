@@ -1,7 +1,7 @@
 """Every registered query by name, with the SQL that gives the same rows."""
 
-from . import records, timeline
+from . import records, timeline, tracks
 
 FLAGSHIP = "merge_short"
-QUERIES: dict = timeline.QUERIES | records.QUERIES
-SQL: dict = timeline.SQL | records.SQL
+QUERIES: dict = timeline.QUERIES | records.QUERIES | tracks.QUERIES
+SQL: dict = timeline.SQL | records.SQL | tracks.SQL

@@ -73,14 +73,14 @@ def bleed_expected(spark, sf):
 
 @query(f"""WITH {FRAMES_SQL}, f AS (SELECT track, frame_no, level % 10 + 0.0 AS level, level >= 28 AS loud FROM frames),
 l AS (SELECT *, NOT max(loud) OVER (PARTITION BY track ORDER BY frame_no ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING) AS lone FROM f),
-a AS (SELECT *, last_value(CASE WHEN NOT lone THEN level END IGNORE NULLS) OVER (PARTITION BY track ORDER BY frame_no ROWS UNBOUNDED PRECEDING) AS b4, first_value(CASE WHEN NOT lone THEN level END IGNORE NULLS) OVER (PARTITION BY track ORDER BY frame_no ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS af FROM l),
-o AS (SELECT *, coalesce(lone AND b4 IS NOT NULL AND af IS NOT NULL AND level > 2 * greatest(least(b4, af), 1.0), FALSE) AS poke FROM a),
+a AS (SELECT *, last_value(CASE WHEN loud THEN level END IGNORE NULLS) OVER (PARTITION BY track ORDER BY frame_no ROWS UNBOUNDED PRECEDING) AS b4, first_value(CASE WHEN loud THEN level END IGNORE NULLS) OVER (PARTITION BY track ORDER BY frame_no ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS af FROM l),
+o AS (SELECT *, coalesce(lone AND b4 IS NOT NULL AND af IS NOT NULL AND level > 1 AND level > 2 * greatest(least(b4, af), 1.0), FALSE) AS poke FROM a),
 n AS (SELECT *, CASE WHEN poke AND NOT coalesce(lag(poke) OVER (PARTITION BY track ORDER BY frame_no), FALSE) THEN 1 ELSE 0 END AS new FROM o),
 r AS (SELECT *, sum(new) OVER (PARTITION BY track ORDER BY frame_no ROWS UNBOUNDED PRECEDING) AS run FROM n)
 SELECT track, frame_no, CASE WHEN poke AND sum(CASE WHEN poke THEN 1 ELSE 0 END) OVER (PARTITION BY track, run) <= 15 THEN 0.01::DOUBLE ELSE 1.0::DOUBLE END AS gain FROM r""")
 def lone_sfx_gain(spark, sf):
     frames = line_frames(spark, sf).withColumn("loud", F.col("level") >= 28).withColumn("level", (F.col("level") % 10).cast("double"))
-    return sg.lone_effect_gain(frames)
+    return sg.lone_effect_gain(frames, floor=1.0)
 
 
 @query(f"WITH {FRAMES_SQL} SELECT track, frame_no, round(avg(level) OVER (PARTITION BY track ORDER BY frame_no ROWS BETWEEN 5 PRECEDING AND 5 FOLLOWING), 6) AS level FROM frames")
@@ -302,7 +302,10 @@ def _findings(spark, sf) -> DataFrame:
     return qa.span_findings(s, longest_ms=9000).unionByName(qa.budget_findings(s, F.length("text").cast("long"), fast=12)).unionByName(missing)
 
 
-@query(f"WITH {_DOCTOR_SQL} SELECT stage, severity, count(*) AS n FROM found GROUP BY stage, severity UNION ALL SELECT 'translation', 'warn', 1")
+@query(f"""WITH {_DOCTOR_SQL}, a(ord, stage, part) AS (VALUES (0, 'segments', 'span 9'), (1, 'translation', 'nothing like it')), n AS (SELECT *, row_number() OVER () AS rn FROM found),
+hit AS (SELECT rn, min(a.ord) AS used FROM n JOIN a ON a.stage = n.stage AND contains(n.msg, a.part) GROUP BY rn)
+SELECT stage, severity, count(*) AS n FROM (SELECT n.stage, CASE WHEN used IS NOT NULL THEN 'warn' ELSE severity END AS severity, FALSE AS u FROM n LEFT JOIN hit ON n.rn = hit.rn
+  UNION ALL SELECT stage, 'warn', TRUE FROM a WHERE ord NOT IN (SELECT used FROM hit)) GROUP BY stage, severity, u""")
 def doctor(spark, sf):
     accepted = spark.createDataFrame([(0, "segments", "span 9"), (1, "translation", "nothing like it")], "ord int, stage string, contains string")
     out = qa.accept(_findings(spark, sf), accepted)

@@ -31,8 +31,8 @@ def conversation_segments(spark, sf) -> DataFrame:
 def sentences_sql(gap: bool, words: str = WORDS_SQL) -> str:
     cut = "coalesce(lag(word) OVER o, '') SIMILAR TO '.*[.!?…]'" + (" OR coalesce(start_ms - lag(end_ms) OVER o > 2500, FALSE)" if gap else "")
     return f"""{words},
-c AS (SELECT *, CASE WHEN {cut} THEN 1 ELSE 0 END AS cut FROM words WINDOW o AS (PARTITION BY media ORDER BY ord)),
-sw AS (SELECT *, CAST(sum(cut) OVER (PARTITION BY media ORDER BY ord ROWS UNBOUNDED PRECEDING) AS BIGINT) AS sentence FROM c),
+cuts AS (SELECT *, CASE WHEN {cut} THEN 1 ELSE 0 END AS cut FROM words WINDOW o AS (PARTITION BY media ORDER BY ord)),
+sw AS (SELECT *, CAST(sum(cut) OVER (PARTITION BY media ORDER BY ord ROWS UNBOUNDED PRECEDING) AS BIGINT) AS sentence FROM cuts),
 sp AS (SELECT media, sentence, speaker, row_number() OVER (PARTITION BY media, sentence ORDER BY sum(end_ms - start_ms) DESC, min(ord)) AS k FROM sw WHERE speaker IS NOT NULL GROUP BY media, sentence, speaker),
 sentences AS (SELECT sw.media, sw.sentence, min(ord) AS first_ord, max(ord) AS last_ord, min(start_ms) AS start_ms, max(end_ms) AS end_ms, any_value(sp.speaker) AS speaker, string_agg(word, ' ' ORDER BY ord) AS text
   FROM sw LEFT JOIN sp ON sw.media = sp.media AND sw.sentence = sp.sentence AND k = 1 GROUP BY sw.media, sw.sentence),
