@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import bridge, voices
+from ..operators import bridge, rules, voices
 from ..operators import multitrack as mt
 from ..operators import sequence as sq
 from .binding import DOC_WORDS_SQL, FRAMES_SQL, TURNS_SQL, conversation_words, document_words, event_turns, line_frames, table
@@ -61,11 +61,11 @@ def quiet_inventions(spark, sf):
     return mt.quiet_inventions(s.select("media", "ord", "speaker", "text", "level")).select("media", "ord", "speaker", "text", "level")
 
 
-@query(f"""WITH {SEGMENTS_SQL}, w AS (SELECT *, (ord * 37 % 100) / 100.0::DOUBLE AS prob FROM words),
+@query(f"""WITH {SEGMENTS_SQL}, w AS (SELECT *, (ord * 37 % 4) / 4.0::DOUBLE AS prob FROM words),
 c AS (SELECT s.media, s.ord, any_value(s.start_ms) AS start_ms, any_value(s.end_ms) AS end_ms, coalesce(avg(prob), 0) AS conf FROM segments s LEFT JOIN w ON s.media = w.media AND s.speaker = w.speaker AND w.start_ms >= s.start_ms - 50 AND w.end_ms <= s.end_ms + 50 GROUP BY s.media, s.ord)
 SELECT media, ord, round(conf, 6) AS conf, CASE WHEN conf < 0.5 AND end_ms - start_ms <= 4000 THEN 'paste' WHEN conf < 0.65 THEN 'flag' END AS route FROM c""")
 def confidence_routing(spark, sf):
-    w = conversation_words(spark, sf).withColumn("prob", (F.col("ord") * 37 % 100) / 100.0)
+    w = conversation_words(spark, sf).withColumn("prob", (F.col("ord") * 37 % 4) / 4.0)
     return mt.confidence(conversation_segments(spark, sf), w).select("media", "ord", F.round("conf", 6).alias("conf"), "route")
 
 
@@ -142,3 +142,59 @@ def reroll_ladder(spark, sf):
     render = lambda poor: poor.where(F.size("flags") % 2 == 0).select("id", F.array().cast("array<string>").alias("flags"), (F.col("sim") + 0.01).alias("sim"))
     worse = lambda poor: poor.select("id", F.array(*[F.lit(x) for x in "uvwxyz"]).alias("flags"), F.lit(0.0).alias("sim"))
     return bridge.reroll(d, [render, worse]).select("id", "rung")
+
+
+@query(f"""WITH {_FOLDED_SQL}, n AS (SELECT DISTINCT a.media, a.ord, unnest(string_split_regex(lower(b.text), '\\s+')) AS word FROM s a JOIN s b ON a.media = b.media AND a.speaker <> b.speaker AND b.start_ms < a.end_ms + 500 AND a.start_ms - 500 < b.end_ms)
+SELECT media, ord, count(*) AS n, string_agg(word, ' ' ORDER BY word) AS words FROM n WHERE word <> '' GROUP BY media, ord""")
+def neighbour_words(spark, sf):
+    w = rules.neighbour_words(_folded(spark, sf))
+    return w.select("media", "ord", F.size("words").cast("long").alias("n"), F.array_join("words", " ").alias("words"))
+
+
+@query(f"""WITH {FRAMES_SQL}, t AS (SELECT track, frame_no AS ord, frame_no * 700 AS s, frame_no * 700 + 100 + frame_no % 9 * 300 AS e FROM frames WHERE frame_no < 3000),
+x AS (SELECT track, ord, unnest(range(s // 250, greatest(e // 250 - 1, s // 250) + 1)) AS frame_no FROM t)
+SELECT track, ord, round(avg(level), 6) AS rms FROM x JOIN frames USING (track, frame_no) GROUP BY track, ord""")
+def span_rms(spark, sf):
+    f = line_frames(spark, sf)
+    spans = f.where("frame_no < 3000").select("track", F.col("frame_no").alias("ord"), (F.col("frame_no") * 700).alias("start_ms"), (F.col("frame_no") * 700 + 100 + F.col("frame_no") % 9 * 300).alias("end_ms"))
+    return rules.span_rms(spans, f).withColumn("rms", F.round("rms", 6))
+
+
+@query("""WITH w AS (SELECT unnest(regexp_extract_all(text, '[\\p{L}+]+')) AS word FROM documents WHERE text IS NOT NULL),
+u AS (SELECT word, count(*) AS n FROM w WHERE regexp_matches(word, '^\\p{Lu}\\p{Ll}+$') GROUP BY word)
+SELECT word, n FROM u WHERE lower(word) NOT IN (SELECT word FROM w WHERE regexp_matches(word, '^\\p{Ll}+$'))""")
+def name_candidates(spark, sf):
+    return rules.name_candidates(table(spark, sf, "documents"))
+
+
+@query("""SELECT ord, term, advice FROM (SELECT doc_id AS ord, lower(text) AS t, regexp_matches(text, '(?i)\\bthe\\b') AS the FROM documents WHERE text IS NOT NULL), LATERAL (
+  SELECT '\\bthe\\b' AS term, 'say that' AS advice WHERE CASE WHEN the THEN NOT contains(t, 'that') ELSE regexp_matches(t, 'der') END UNION ALL SELECT 'idiot', 'rude' WHERE contains(t, 'idiot'))""")
+def glossary_rules(spark, sf):
+    d = table(spark, sf, "documents").where("text IS NOT NULL").select(F.col("doc_id").alias("ord"), "text")
+    return rules.term_findings(d, [{"pattern": r"\bthe\b", "want": "that", "avoid": "der", "why": "say that"}, {"forbid": "idiot", "why": "rude"}], source="text", target="text")
+
+
+@query("""WITH r AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id) AS k FROM documents WHERE lang IS NOT NULL) SELECT doc_id, lang FROM r WHERE k <= 3""")
+def first_clips(spark, sf):
+    return rules.first_per_key(table(spark, sf, "documents").where("lang IS NOT NULL").select("doc_id", "lang"), key="lang", order=["doc_id"])
+
+
+@query()
+def stretched_regions(spark, sf):
+    return rules.stretched_regions(document_words(spark, sf), stretch_ms=1400)
+
+
+@query("""WITH d AS (SELECT doc_id AS ord, text, CASE WHEN doc_id % 7 <> 0 THEN CASE WHEN doc_id % 5 = 0 THEN text || ' more' ELSE replace(text, 'the', 'th+e') END END AS marked FROM documents WHERE text IS NOT NULL)
+SELECT 'accents' AS stage, 'fail' AS severity, ord AS seg_id, 'missing' AS msg FROM d WHERE marked IS NULL UNION ALL SELECT 'accents', 'fail', ord, 'stale' FROM d WHERE ord % 7 <> 0 AND ord % 5 = 0
+UNION ALL SELECT 'accents', 'warn', ord, 'unmarked' FROM d WHERE length(text) > 12 AND NOT contains(marked, '+')""")
+def accent_findings(spark, sf):
+    d = table(spark, sf, "documents").where("text IS NOT NULL").select(F.col("doc_id").alias("ord"), "text")
+    marked = F.when(F.col("ord") % 5 == 0, F.concat("text", F.lit(" more"))).otherwise(F.replace("text", F.lit("the"), F.lit("th+e")))
+    return rules.accent_findings(d, d.where("ord % 7 <> 0").select("ord", marked.alias("marked")))
+
+
+@query("""WITH d AS (SELECT doc_id AS ord, length(text) AS bytes, CASE WHEN doc_id % 3 = 0 THEN 'old' ELSE 'new' END AS entry FROM documents), s AS (SELECT avg(CASE WHEN coalesce(bytes, 0) < 1024 THEN 1.0 ELSE 0 END) AS share FROM d)
+SELECT 'clips' AS stage, CASE WHEN share <= 0.1 THEN 'warn' ELSE 'fail' END AS severity, ord AS seg_id, 'missing' AS msg FROM d, s WHERE coalesce(bytes, 0) < 1024 UNION ALL SELECT 'clips', 'fail', ord, 'stale' FROM d WHERE bytes >= 1024 AND entry = 'old'""")
+def clip_findings(spark, sf):
+    d = table(spark, sf, "documents").select(F.col("doc_id").alias("ord"), F.length("text").alias("bytes"), F.when(F.col("doc_id") % 3 == 0, "old").otherwise("new").alias("entry"), F.lit("new").alias("wanted"))
+    return rules.clip_findings(d)
