@@ -53,6 +53,7 @@ def map_rows(df: DataFrame, fn: Callable[..., dict], schema: str, slice_rows: in
     bounded_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_held()
         for batch in batches:
             for at in range(0, batch.num_rows, slice_rows):
                 cols = fn(**batch.slice(at, slice_rows).to_pydict())
@@ -70,6 +71,21 @@ def release_memory() -> None:
         ctypes.CDLL("libc.so.6").malloc_trim(0)
 
 
+_held: dict[tuple, object] = {}
+
+
+def held(key: tuple, make: Callable[[], object]):
+    """The one large thing that a worker process keeps between tasks; another key's takes its place."""
+    if key not in _held:
+        _held.clear()
+        _held[key] = make()
+    return _held[key]
+
+
+def drop_held() -> None:
+    _held.clear()
+
+
 def bounded_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Arrow batches of at most ``rows`` rows, where the session has Spark's default of 10,000 long texts."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"

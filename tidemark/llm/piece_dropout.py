@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, release_memory, table
+from .common import bounded_batches, held, release_memory, table
 from .token_counts import tokenizer_path
 
 MODEL = "piece_bpe_32k.model"
@@ -25,7 +25,6 @@ LITERAL = "\ufdd0\ufdd0"
 NEVER = float("inf")
 _M64 = (1 << 64) - 1
 _models: dict[str, PieceModel] = {}
-_encoders: dict[tuple, Encoder] = {}
 
 
 class PieceModel:
@@ -120,10 +119,7 @@ class Encoder:
     @staticmethod
     def kept(path: str, seed: int, dropout: float) -> Encoder:
         """The worker process's encoder: the caches of the last settings serve the tasks that follow."""
-        if (path, seed, dropout) not in _encoders:
-            _encoders.clear()
-            _encoders[path, seed, dropout] = Encoder(path, seed, dropout)
-        return _encoders[path, seed, dropout]
+        return held(("pieces", path, seed, dropout), lambda: Encoder(path, seed, dropout))
 
     def encode(self, text: str | None) -> bytes:
         """int32 ids of a whole text. The n-th chunk takes way (n + keyed hash of the text) mod 2, so that a word

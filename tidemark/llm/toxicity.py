@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -12,7 +13,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, crc_mod, map_rows, pa_schema, release_memory, table
+from .common import bounded_batches, crc_mod, drop_held, held, map_rows, pa_schema, release_memory, table
 from .language_id import char_codes
 
 #: Symbols of the character model: 0 for a boundary, 1-26 for a-z, other letters folded onto 27-63.
@@ -175,7 +176,7 @@ class TokenFeatures(dict):
 class WordScores(dict):
     """Best evidence in any form of a token; kept for repeated tokens up to a bounded number."""
 
-    def __init__(self, weight: np.ndarray, model: CharModel, most: int = 200_000):
+    def __init__(self, weight: np.ndarray, model: CharModel, most: int = 500_000):
         super().__init__()
         self.weight, self.model, self.most = weight, model, most
         self.flag = (weight > 0).astype(np.uint8).tobytes()
@@ -232,6 +233,7 @@ def _statistics(docs: DataFrame) -> DataFrame:
     bounded_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_held()
         triples = np.zeros(LETTERS**3, np.int64)
         seen = np.zeros((2, SLOTS), np.int32)
         total = [0, 0]
@@ -343,22 +345,24 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, *, text_col: str = "te
     """
     bounded_batches(docs.sparkSession)
     at = np.flatnonzero(model.weight).astype(np.int32)
+    name = uuid.uuid4().hex
     shared = docs.sparkSession.sparkContext.broadcast((at, model.weight[at], model.chars, model.slope, model.offset))
     inputs = [c for c in docs.columns if c != score_col]
     schema = docs.select(*inputs).withColumn(score_col, F.lit(0.0)).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, value, chars, slope, offset = shared.value
-        weight = np.zeros(SLOTS, np.float32)
-        weight[at] = value
-        model = ToxicityModel(weight, chars, slope, offset)
-        scores = WordScores(weight, chars)
+        def load() -> tuple[ToxicityModel, WordScores]:
+            at, value, chars, slope, offset = shared.value
+            weight = np.zeros(SLOTS, np.float32)
+            weight[at] = value
+            return ToxicityModel(weight, chars, slope, offset), WordScores(weight, chars)
+
+        model, scores = held(("toxicity", name), load)  # the words of a worker's earlier tasks stay scored
         for batch in batches:
             for lo in range(0, batch.num_rows, 128):
                 rows = batch.slice(lo, 128)
                 found = [model.probability(evidence(t, scores)) for t in rows.column(text_col).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*(rows.column(c) for c in inputs), pa.array(found, pa.float64())], names=[*inputs, score_col])
-        del scores
         release_memory()
 
     return docs.mapInArrow(run, schema)
