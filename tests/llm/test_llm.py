@@ -249,12 +249,24 @@ def test_language(spark):
     assert {x.lang_pred for x in language_id.identify_languages(documents(spark, extra), nothing).collect()} == {"und"}
 
 
+def test_language_of_other_scripts(spark):
+    r = random.Random(5)
+    letters = {"en": "abcdefghijklm", "ru": "абвгдежзиклмн", "uk": "абвгґдеєжзиіїй", "el": "αβγδεζηθικλμν", "fr": "abcdeéèçfghij"}
+    make = lambda x: " ".join("".join(r.choice(letters[x]) for _ in range(r.randint(2, 7))) for _ in range(40))
+    model = language_id.train_language_models(documents(spark, [(i, make(x), x) for i in range(40) for x in letters]))
+    fresh = [(i * 10 + j, make(x), x) for i in range(10) for j, x in enumerate(letters)]
+    got = {x.doc_id: x.lang_pred for x in language_id.identify_languages(documents(spark, fresh), model).collect()}
+    assert all(got[i] == x for i, _, x in fresh)
+
+
 def test_kneser_ney_sums_to_one():
     keys = language_id.gram_keys(language_id.char_codes("the cat sat on the mat and the hat"))
     k, n = np.unique(keys, return_counts=True)
     model = language_id.KneserNey.fit(["xx"], np.zeros(len(k), int), k, n, 4)
-    for context in (0, int(k[0] >> 7), int(k[3] >> 7), (5 << 14) | (6 << 7) | 7):
-        p = np.exp(model.log_probability(((context << 7) | np.arange(128)).astype(np.int32), 4).astype(float))
+    bits, size = language_id.BITS, language_id.SIZE
+    assert keys.max() < 1 << (4 * bits)
+    for context in (0, int(k[0] >> bits), int(k[3] >> bits), (5 << 2 * bits) | (6 << bits) | 7):
+        p = np.exp(model.log_probability(((context << bits) | np.arange(size)).astype(np.int32), 4).astype(float))
         assert abs(p.sum() - 1) < 1e-4
 
 
