@@ -98,16 +98,16 @@ def test_toxicity(spark):
         w = prose(r, 30).split()
         if bad:
             w[r.randrange(30)] = r.choice(["idiot", "moron", "scumbag"])
-        rows.append((i, " ".join(w)))
+        rows.append((i, "a " * (i % 3 == 0) + " ".join(w)))
         labels.append((i, int(bad)))
-    docs = documents(spark, [*rows, (1000, None), (1001, ""), (None, "you idiot"), (1002, "you 1d10t of a kind"), (1003, "what an i d i o t"), (1004, "m0rooooon"), (1005, "plain abc words"), (1005, "plain abc words")])
+    docs = documents(spark, [*rows, (1000, None), (1001, ""), (None, "you idiot"), (1002, "you 1d10t of a kind"), (1003, "what an i d i o t"), (1004, "m0rooooon"), (1005, "plain abc words"), (1005, "plain abc words"), (1006, "what a m o r o n"), (1007, "m0r" + "o" * 90 + "n"), (1008, "x9" * 5000), (1009, "a b c d e")])
     model = toxicity.train_toxicity(docs, spark.createDataFrame([*labels, (3, None), (None, 1)], "doc_id long, toxic int"))
     scored = toxicity.score_toxicity(docs, model)
     assert scored.columns == docs.columns and scored.count() == docs.count()
     got = {(x.doc_id, x.text): x.score for x in scored.collect()}
     assert all((got[r_] >= 0.5) == (i % 4 == 0) for i, r_ in enumerate(rows))
-    assert all(got[k] >= 0.5 for k in got if k[0] in (1002, 1003, 1004, None))
-    assert all(got[k] < 0.5 for k in got if k[0] in (1000, 1001, 1005))
+    assert all(got[k] >= 0.5 for k in got if k[0] in (1002, 1003, 1004, 1006, 1007, None))
+    assert all(got[k] < 0.5 for k in got if k[0] in (1000, 1001, 1005, 1008, 1009))
     none = toxicity.score_toxicity(docs, toxicity.train_toxicity(docs, spark.createDataFrame([], "doc_id long, toxic int")))
     assert none.where("score < 0.01").count() == docs.count()
     assert toxicity.score_toxicity(documents(spark, []), model).collect() == []

@@ -33,6 +33,7 @@ PUNCTUATION = ".,;:!?\"'()[]{}<>"
 SEPARATORS = " ._-*~/\\'"
 #: Costs of the channel, in nats: a sign for its letter, a separator or a repeated letter inside a word, a sign that means nothing.
 SIGN_COST, SEPARATOR_COST, REPEAT_COST, DROP_COST = 0.7, 0.4, 0.2, 6.0
+#: Characters that are decoded at a time; a longer token is decoded in pieces of that length that overlap by half.
 LONGEST = 48
 
 xxh = xxhash.xxh3_64_intdigest
@@ -40,6 +41,7 @@ xxh = xxhash.xxh3_64_intdigest
 #: Single letters or signs, one separator between every two, three or more of them, standing alone.
 _SPACED = re.compile(r"(?<![^\s])[\w@$!|+€](?:[ ._\-*~/][\w@$!|+€]){2,}(?![^\s.,;:!?)\"'])")
 _REPEAT = re.compile(r"([^\W\d_])\1\1")
+_LONG_REPEAT = re.compile(r"([^\W\d_])\1{3,}")
 _SIGN = re.compile(r"[0-9@$!|+€£(*#%]")
 _LETTER = re.compile(r"[^\W\d_]")
 #: At an edge only a single sign that looks like a letter stays, next to a letter; punctuation and runs of signs go.
@@ -87,6 +89,8 @@ def lattice(token: str) -> list[list[tuple[str, float]]]:
         arcs += [(x, SIGN_COST) for x in SIGNS.get(c, "")]
         if c in SEPARATORS:
             arcs.append(("", SEPARATOR_COST))
+            if c == " ":
+                arcs.append((" ", 0.0))
         elif not c.isalpha():
             arcs.append(("", DROP_COST))
         out.append(arcs)
@@ -95,13 +99,13 @@ def lattice(token: str) -> list[list[tuple[str, float]]]:
 
 
 def restore(token: str, model: CharModel, best: int = 4) -> list[str]:
-    """The ``best`` most likely words behind a disguised one, by Viterbi search over its lattice.
+    """The ``best`` most likely readings of a disguised token, by Viterbi search over its lattice.
 
-    A state is the last two letters written; of each state the best few paths are kept.
+    A reading is a word, or several where spaces stay spaces. A state is the last two letters written; of each state the best few paths are kept.
     """
     states: dict[tuple[int, int], list[tuple[float, str]]] = {(0, 0): [(0.0, "")]}
     logp = model.logp
-    for arcs in lattice(token[:LONGEST] if len(token) > LONGEST else token):
+    for arcs in lattice(token):
         following: dict[tuple[int, int], list[tuple[float, str]]] = {}
         coded = [(x, cost, _code(x) if x else 0) for x, cost in arcs]
         for (a, b), paths in states.items():
@@ -121,7 +125,7 @@ def restore(token: str, model: CharModel, best: int = 4) -> list[str]:
     ends: dict[str, float] = {}
     for (a, b), paths in states.items():
         for p, w in paths:
-            if w:
+            if w.strip():
                 ends[w] = max(ends.get(w, -1e9), p + logp[a][b][0])
     return sorted(ends, key=lambda w: -ends[w])[:best]
 
@@ -140,8 +144,10 @@ def forms(token: str, model: CharModel | None) -> list[str]:
         bare = _EDGE.sub("", token)
     out = [bare] if bare.isalpha() else []
     plain = "".join(_LETTER.findall(bare))
-    if model is not None and 2 < len(bare) <= LONGEST and (is_disguised(bare) or _SPACED.fullmatch(bare)):
-        out += restore(bare, model)
+    if model is not None and len(bare) > 2 and (is_disguised(bare) or _SPACED.fullmatch(bare)):
+        bare = _LONG_REPEAT.sub(r"\1\1\1", bare)
+        for at in range(0, max(len(bare) - LONGEST // 2, 1), LONGEST // 2):
+            out += [w for reading in restore(bare[at : at + LONGEST], model) for w in reading.split()]
     if plain:
         out.append(plain)
     return list(dict.fromkeys(out))
