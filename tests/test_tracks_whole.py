@@ -1,8 +1,11 @@
 """Track queries on tables that are longer than any preview, against brute force."""
 
+import random
+from difflib import SequenceMatcher
+
 import pytest
 
-from tidemark.plans import catalogue
+from tidemark.plans import catalogue, tracks
 
 
 @pytest.fixture(scope="module")
@@ -32,3 +35,30 @@ def test_foreign_frames_of_long_tracks(spark, long_tracks):
     got = {(r.track, r.frame_no): r.foreign for r in catalogue.QUERIES["foreign_frames"](spark, folder).collect()}
     assert got == want
     assert any(f for (_, k), f in want.items() if k >= 2000)
+
+
+def test_echo_segments_of_whole_texts(spark, tmp_path):
+    pool = ["We went down to the old harbour.", "They went down to the old harbour.", "We went for a colder evening swim.", "Nobody remembers the second verse.", "Everybody remembers the second verse.", "Nobody asked about rent or wages."]
+    r = random.Random(5)
+    rows = [(c, t, "user" if t % 2 else "assistant", r.choice(pool)) for c in range(3) for t in range(150)]
+    spark.createDataFrame(rows, "conv_id long, turn int, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    segments = sorted(tracks._folded(spark, str(tmp_path)).collect(), key=lambda s: (s.media, s.start_ms, s.ord))
+
+    def echoes(likeness, least):
+        gone = set()
+        for i, a in enumerate(segments):
+            if (a.media, a.ord) in gone:
+                continue
+            for b in segments[i + 1 :]:
+                if b.media != a.media or b.start_ms - a.start_ms > 1500:
+                    break
+                if (b.media, b.ord) not in gone and a.speaker != b.speaker and likeness(a.text.lower(), b.text.lower()) >= least:
+                    loser = a if a.level < b.level else b
+                    gone.add((loser.media, loser.ord))
+        return gone
+
+    ratio = lambda a, b: SequenceMatcher(None, a, b).ratio()
+    want = echoes(ratio, 0.8)
+    assert want and want != echoes(lambda a, b: ratio(a[:6], b[:6]), 0.6)
+    got = tracks.echo_segments(spark, str(tmp_path)).collect()
+    assert len(got) == len(want) and {(x.media, x.ord) for x in got} == want

@@ -45,8 +45,7 @@ def echo_fragments(spark, sf):
 
 @query()
 def echo_segments(spark, sf):
-    s = _folded(spark, sf).withColumn("text", F.substring("text", 1, 6))
-    return mt.echo_segments(s, near_ms=1500, least=0.6)
+    return mt.echo_segments(_folded(spark, sf), near_ms=1500)
 
 
 @query()
