@@ -62,3 +62,16 @@ def test_echo_segments_of_whole_texts(spark, tmp_path):
     assert want and want != echoes(lambda a, b: ratio(a[:6], b[:6]), 0.6)
     got = tracks.echo_segments(spark, str(tmp_path)).collect()
     assert len(got) == len(want) and {(x.media, x.ord) for x in got} == want
+
+
+def test_span_rms_of_long_tracks(spark, long_tracks):
+    folder, levels = long_tracks
+    want = {}
+    for track, level in levels.items():
+        for k in range(len(level)):
+            first = k * 700 // 250
+            over = level[first : max((k * 700 + 100 + k % 9 * 300) // 250 - 1, first) + 1]
+            if over:
+                want[track, k] = round(sum(over) / len(over), 6)
+    got = {(r.track, r.ord): r.rms for r in catalogue.QUERIES["span_rms"](spark, folder).collect()}
+    assert got == pytest.approx(want)
