@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from struct import pack
 
 import numpy as np
@@ -19,11 +19,13 @@ MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
 #: No piece continues over a space, so merges never leave spaces-then-word chunks.
 CHUNK = re.compile(r" *[^ ]+| +")
-WAYS = 2
+#: Gaps between skips that are drawn at a time.
+DRAWN = 256
+#: Longest chunk in characters whose segmentations are cached.
+SHORT = 20
 #: Stands for a U+2581 of the text itself: two characters, so no single character and no piece equals it.
 LITERAL = "\ufdd0\ufdd0"
 NEVER = float("inf")
-_M64 = (1 << 64) - 1
 _models: dict[str, PieceModel] = {}
 
 
@@ -57,13 +59,13 @@ class PieceModel:
             _models[path] = PieceModel(path)
         return _models[path]
 
-    def encode_chunk(self, chunk: str, key: int, dropout: int) -> bytes:
-        """Piece ids of one chunk as int32 bytes.
+    def encode_chunk(self, chunk: str, skips: Iterable[int] = ()) -> tuple[bytes, int]:
+        """Piece ids of one chunk as int32 bytes, and how many candidates came up.
 
-        Candidate merges wait in an agenda, best score first, then leftmost. A candidate that comes up is
-        skipped where its keyed hash (key, place, length) falls under ``dropout`` of 2^64; it comes up again
-        only if a neighbouring merge makes it anew. Characters without a piece become byte pieces, and so does
-        a literal U+2581, which is thereby told from a space.
+        Candidate merges wait in an agenda, best score first, then leftmost. The candidates that come up are
+        numbered from 0 and those in ``skips`` (ascending, read as far as needed) are skipped; a skipped one comes
+        up again only if a neighbouring merge makes it anew. Characters without a piece become byte pieces, and so does a literal
+        U+2581, which is thereby told from a space.
         """
         symbols = [SPACE if c == " " else c for c in chunk]
         literal = [i for i, c in enumerate(chunk) if c == SPACE] if SPACE in chunk else []
@@ -71,18 +73,21 @@ class PieceModel:
             symbols[i] = LITERAL
         get = self.score.get
         agenda = [get(a + b, NEVER) for a, b in zip(symbols, symbols[1:])]  # noqa: B905
-        start = list(range(len(symbols)))
+        came, skips = 0, iter(skips)
+        skip = next(skips, -1)
         while agenda:
             best = min(agenda)
             if best == NEVER:
                 break
             i = agenda.index(best)
-            s = symbols[i] + symbols[i + 1]
-            if dropout and ((key ^ (start[i] * 0x9E3779B97F4A7C15 + (len(s) << 40))) * 0xD6E8FEB86659FD93 & _M64) < dropout:
+            came += 1
+            if came - 1 == skip:
+                skip = next(skips, -1)
                 agenda[i] = NEVER
                 continue
+            s = symbols[i] + symbols[i + 1]
             symbols[i] = s
-            del symbols[i + 1], start[i + 1], agenda[i]
+            del symbols[i + 1], agenda[i]
             if i < len(agenda):
                 agenda[i] = get(s + symbols[i + 1], NEVER)
             if i:
@@ -90,47 +95,86 @@ class PieceModel:
         out = list(map(self.ids.get, symbols))
         if None in out:
             out = [x for s, i in zip(symbols, out, strict=True) for x in ([i] if i is not None else [self.byte_ids[b] for b in (SPACE if s == LITERAL else s).encode()])]
-        return pack(f"{len(out)}i", *out)
+        return pack(f"{len(out)}i", *out), came
 
     def decode(self, ids: np.ndarray) -> str:
         return b"".join(map(self.raw.__getitem__, ids.tolist())).decode()[1:]
 
 
 class ChunkCache(dict):
-    """Encoded chunks of one of the ways, up to a bounded number."""
+    """(ids, candidates) of chunks without a skip, and of (chunk, skips), up to a bounded number; a cache of
+    what the arguments give, so it has no part in which merges are skipped."""
 
-    def __init__(self, model: PieceModel, seed: int, way: int, dropout: int, most: int = 450_000):
+    def __init__(self, model: PieceModel, most: int = 600_000):
         super().__init__()
-        self.model, self.seed, self.dropout, self.most = model, (seed * WAYS + way) & _M64, dropout, most
+        self.model, self.most = model, most
 
-    def __missing__(self, chunk: str) -> bytes:
+    def __missing__(self, key: str | tuple[str, tuple[int, ...]]) -> tuple[bytes, int]:
+        chunk, skips = (key, ()) if isinstance(key, str) else key
+        out = self.model.encode_chunk(chunk, skips)
         if len(self) >= self.most:
             self.clear()
-        out = self[chunk] = self.model.encode_chunk(chunk, xxhash.xxh3_64_intdigest(chunk.encode(), self.seed), self.dropout)
+        self[key] = out
         return out
 
 
+def skip_gaps(key: int, dropout: float) -> Iterator[int]:
+    """How many candidates pass before each next skip: geometric, from the keyed hashes of 0, 1, 2, ..."""
+    per, at = np.log1p(-dropout), 0
+    while True:
+        x = (np.arange(at + 1, at + DRAWN + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) + np.uint64(key)
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        u = (((x ^ (x >> np.uint64(31))) >> np.uint64(11)).astype(np.float64) + 0.5) / 2**53
+        yield from (np.log(u) / per).astype(np.int64).tolist()
+        at += DRAWN
+
+
 class Encoder:
     def __init__(self, path: str, seed: int, dropout: float):
-        model = PieceModel.load(path)
-        self.seed = seed
-        self.ways = [ChunkCache(model, seed, w, min(int(dropout * 2**64), _M64)) for w in range(WAYS)]
+        self.seed, self.dropout = seed & (1 << 64) - 1, dropout
+        self.chunks = ChunkCache(PieceModel.load(path))
 
     @staticmethod
     def kept(path: str, seed: int, dropout: float) -> Encoder:
-        """The worker process's encoder: the caches of the last settings serve the tasks that follow."""
+        """The worker process's encoder: the cache of the last settings serves the tasks that follow."""
         return held(("pieces", path, seed, dropout), lambda: Encoder(path, seed, dropout))
 
     def encode(self, text: str | None) -> bytes:
-        """int32 ids of a whole text. The n-th chunk takes way (n + keyed hash of the text) mod 2, so that a word
-        is segmented in both ways in a text, and equal texts are segmented alike under one seed."""
+        """int32 ids of a whole text. Every candidate merge of every chunk of the text is skipped or not by a draw
+        of its own, keyed by the seed, the text and the candidate's number in the text; so a word is segmented anew
+        at each place, and equal texts are segmented alike under one seed."""
         if not text:
             return b""
-        chunks = CHUNK.findall(" " + text)
-        turn = xxhash.xxh3_64_intdigest(text.encode(), self.seed)
-        out: list[bytes] = [b""] * len(chunks)
-        for w in range(WAYS):
-            out[w::WAYS] = map(self.ways[(turn + w) % WAYS].__getitem__, chunks[w::WAYS])
+        found, chunks = self.chunks, CHUNK.findall(" " + text)
+        if self.dropout <= 0:
+            return b"".join([found[c][0] for c in chunks])
+        model = found.model
+        if self.dropout >= 1:
+            return b"".join([model.encode_chunk(c, range(len(c)))[0] for c in chunks])
+        gaps = skip_gaps(xxhash.xxh3_64_intdigest(text.encode(), self.seed), self.dropout)
+        gap = next(gaps)
+
+        def numbers() -> Iterator[int]:
+            nonlocal gap
+            while True:
+                yield gap
+                gap += 1 + next(gaps)
+
+        out: list[bytes] = []
+        for c in chunks:
+            if len(c) > SHORT:
+                ids, came = model.encode_chunk(c, numbers())
+            else:
+                ids, came = found[c]
+                if gap < came:
+                    skips: tuple[int, ...] = ()
+                    while gap < came:
+                        skips += (gap,)
+                        gap += 1 + next(gaps)
+                        ids, came = found[c, skips]
+            gap -= came
+            out.append(ids)
         return b"".join(out)
 
 
