@@ -1,8 +1,10 @@
 """Training-data operators on what a cut once left out."""
 
 import random
+import time
 
 import numpy as np
+import pytest
 
 from tidemark.llm import piece_dropout, token_counts
 
@@ -41,3 +43,35 @@ def test_cached_and_direct_skips_agree(monkeypatch):
             m.setattr(piece_dropout, "SHORT", 0)
             assert piece_dropout.Encoder(path, 3, rate).encode(text) == cached
         assert piece_dropout.PieceModel.load(path).decode(np.frombuffer(cached, np.int32)) == text
+
+
+LONG = {"letters": "abcdefghij" * 100_000, "same letter": "a" * 1_000_000, "dots": "." * 1_000_000, "zeros": "0" * 1_000_000, "open tags": "<a " * 333_000, "comments": "<!-- " * 200_000, "dotted line": "chapter" + "." * 500_000 + "12", "rule": "word" + "-" * 500_000 + "word", "spaces": " " * 1_000_000, "breaks": "\n" * 1_000_000, "han": "漢字仮名" * 80_000}
+
+
+def seconds(fn, *args):
+    began = time.process_time()
+    fn(*args)
+    return time.process_time() - began
+
+
+@pytest.mark.parametrize("name", LONG)
+def test_long_chunks_are_encoded_in_linear_time(name):
+    path = token_counts.tokenizer_path(piece_dropout.MODEL)
+    model = piece_dropout.PieceModel.load(path)
+    encoder = piece_dropout.Encoder(path, 7, 0.1)
+    encoded: list[bytes] = []
+    assert seconds(lambda: encoded.append(encoder.encode(LONG[name]))) < 5
+    assert model.decode(np.frombuffer(encoded[0], np.int32)) == LONG[name]
+
+
+def test_heap_and_list_agendas_agree(monkeypatch):
+    path = token_counts.tokenizer_path(piece_dropout.MODEL)
+    model, r = piece_dropout.PieceModel.load(path), random.Random(4)
+    for _ in range(400):
+        chunk = " " * r.randint(0, 3) + "".join(r.choice("theandring▁é漢0.") for _ in range(r.randint(1, 90)))
+        skips = sorted(r.sample(range(60), r.randint(0, 20)))
+        found = []
+        for least in (0, 1000):
+            monkeypatch.setattr(piece_dropout, "HEAP_FROM", least)
+            found.append(model.encode_chunk(chunk, skips))
+        assert found[0] == found[1]

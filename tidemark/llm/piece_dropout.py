@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Iterator
+from heapq import heapify, heappop, heappush
 from struct import pack
 
 import numpy as np
@@ -21,8 +22,10 @@ SPACE = "▁"
 CHUNK = re.compile(r" *[^ ]+| +")
 #: Gaps between skips that are drawn at a time.
 DRAWN = 256
-#: Longest chunk in characters whose segmentations are cached.
+#: Longest chunk in characters whose segmentations are cached, which bounds the bytes of the cache's keys.
 SHORT = 20
+#: From so many symbols on the agenda is a heap over linked symbols; below, a short list is quicker. Both merge alike.
+HEAP_FROM = 48
 #: Stands for a U+2581 of the text itself: two characters, so no single character and no piece equals it.
 LITERAL = "\ufdd0\ufdd0"
 NEVER = float("inf")
@@ -71,10 +74,18 @@ class PieceModel:
         literal = [i for i, c in enumerate(chunk) if c == SPACE] if SPACE in chunk else []
         for i in literal:
             symbols[i] = LITERAL
+        skips = iter(skips)
+        merge = self._merge_heap if len(symbols) >= HEAP_FROM else self._merge_list
+        symbols, came = merge(symbols, skips)
+        out = list(map(self.ids.get, symbols))
+        if None in out:
+            out = [x for s, i in zip(symbols, out, strict=True) for x in ([i] if i is not None else [self.byte_ids[b] for b in (SPACE if s == LITERAL else s).encode()])]
+        return pack(f"{len(out)}i", *out), came
+
+    def _merge_list(self, symbols: list[str], skips: Iterator[int]) -> tuple[list[str], int]:
         get = self.score.get
         agenda = [get(a + b, NEVER) for a, b in zip(symbols, symbols[1:])]  # noqa: B905
-        came, skips = 0, iter(skips)
-        skip = next(skips, -1)
+        came, skip = 0, next(skips, -1)
         while agenda:
             best = min(agenda)
             if best == NEVER:
@@ -92,10 +103,36 @@ class PieceModel:
                 agenda[i] = get(s + symbols[i + 1], NEVER)
             if i:
                 agenda[i - 1] = get(symbols[i - 1] + s, NEVER)
-        out = list(map(self.ids.get, symbols))
-        if None in out:
-            out = [x for s, i in zip(symbols, out, strict=True) for x in ([i] if i is not None else [self.byte_ids[b] for b in (SPACE if s == LITERAL else s).encode()])]
-        return pack(f"{len(out)}i", *out), came
+        return symbols, came
+
+    def _merge_heap(self, symbols: list[str], skips: Iterator[int]) -> tuple[list[str], int]:
+        """As ``_merge_list`` in n log n steps. An entry is (priority, place of its left symbol, the two symbols'
+        lengths); it is stale where one of the symbols has grown or gone since."""
+        get, n = self.score.get, len(symbols)
+        heap = [(x, i, len(symbols[i]), len(symbols[i + 1])) for i in range(n - 1) if (x := get(symbols[i] + symbols[i + 1])) is not None]
+        heapify(heap)
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        came, skip = 0, next(skips, -1)
+        while heap:
+            _, i, left, right = heappop(heap)
+            j = after[i]
+            if j == n or len(symbols[i]) != left or len(symbols[j]) != right:
+                continue
+            came += 1
+            if came - 1 == skip:
+                skip = next(skips, -1)
+                continue
+            s = symbols[i] + symbols[j]
+            symbols[i], symbols[j] = s, ""
+            k = after[i] = after[j]
+            if k < n:
+                before[k] = i
+                if (x := get(s + symbols[k])) is not None:
+                    heappush(heap, (x, i, len(s), len(symbols[k])))
+            h = before[i]
+            if h >= 0 and (x := get(symbols[h] + s)) is not None:
+                heappush(heap, (x, h, len(symbols[h]), len(s)))
+        return [s for s in symbols if s], came
 
     def decode(self, ids: np.ndarray) -> str:
         return b"".join(map(self.raw.__getitem__, ids.tolist())).decode()[1:]
