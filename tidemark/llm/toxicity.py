@@ -6,6 +6,7 @@ import re
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -33,19 +34,33 @@ PUNCTUATION = ".,;:!?\"'()[]{}<>"
 SEPARATORS = " ._-*~/\\'"
 #: Costs of the channel, in nats: a sign for its letter, a separator or a repeated letter inside a word, a sign that means nothing.
 SIGN_COST, SEPARATOR_COST, REPEAT_COST, DROP_COST = 0.7, 0.4, 0.2, 6.0
-#: Characters that are decoded at a time; a longer token is decoded in pieces of that length that overlap by half.
-LONGEST = 48
+#: Signs that may stand for a letter at the edge of a word.
+LOOKALIKE = "@$€£|"
+#: Longest token in characters whose outcome is kept for its next occurrence, which bounds the bytes of the caches.
+KEPT = 64
 
 xxh = xxhash.xxh3_64_intdigest
 
 #: Single letters or signs, one separator between every two, three or more of them, standing alone.
 _SPACED = re.compile(r"(?<![^\s])[\w@$!|+€](?:[ ._\-*~/][\w@$!|+€]){2,}(?![^\s.,;:!?)\"'])")
 _REPEAT = re.compile(r"([^\W\d_])\1\1")
-_LONG_REPEAT = re.compile(r"([^\W\d_])\1{3,}")
+_LONG_REPEAT = re.compile(r"(.)\1{3,}", re.S)
 _SIGN = re.compile(r"[0-9@$!|+€£(*#%]")
 _LETTER = re.compile(r"[^\W\d_]")
-#: At an edge only a single sign that looks like a letter stays, next to a letter; punctuation and runs of signs go.
-_EDGE = re.compile(r"^(?:(?![@$€£|][^\W\d_])[\W_])+|(?:(?<![^\W\d_])[\W_]|(?![@$€£|]$)[\W_])+$")
+_WORD = re.compile(r"[^\W\d_]+")
+
+
+def trimmed(token: str) -> str:
+    """A token without its edges: punctuation and runs of signs go; a single sign that looks like a letter stays
+    where it stands next to one."""
+    lo, hi = 0, len(token)
+    while lo < hi and not token[lo].isalnum() and not (token[lo] in LOOKALIKE and token[lo + 1 : lo + 2].isalpha()):
+        lo += 1
+    if hi - lo > 1 and token[hi - 1] in LOOKALIKE and token[hi - 2].isalpha():
+        return token[lo:hi]
+    while hi > lo and not token[hi - 1].isalnum():
+        hi -= 1
+    return token[lo:hi]
 
 
 def trigram_codes(text: str) -> np.ndarray:
@@ -71,63 +86,58 @@ class CharModel:
         return CharModel(np.log(p3).tolist())
 
 
+@lru_cache(maxsize=100_000)
 def _code(c: str) -> int:
     x = trigram_codes(c)
     return int(x[1]) if len(x) == 3 else 0
 
 
-def lattice(token: str) -> list[list[tuple[str, float]]]:
+def lattice(token: str) -> Iterator[list[tuple[str, float]]]:
     """For each character of a disguised word the letters it may stand for ("" for none), with their costs."""
-    out: list[list[tuple[str, float]]] = []
     last = ""
     for c in token:
         arcs: list[tuple[str, float]] = []
         if c.isalpha():
             arcs.append((c, 0.0))
-            if c == last:
-                arcs.append(("", REPEAT_COST))
         arcs += [(x, SIGN_COST) for x in SIGNS.get(c, "")]
         if c in SEPARATORS:
             arcs.append(("", SEPARATOR_COST))
             if c == " ":
                 arcs.append((" ", 0.0))
+        elif c == last:
+            arcs.append(("", REPEAT_COST))
         elif not c.isalpha():
             arcs.append(("", DROP_COST))
-        out.append(arcs)
+        yield arcs
         last = c
-    return out
 
 
-def restore(token: str, model: CharModel, best: int = 4) -> list[str]:
-    """The ``best`` most likely readings of a disguised token, by Viterbi search over its lattice.
+def restore(token: str, model: CharModel) -> str:
+    """The most likely reading of a disguised token, by Viterbi search over its whole lattice.
 
-    A reading is a word, or several where spaces stay spaces. A state is the last two letters written; of each state the best few paths are kept.
+    A reading is a word, or several where spaces stay spaces. A state is the last two letters written; of each
+    state the best path is kept, as a chain of letters, so that time and memory are linear in the token. Ties go
+    to the reading that was met first, in the order of the lattice's arcs.
     """
-    states: dict[tuple[int, int], list[tuple[float, str]]] = {(0, 0): [(0.0, "")]}
+    states: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
     logp = model.logp
     for arcs in lattice(token):
-        following: dict[tuple[int, int], list[tuple[float, str]]] = {}
+        following: dict[tuple[int, int], tuple[float, tuple | None]] = {}
         coded = [(x, cost, _code(x) if x else 0) for x, cost in arcs]
-        for (a, b), paths in states.items():
+        for (a, b), (p, path) in states.items():
             row = logp[a][b]
             for x, cost, code in coded:
+                total = p - cost + (row[code] if x else 0.0)
                 to = (b, code) if x else (a, b)
-                step = (row[code] if x else 0.0) - cost
-                following.setdefault(to, []).extend((p + step, w + x) for p, w in paths)
-        states = {}
-        for s, paths in following.items():
-            unique = {}
-            for p, w in sorted(paths, reverse=True):
-                unique.setdefault(w, p)
-                if len(unique) == best:
-                    break
-            states[s] = [(p, w) for w, p in unique.items()]
-    ends: dict[str, float] = {}
-    for (a, b), paths in states.items():
-        for p, w in paths:
-            if w.strip():
-                ends[w] = max(ends.get(w, -1e9), p + logp[a][b][0])
-    return sorted(ends, key=lambda w: -ends[w])[:best]
+                if to not in following or total > following[to][0]:
+                    following[to] = (total, (path, x) if x else path)
+        states = following
+    best, path = max(((p + logp[a][b][0], path) for (a, b), (p, path) in states.items()), key=lambda x: x[0])
+    letters = []
+    while path is not None:
+        path, x = path
+        letters.append(x)
+    return "".join(letters[::-1]).strip()
 
 
 def is_disguised(token: str) -> bool:
@@ -135,22 +145,18 @@ def is_disguised(token: str) -> bool:
 
 
 def forms(token: str, model: CharModel | None) -> list[str]:
-    """The words a token of a lower-cased text may be: itself without its edges, and what is restored from it."""
+    """The words that a token of a lower-cased text stands for: itself without its edges, or where it is disguised
+    the words of its most likely reading. Without a model a disguised token stands for nothing.
+    """
     bare = token.strip(PUNCTUATION)
-    if bare.isalpha():
-        if not _REPEAT.search(bare):
-            return [bare]
-    else:
-        bare = _EDGE.sub("", token)
-    out = [bare] if bare.isalpha() else []
-    plain = "".join(_LETTER.findall(bare))
-    if model is not None and len(bare) > 2 and (is_disguised(bare) or _SPACED.fullmatch(bare)):
-        bare = _LONG_REPEAT.sub(r"\1\1\1", bare)
-        for at in range(0, max(len(bare) - LONGEST // 2, 1), LONGEST // 2):
-            out += [w for reading in restore(bare[at : at + LONGEST], model) for w in reading.split()]
-    if plain:
-        out.append(plain)
-    return list(dict.fromkeys(out))
+    if not bare.isalpha():
+        bare = trimmed(token)
+    spaced = _SPACED.fullmatch(bare)
+    if not spaced and not is_disguised(bare):
+        return [bare] if bare.isalpha() else _WORD.findall(bare)
+    if model is None or len(bare) < 3:
+        return []
+    return list(dict.fromkeys(restore(_LONG_REPEAT.sub(r"\1\1\1", bare), model).split()))
 
 
 def spaced_words(text: str) -> list[str]:
@@ -173,9 +179,11 @@ class TokenFeatures(dict):
     """Features of plain tokens, kept up to a bounded number."""
 
     def __missing__(self, token: str) -> tuple[int, ...]:
-        if len(self) >= 150_000:
-            self.clear()
-        out = self[token] = tuple(h for w in forms(token, None) for h in word_features(w))
+        out = tuple(h for w in forms(token, None) for h in word_features(w))
+        if len(token) <= KEPT:
+            if len(self) >= 150_000:
+                self.clear()
+            self[token] = out
         return out
 
 
@@ -188,15 +196,16 @@ class WordScores(dict):
         self.flag = (weight > 0).astype(np.uint8).tobytes()
 
     def __missing__(self, token: str) -> float:
-        if len(self) >= self.most:
-            self.clear()
         best, flag = 0.0, self.flag
         for word in forms(token, self.model):
             for h in word_features(word):
                 one, two = h & (HALF - 1), HALF + (h >> 40 & (HALF - 1))
                 if flag[one] and flag[two]:
                     best = max(best, float(min(self.weight[one], self.weight[two])))
-        self[token] = best
+        if len(token) <= KEPT:
+            if len(self) >= self.most:
+                self.clear()
+            self[token] = best
         return best
 
 
@@ -291,9 +300,12 @@ def train_toxicity(
 
     Three parts: a letter model of every text; bounded log odds of hashed word features over the labelled texts
     (at most 2^20 slots, whatever the size); and a logistic curve from a text's strongest evidence to its
-    probability, fitted on evidence that leaves the text's own label out. A label row that repeats counts once,
-    the greater label winning; null labels and ids are ignored. Without labels of both kinds every score is
-    the share of label 1 among the labels, or 0 where there are none.
+    probability, fitted on evidence that leaves the text's own label out. Word features are learnt from undisguised
+    words: what a disguise hides is told by the letter model alone. A label row that repeats counts once,
+    the greater label winning; null labels and ids are ignored; a row of ``docs`` that repeats counts each time.
+    Null and empty texts have a label but no features; texts of any length are read whole. Without labels of both
+    kinds every score is the share of label 1 among the labels, or 0 where there are none. Other columns, whatever
+    their names, are ignored. An empty table gives such a model too.
     """
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     labels = labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).alias("label"))
@@ -345,9 +357,12 @@ def logistic(x: np.ndarray, ones: np.ndarray, all_: np.ndarray) -> tuple[float,
 
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel, *, text_col: str = "text", score_col: str = "score") -> DataFrame:
-    """All columns of ``docs`` and the score of each whole text (null and empty ones have no evidence).
+    """All columns of ``docs`` and the score of each whole text, however long: null and empty ones have no evidence.
 
-    A column that is already called ``score_col`` is replaced.
+    The score is that of the strongest word of the restored text: each disguised token stands for its most likely
+    reading and nothing else. Rows are scored one by one, so repeats score alike; of words with equal evidence it
+    does not matter which is taken. A column that is already called ``score_col`` is replaced. An empty table gives
+    an empty result.
     """
     bounded_batches(docs.sparkSession)
     at = np.flatnonzero(model.weight).astype(np.int32)
