@@ -1,12 +1,14 @@
 """Training-data operators on what a cut once left out."""
 
+import itertools
 import random
+import re
 import time
 
 import numpy as np
 import pytest
 
-from tidemark.llm import piece_dropout, token_counts
+from tidemark.llm import media_sequences, pii, piece_dropout, token_counts, toxicity
 
 
 def test_words_are_segmented_anew_at_each_place():
@@ -75,3 +77,58 @@ def test_heap_and_list_agendas_agree(monkeypatch):
             monkeypatch.setattr(piece_dropout, "HEAP_FROM", least)
             found.append(model.encode_chunk(chunk, skips))
         assert found[0] == found[1]
+
+
+@pytest.mark.parametrize("name", LONG)
+def test_long_texts_are_scored_and_parsed_in_linear_time(name):
+    logp = np.log(np.full((64, 64, 64), 1 / 64)).tolist()
+    scores = toxicity.WordScores(np.zeros(toxicity.SLOTS, np.float32), toxicity.CharModel(logp))
+    assert seconds(toxicity.evidence, LONG[name], scores) < 5
+    assert seconds(media_sequences.parse_html, LONG[name]) < 5
+    assert seconds(pii.base_spans, LONG[name]) < 5
+
+
+def test_edges_of_tokens():
+    edge = re.compile(r"^(?:(?![@$€£|][^\W\d_])[\W_])+|(?:(?<![^\W\d_])[\W_]|(?![@$€£|]$)[\W_])+$")
+    r = random.Random(3)
+    for _ in range(20_000):
+        token = "".join(r.choice("ab1$@.-_é|") for _ in range(r.randint(0, 9)))
+        assert toxicity.trimmed(token) == edge.sub("", token), token
+
+
+def likelihood(word, cost, model):
+    p, last = -cost, (0, 0)
+    for code in [*map(toxicity._code, word), 0]:
+        p += model.logp[last[0]][last[1]][code]
+        last = (last[1], code)
+    return p
+
+
+def test_restored_reading_is_the_likeliest_of_all():
+    r = random.Random(6)
+    corpus = toxicity.trigram_codes("the idiot said to the moron that it is a trash and the clown was a loser " * 3)
+    key, n = np.unique((corpus[:-2].astype(int) * 64 + corpus[1:-1]) * 64 + corpus[2:], return_counts=True)
+    model = toxicity.CharModel.fit(key, n)
+    assert [toxicity.restore(x, model) for x in ("1d10t", "m0r0n", "tr@sh", "i d i o t", "cl.0.wn", "looooser", "m0r" + "o" * 90 + "n")] == ["idiot", "moron", "trash", "idiot", "clown", "loser", "moron"]
+    for _ in range(200):
+        token = "".join(r.choice("theidotmrn01@ .") for _ in range(r.randint(1, 7)))
+        best: dict[str, float] = {}
+        for arcs in itertools.product(*toxicity.lattice(token)):
+            word = "".join(x for x, _ in arcs)
+            best[word.strip()] = max(best.get(word.strip(), -1e18), likelihood(word, sum(c for _, c in arcs), model))
+        assert abs(best[toxicity.restore(token, model)] - max(best.values())) < 1e-9
+
+
+def test_pages_that_are_not_well_formed():
+    def kinds(page):
+        return [(p["kind"], p["text"] or p["src"], p["caption"]) for p in media_sequences.parse_html(page)]
+
+    assert kinds('<figure><img src="a.png"><figcaption>cap<p>two</p><p>three</p> four') == [("media", "a.png", "cap"), ("text", "two", None), ("text", "three", None), ("text", "four", None)]
+    assert kinds('<p><img src=a.png alt="lead alt"></p><figcaption>stray</figcaption>') == [("media", "a.png", "lead alt"), ("text", "stray", None)]
+    assert kinds('<figure><img src="a.png"><figcaption>one <b>two</b></figure>x<figure><img src="b.png"></figure>') == [("media", "a.png", "one two"), ("text", "x", None), ("media", "b.png", None)]
+    assert kinds("a < b <i c") == [("text", "a < b <i c", None)]
+    assert kinds('x<!-- never <p>closed</p>') == [("text", "x", None)]
+    assert kinds("<SCRIPT>if (a<b) '</p>'</Script >y<style>p{}</STYLE>z") == [("text", "yz", None)]
+    assert kinds("""<img alt='it is "so"' src = "a>b.png">don't "stop" <p title=it's>now</p>""") == [("media", "a>b.png", 'it is "so"'), ("text", "don't \"stop\"", None), ("text", "now", None)]
+    assert kinds("<figure><figcaption>before</figcaption><img src=a alt=b></figure>") == [("media", "a", "before")]
+    assert kinds("<figure><figcaption>alone</figcaption></figure>z") == [("text", "alone", None), ("text", "z", None)]

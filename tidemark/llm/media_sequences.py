@@ -6,6 +6,7 @@ import hashlib
 import html as html_lib
 import re
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,60 +18,139 @@ TILE = 576
 WIDTH = 24
 PARTS = "array<struct<position:int,kind:string,text:string,src:string,digest:string,caption:string>>"
 
-_TOKEN = re.compile(r"<!--.*?-->|<(script|style)\b[^>]*>.*?</\1\s*>|<(/?)([a-zA-Z][a-zA-Z0-9]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<![^>]*>", re.S | re.I)
-_ATTR = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")
+_NAME = re.compile(r"[a-zA-Z][a-zA-Z0-9]*")
+_STOP = re.compile(r"[>\"']")
+_ATTR = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))")
 _SPACE = re.compile(r"\s+")
 MEDIA_TAGS = {"img", "video", "audio", "source"}
-BREAKING = {"p", "div", "br", "li", "ul", "ol", "h1", "h2", "h3", "h4", "h5", "h6", "tr", "table", "article", "section", "figure", "nav", "blockquote", "pre", "title", "body", "head", "html"}
+BREAKING = {"p", "figcaption", "div", "br", "li", "ul", "ol", "h1", "h2", "h3", "h4", "h5", "h6", "tr", "table", "article", "section", "figure", "nav", "blockquote", "pre", "title", "body", "head", "html"}
+
+
+def tags(page: str) -> Iterator[tuple[int, int, str, bool, str]]:
+    """(start, end, lower-cased name, closing, attributes) of the tags of a page, in one walk over it.
+
+    Comments, declarations, scripts and styles have the name "". One that is never closed runs to the end of the
+    page, as does a script; a ``<`` after which no ``>`` comes is text. A quoted value may hold ``>``; a quote
+    without its like after it is an ordinary character. What has been sought in vain once is not sought again, so
+    time is linear whatever the page.
+    """
+    at, size = 0, len(page)
+    absent: set[str] = set()
+
+    def seek(what: str, start: int, text: str = page) -> int:
+        if what in absent:
+            return -1
+        found = text.find(what, start)
+        if found < 0:
+            absent.add(what)
+        return found
+
+    lowered = ""
+    while (at := page.find("<", at)) >= 0:
+        if page.startswith("<!--", at):
+            end = seek("-->", at + 4)
+            end = size if end < 0 else end + 3
+            yield at, end, "", False, ""
+            at = end
+            continue
+        name = _NAME.match(page, at + 1 + page.startswith("/", at + 1))
+        if not name and not page.startswith("!", at + 1):
+            at += 1
+            continue
+        end = name.end() if name else at + 2
+        stop = _STOP.search(page, end)
+        while stop and stop.group() != ">":
+            quote, end = stop.group(), stop.end()
+            # a value's quote stands after its equals sign, with white space at most between them
+            close = seek(quote, end) if page[max(stop.start() - 16, 0) : stop.start()].rstrip().endswith("=") else -1
+            stop = _STOP.search(page, close + 1 if close >= 0 else end)
+        if not stop:
+            return
+        tag, closing, end = (name.group().lower() if name else ""), page.startswith("/", at + 1), stop.end()
+        if tag in ("script", "style") and not closing:
+            lowered = lowered or (page.lower() if page.isascii() else page.translate(_LOWER))
+            close = seek(f"</{tag}", end, lowered)
+            close = page.find(">", close) if close >= 0 else -1
+            end, tag = (close + 1 if close >= 0 else size), ""
+        yield at, end, tag, closing, page[name.end() : stop.start()] if name and tag in MEDIA_TAGS else ""
+        at = end
+
+
+_LOWER = {c: c + 32 for c in range(65, 91)}
+
+
+def _folded(pieces: list[str]) -> str:
+    return _SPACE.sub(" ", html_lib.unescape("".join(pieces))).strip()
 
 
 def parse_html(page: str | None) -> list[dict]:
-    """Ordered text and media parts of a page.
+    """Ordered text and media parts of a page, in time linear in its length.
 
     Text between block tags makes one part, white space folded, entities decoded; scripts, styles and comments
     are left out. A media element makes a part at its place; its caption is the ``figcaption`` of the figure it
-    stands in, else its ``alt`` text. A ``digest:`` source or a ``data-digest`` attribute names the payload.
+    stands in, else its ``alt`` text; a figure without media leaves its caption as text. A caption ends with its own tag or its figure; one that neither ends takes the
+    text up to the next block tag, and one outside a figure is ordinary text. Of several captions of a figure
+    the last one holds. A ``digest:`` source or a ``data-digest`` attribute names the payload.
     """
     parts: list[dict] = []
     buffer: list[str] = []
-    figure: list[dict] = []
-    caption: list[str] | None = None
+    figure: list[dict] | None = None
+    told: str | None = None  # the open figure's caption
+    caption: int | None = None  # the place in ``parts`` from which texts belong to the open caption
 
     def flush() -> None:
-        text = _SPACE.sub(" ", html_lib.unescape("".join(buffer))).strip()
+        text = _folded(buffer)
         buffer.clear()
         if text:
             parts.append({"kind": "text", "text": text, "src": None, "digest": None, "caption": None})
 
+    def close_caption(whole: bool = True) -> None:
+        nonlocal caption, told
+        flush()
+        tail = parts[caption:]
+        texts = [p for p in tail if p["kind"] == "text"][: None if whole else 1]
+        taken = set(map(id, texts))
+        parts[caption:] = [p for p in tail if id(p) not in taken]
+        caption = None
+        told = " ".join(p["text"] for p in texts) or told
+        for part in figure or () if told else ():
+            part["caption"] = told
+
+    def close_figure() -> None:
+        nonlocal told, figure
+        if caption is not None:
+            close_caption()
+        flush()
+        if told and not figure:
+            parts.append({"kind": "text", "text": told, "src": None, "digest": None, "caption": None})
+        told = figure = None
+
     at, page = 0, page or ""
-    for m in _TOKEN.finditer(page):
-        (buffer if caption is None else caption).append(page[at : m.start()])
-        at = m.end()
-        tag = (m.group(3) or "").lower()
-        closing = m.group(2) == "/"
-        if tag == "figcaption":
-            if not closing:
-                flush()
-                caption = []
-            elif caption is not None:
-                text = _SPACE.sub(" ", html_lib.unescape("".join(caption))).strip()
-                for part in figure:
-                    part["caption"] = text
-                caption = None
+    for start, end, tag, closing, attributes in tags(page):
+        buffer.append(page[at:start])
+        at = end
+        if tag == "figcaption" and figure is not None:
+            if caption is not None:
+                close_caption()
+            flush()
+            caption = None if closing else len(parts)
         elif tag in MEDIA_TAGS and not closing:
-            attrs = {k.lower(): html_lib.unescape(next((x for x in v if x), "")) for k, *v in _ATTR.findall(m.group(4) or "")}
+            attrs = {k.lower(): html_lib.unescape(next((x for x in v if x), "")) for k, *v in _ATTR.findall(attributes)}
             if src := attrs.get("src"):
                 flush()
                 digest = attrs.get("data-digest") or (src[7:] if src.startswith("digest:") else None)
-                parts.append({"kind": "media", "text": None, "src": src, "digest": digest, "caption": attrs.get("alt") or None})
-                figure.append(parts[-1])
+                parts.append({"kind": "media", "text": None, "src": src, "digest": digest, "caption": told or attrs.get("alt") or None})
+                if figure is not None:
+                    figure.append(parts[-1])
         elif tag == "figure":
-            flush()
-            figure = []
+            close_figure()
+            figure = None if closing else []
         elif tag in BREAKING:
             flush()
-    (buffer if caption is None else caption).append(page[at:])
-    flush()
+    buffer.append(page[at:])
+    if caption is not None:
+        close_caption(whole=False)
+    close_figure()
     return [{"position": i, **p} for i, p in enumerate(parts)]
 
 
