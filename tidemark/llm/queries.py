@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from .decontaminate import OP5_SQL, op5_decontamination
 from .language_id import op9_language_id
-from .license_scan import op7_license_scan
+from .license_scan import OP7_SQL, op7_license_scan
 from .media_sequences import op4_media_columns
 from .ngram_join import op1_ngram_jaccard_join
 from .pii import op3_pii
@@ -14,4 +14,4 @@ from .toxicity import op2_toxicity
 from .url_rules import OP6_SQL, op6_url_filters
 
 QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_toxicity, op3_pii, op4_media_columns, op5_decontamination, op6_url_filters, op7_license_scan, op8_piece_dropout, op9_language_id, op10_token_counts)}
-SQL = {"op5_decontamination": OP5_SQL, "op6_url_filters": OP6_SQL}
+SQL = {"op5_decontamination": OP5_SQL, "op6_url_filters": OP6_SQL, "op7_license_scan": OP7_SQL}
