@@ -19,8 +19,8 @@ SENTENCES = [
     ("mit.grant", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions"),
     ("mit.grant", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction"),
     ("mit.condition", "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software"),
-    ("mit.warranty", "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement"),
-    ("mit.warranty", "the software is provided as is without warranty of any kind express or implied"),
+    ("asis.warranty", "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement"),
+    ("asis.warranty", "the software is provided as is without warranty of any kind express or implied"),
     ("mit.liability", "in no event shall the authors or copyright holders be liable for any claim damages or other liability whether in an action of contract tort or otherwise arising from out of or in connection with the software or the use or other dealings in the software"),
     ("isc.title", "isc license"),
     ("isc.grant", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies"),
@@ -88,8 +88,8 @@ SPDX = [
 ]
 #: Rules in order of precedence: (licence, identifiers that follow each other).
 RULES = [
-    ("MIT", ["mit.grant", "mit.condition", "mit.warranty", "mit.liability"]),
-    ("MIT", ["mit.grant", "mit.condition", "mit.warranty"]),
+    ("MIT", ["mit.grant", "mit.condition", "asis.warranty", "mit.liability"]),
+    ("MIT", ["mit.grant", "mit.condition", "asis.warranty"]),
     ("MIT", ["mit.grant", "mit.condition"]),
     ("BSD-3-Clause", ["bsd.redistribute", "bsd.source", "bsd.binary", "bsd.endorse", "bsd.disclaimer"]),
     ("BSD-3-Clause", ["bsd.redistribute", "bsd.source", "bsd.binary", "bsd.endorse"]),
@@ -144,9 +144,10 @@ RULES = [
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Marks in a prepared text, in which they are blanked before: a sentence ends; an SPDX expression begins.
 END, EXPRESSION = "\x01", "\x02"
-#: An SPDX line; two line breaks with no letter or digit of ASCII between them (comment signs may stand there); and a
-#: sentence's punctuation before white space. Each is linear in the text, whatever it repeats.
-SPDX_LINE, BLANK_LINE, STOP = r"(?i)SPDX-License-Identifier:[ \t]*([^\n]*)", r"\n[^A-Za-z0-9]*\n", r"[.!?;:][ \t\n]"
+#: An SPDX line; an initial, whose full stop ends no sentence; two line breaks with no letter or digit of ASCII between
+#: them (comment signs may stand there); and a sentence's punctuation before white space. Each is linear in the text,
+#: whatever it repeats.
+SPDX_LINE, INITIAL, BLANK_LINE, STOP = r"(?i)SPDX-License-Identifier:[ \t]*([^\n]*)", r"([ \n][A-Z])\.", r"\n[^A-Za-z0-9]*\n", r"[.!?;:][ \t\n]"
 
 
 def normalised(sentence: Column) -> Column:
@@ -157,6 +158,7 @@ def sentences_of(text: Column) -> Column:
     """Sentences of a text, wrapped lines still in them; they end at blank lines and at punctuation."""
     text = F.translate(F.coalesce(text, F.lit("")), END + EXPRESSION, "  ")
     text = F.regexp_replace(F.regexp_replace(text, r"\r\n?", "\n"), SPDX_LINE, f"\n\n{EXPRESSION}$1\n\n")
+    text = F.regexp_replace(text, INITIAL, "$1")
     return F.split(F.regexp_replace(F.regexp_replace(text, BLANK_LINE, END), STOP, END), END)
 
 
@@ -228,8 +230,8 @@ def _sql() -> str:
 WITH s(ident, n) AS (VALUES {values(SENTENCES)}), fr(ident, a, b) AS (VALUES {values(FRAMES)}), sp(ident, n) AS (VALUES {values((f"spdx.{x}", x.lower()) for x in SPDX)}),
 t AS MATERIALIZED (
   SELECT row_number() OVER () AS k, doc_id,
-    string_split(regexp_replace(regexp_replace(regexp_replace(regexp_replace(translate(coalesce(text, ''), chr(1) || chr(2), '  '), '\r\n?', chr(10), 'g'),
-      '{SPDX_LINE}', chr(10) || chr(10) || chr(2) || '\1' || chr(10) || chr(10), 'g'), '{BLANK_LINE}', chr(1), 'g'), '{STOP}', chr(1), 'g'), chr(1)) AS parts
+    string_split(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(translate(coalesce(text, ''), chr(1) || chr(2), '  '), '\r\n?', chr(10), 'g'),
+      '{SPDX_LINE}', chr(10) || chr(10) || chr(2) || '\1' || chr(10) || chr(10), 'g'), '{INITIAL}', '\1', 'g'), '{BLANK_LINE}', chr(1), 'g'), '{STOP}', chr(1), 'g'), chr(1)) AS parts
   FROM documents
 ), p AS (SELECT k, unnest(parts) AS p, generate_subscripts(parts, 1) AS i FROM t),
 n AS MATERIALIZED (SELECT k, i, p, {norm % "p"} AS n FROM p),
