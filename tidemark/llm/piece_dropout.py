@@ -20,15 +20,15 @@ MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
 #: No piece continues over a space, so merges never leave spaces-then-word chunks.
 CHUNK = re.compile(r" *[^ ]+| +")
-#: Gaps between skips that are drawn at a time.
-DRAWN = 256
-#: Longest chunk in characters whose segmentations are cached, which bounds the bytes of the cache's keys.
+#: Longest chunk in characters that is merged in arrays with others and cached, which bounds the bytes of the cache's keys.
 SHORT = 20
-#: From so many symbols on the agenda is a heap over linked symbols; below, a short list is quicker. Both merge alike.
+#: From so many symbols on the agenda of a longer chunk is a heap over linked symbols; below, a short list is quicker.
 HEAP_FROM = 48
 #: Stands for a U+2581 of the text itself: two characters, so no single character and no piece equals it.
 LITERAL = "\ufdd0\ufdd0"
 NEVER = float("inf")
+LAST = np.int32(2**31 - 1)
+GOLDEN, SECOND, THIRD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _models: dict[str, PieceModel] = {}
 
 
@@ -43,6 +43,7 @@ class PieceModel:
         self.score: dict[str, float] = {}
         self.raw: list[bytes] = []
         self.byte_ids = [0] * 256
+        self._pairs: PairTable | None = None
         for i in range(sp.get_piece_size()):
             piece = sp.id_to_piece(i)
             if sp.is_byte(i):
@@ -62,6 +63,11 @@ class PieceModel:
             _models[path] = PieceModel(path)
         return _models[path]
 
+    def pairs(self) -> PairTable:
+        if self._pairs is None:
+            self._pairs = PairTable(self)
+        return self._pairs
+
     def encode_chunk(self, chunk: str, skips: Iterable[int] = ()) -> tuple[bytes, int]:
         """Piece ids of one chunk as int32 bytes, and how many candidates came up.
 
@@ -138,39 +144,174 @@ class PieceModel:
         return b"".join(map(self.raw.__getitem__, ids.tolist())).decode()[1:]
 
 
-class ChunkCache(dict):
-    """(ids, candidates) of chunks without a skip, and of (chunk, skips), up to a bounded number; a cache of
-    what the arguments give, so it has no part in which merges are skipped."""
+def draws(keys: np.ndarray, number: np.ndarray | int) -> np.ndarray:
+    """Keyed hashes, 53 bits each: of a chunk's key and the number of the candidate merge in the chunk."""
+    x = keys + (np.atleast_1d(number).astype(np.uint64) + np.uint64(1)) * GOLDEN
+    x = (x ^ (x >> np.uint64(30))) * SECOND
+    x = (x ^ (x >> np.uint64(27))) * THIRD
+    return (x ^ (x >> np.uint64(31))) >> np.uint64(11)
 
-    def __init__(self, model: PieceModel, most: int = 600_000):
-        super().__init__()
-        self.model, self.most = model, most
 
-    def __missing__(self, key: str | tuple[str, tuple[int, ...]]) -> tuple[bytes, int]:
-        chunk, skips = (key, ()) if isinstance(key, str) else key
-        out = self.model.encode_chunk(chunk, skips)
-        if len(self) >= self.most:
-            self.clear()
-        self[key] = out
-        return out
+def skipped_numbers(key: np.uint64, least: int) -> Iterator[int]:
+    """Numbers of the candidates that are skipped, ascending, a block at a time."""
+    at = 0
+    while True:
+        yield from (np.flatnonzero(draws(np.full(1024, key), np.arange(at, at + 1024)) < least) + at).tolist()
+        at += 1024
 
 
-def skip_gaps(key: int, dropout: float) -> Iterator[int]:
-    """How many candidates pass before each next skip: geometric, from the keyed hashes of 0, 1, 2, ..."""
-    per, at = np.log1p(-dropout), 0
-    while True:
-        x = (np.arange(at + 1, at + DRAWN + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) + np.uint64(key)
-        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        u = (((x ^ (x >> np.uint64(31))) >> np.uint64(11)).astype(np.float64) + 0.5) / 2**53
-        yield from (np.log(u) / per).astype(np.int64).tolist()
-        at += DRAWN
+class PairTable:
+    """Ranks and merged ids of adjacent symbols, in an open-addressed table of arrays.
+
+    Symbols are piece ids; a character of a piece that is no piece itself has an id from ``first_extra`` on, any
+    other character the negative of its code point less one.
+    """
+
+    def __init__(self, model: PieceModel):
+        pieces = model.ids
+        self.first_extra = len(model.raw)
+        extra = sorted({c for p in pieces for c in p} - set(pieces))
+        symbol = pieces | {c: self.first_extra + i for i, c in enumerate(extra)}
+        self.extra, self.byte_ids = extra, model.byte_ids
+        self.width = self.first_extra + len(extra)
+        order = {x: i for i, x in enumerate(sorted(set(model.score.values())))}
+        made = {}
+        for p, i in pieces.items():
+            for k in range(1, len(p)):
+                if p[:k] in symbol and p[k:] in symbol:
+                    made[symbol[p[:k]] * self.width + symbol[p[k:]]] = (order[model.score[p]], i)
+        keys = np.fromiter(made, np.int64, len(made))
+        self.bits = max(4, int(np.ceil(np.log2(max(len(keys), 1) * 4))))
+        self.keys = np.full(1 << self.bits, -1, np.int64)
+        self.rank, self.merged = (np.full(1 << self.bits, x, np.int32) for x in (LAST, 0))
+        rank, merged = (np.array([v[j] for v in made.values()], np.int32) for j in (0, 1))
+        left, slot = np.arange(len(keys)), self._slot(keys)
+        while len(left):
+            free = self.keys[slot] < 0
+            at, first = np.unique(np.where(free, slot, -1), return_index=True)
+            first = first[at >= 0]
+            taken = slot[first]
+            self.keys[taken], self.rank[taken], self.merged[taken] = keys[left[first]], rank[left[first]], merged[left[first]]
+            rest = np.ones(len(left), bool)
+            rest[first] = False
+            left, slot = left[rest], (slot[rest] + 1) & ((1 << self.bits) - 1)
+        self.free = int(np.flatnonzero(self.keys < 0)[0])  # a place without a pair
+        self.symbols = -1 - np.arange(0x110000, dtype=np.int32)
+        for c, i in symbol.items():
+            if len(c) == 1:
+                self.symbols[ord(c)] = i
+        self.symbols[ord(" ")] = symbol.get(SPACE, -1 - ord(SPACE))
+        self.symbols[ord(SPACE)] = -1 - ord(SPACE)  # a literal U+2581, told from a space
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * GOLDEN) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def find(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Place of each pair in the table; a place without a pair has the last rank."""
+        key = np.where((a < 0) | (b < 0), np.int64(-2), a.astype(np.int64) * self.width + b)
+        slot = self._slot(key)
+        met = self.keys[slot]
+        rest = np.flatnonzero((met != key) & (met >= 0))
+        while len(rest):
+            slot[rest] = (slot[rest] + 1) & ((1 << self.bits) - 1)
+            met = self.keys[slot[rest]]
+            rest = rest[(met != key[rest]) & (met >= 0)]
+        return slot
+
+    def merge(self, chunks: list[str], keys: np.ndarray | None, least: int) -> tuple[list[bytes], np.ndarray]:
+        """Piece ids of each chunk, as int32 bytes, when no candidate is left, and how many candidates came up.
+
+        All chunks go on together, a candidate each at a time: the best, the leftmost of equals. With ``keys`` the
+        candidate is skipped where its draw is under ``least``.
+        """
+        n = np.fromiter(map(len, chunks), np.int64, len(chunks))
+        out = [b""] * len(chunks)
+        came = np.zeros(len(chunks), np.int64)
+        flat = self.symbols[np.frombuffer("".join(chunks).encode("utf-32-le", "surrogatepass"), np.uint32)]
+        start = np.cumsum(n) - n
+        by_length = np.argsort(n, kind="stable")
+        cut = np.searchsorted(n[by_length], [1, 4, 6, 8, 10, 13, 16, max(SHORT, 16)], "right")
+        for lo, hi in zip([0, *cut], [*cut, len(chunks)]):  # noqa: B905
+            row = by_length[lo:hi]
+            if not len(row):
+                continue
+            width = int(n[row[-1]])
+            place = np.arange(width)
+            size = n[row].copy()
+            s = np.where(place < size[:, None], flat[np.minimum(start[row][:, None] + place, len(flat) - 1)], np.int32(-1))
+            at = self.find(s[:, :-1].ravel(), s[:, 1:].ravel()).reshape(len(row), width - 1)
+            number = 0
+            while len(row):
+                rank = self.rank[at] if width > 1 else np.full((len(row), 1), LAST)
+                i = rank.argmin(1)
+                every = np.arange(len(row))
+                done = rank[every, i] == LAST
+                if done.any():
+                    self._finish(out, row[done], s[done], size[done])
+                    came[row[done]] = number
+                    go = ~done
+                    row, s, at, size, i = row[go], s[go], at[go], size[go], i[go]
+                    if not len(row):
+                        break
+                    every = np.arange(len(row))
+                skip = draws(keys[row], number) < least if keys is not None else np.zeros(len(row), bool)
+                number += 1
+                at[every[skip], i[skip]] = self.free
+                m = every[~skip]
+                if not len(m):
+                    continue
+                i = i[m]
+                s[m, i] = self.merged[at[m, i]]
+                after = np.arange(width)[None, :]
+                after = np.minimum(after + (after > i[:, None]), width - 1)
+                s[m] = np.take_along_axis(s[m], after, 1)
+                size[m] -= 1
+                s[m, size[m]] = -1
+                gone = np.arange(width - 1)[None, :]
+                at[m] = np.take_along_axis(at[m], np.minimum(gone + (gone >= i[:, None]), width - 2), 1)
+                at[m, size[m] - 1] = self.free
+                right = m[i + 1 < size[m]]
+                j = i[i + 1 < size[m]]
+                at[right, j] = self.find(s[right, j], s[right, j + 1])
+                left = m[i > 0]
+                j = i[i > 0]
+                at[left, j - 1] = self.find(s[left, j - 1], s[left, j])
+        return out, came
+
+    def _finish(self, out: list[bytes], row: np.ndarray, s: np.ndarray, size: np.ndarray) -> None:
+        raw, step = s.tobytes(), 4 * s.shape[1]
+        for j, (i, n) in enumerate(zip(row.tolist(), (4 * size).tolist(), strict=True)):
+            out[i] = raw[j * step : j * step + n]
+        odd = ((s < 0).sum(1) > s.shape[1] - size) | (s.max(1, initial=0) >= self.first_extra)
+        for j in np.flatnonzero(odd).tolist():
+            out[row[j]] = self._with_bytes(s[j, : size[j]])
+
+    def _with_bytes(self, symbols: np.ndarray) -> bytes:
+        """Symbols as int32 ids; characters without a piece become byte pieces."""
+        ids = []
+        for x in symbols.tolist():
+            if 0 <= x < self.first_extra:
+                ids.append(x)
+            else:
+                c = self.extra[x - self.first_extra] if x >= 0 else chr(-1 - x)
+                ids += [self.byte_ids[b] for b in c.encode("utf-8", "surrogatepass")]
+        return pack(f"{len(ids)}i", *ids)
 
 
 class Encoder:
-    def __init__(self, path: str, seed: int, dropout: float):
-        self.seed, self.dropout = seed & (1 << 64) - 1, dropout
-        self.chunks = ChunkCache(PieceModel.load(path))
+    """Encodes texts; keeps what short chunks come to without a skip, up to a bounded number.
+
+    The cache holds what its key gives, so it has no part in which merges are skipped.
+    """
+
+    def __init__(self, path: str, seed: int, dropout: float, most: int = 400_000):
+        self.model = PieceModel.load(path)
+        self.pairs = self.model.pairs()
+        self.seed, self.most = seed & (1 << 64) - 1, most
+        self.least = round(min(max(dropout, 0.0), 1.0) * 2**53)
+        self.slots: dict[str, int] = {}
+        self.plain: list[bytes] = []
+        self.came = np.zeros(0, np.int64)
 
     @staticmethod
     def kept(path: str, seed: int, dropout: float) -> Encoder:
@@ -178,41 +319,54 @@ class Encoder:
         return held(("pieces", path, seed, dropout), lambda: Encoder(path, seed, dropout))
 
     def encode(self, text: str | None) -> bytes:
-        """int32 ids of a whole text. Every candidate merge of every chunk of the text is skipped or not by a draw
-        of its own, keyed by the seed, the text and the candidate's number in the text; so a word is segmented anew
-        at each place, and equal texts are segmented alike under one seed."""
-        if not text:
-            return b""
-        found, chunks = self.chunks, CHUNK.findall(" " + text)
-        if self.dropout <= 0:
-            return b"".join([found[c][0] for c in chunks])
-        model = found.model
-        if self.dropout >= 1:
-            return b"".join([model.encode_chunk(c, range(len(c)))[0] for c in chunks])
-        gaps = skip_gaps(xxhash.xxh3_64_intdigest(text.encode(), self.seed), self.dropout)
-        gap = next(gaps)
-
-        def numbers() -> Iterator[int]:
-            nonlocal gap
-            while True:
-                yield gap
-                gap += 1 + next(gaps)
-
-        out: list[bytes] = []
-        for c in chunks:
-            if len(c) > SHORT:
-                ids, came = model.encode_chunk(c, numbers())
-            else:
-                ids, came = found[c]
-                if gap < came:
-                    skips: tuple[int, ...] = ()
-                    while gap < came:
-                        skips += (gap,)
-                        gap += 1 + next(gaps)
-                        ids, came = found[c, skips]
-            gap -= came
-            out.append(ids)
-        return b"".join(out)
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str | None]) -> list[bytes]:
+        """int32 ids of whole texts. Every candidate merge of every chunk of a text is skipped or not by a draw of its
+        own, keyed by the seed, the text, the chunk's place in the text and the candidate's number in the chunk; so a
+        word is segmented anew at each place, and equal texts are segmented alike under one seed."""
+        found = [CHUNK.findall(" " + t) if t else [] for t in texts]
+        chunks = [c for f in found for c in f]
+        if not chunks:
+            return [b""] * len(texts)
+        counts = np.fromiter(map(len, found), np.int64, len(found))
+        ends = np.cumsum(counts)
+        text_keys = np.array([xxhash.xxh3_64_intdigest(t.encode("utf-8", "surrogatepass"), self.seed) if t else 0 for t in texts], np.uint64)
+        place = np.arange(len(chunks)) - np.repeat(ends - counts, counts)
+        keys = draws(np.repeat(text_keys, counts), place)
+        slots = self._slots_of(chunks)
+        out: list[bytes] = list(map([*self.plain, b""].__getitem__, slots.tolist()))
+        if self.least:
+            self._with_skips(chunks, keys, slots, out)
+        for i in np.flatnonzero(slots < 0).tolist():
+            out[i] = self.model.encode_chunk(chunks[i], skipped_numbers(keys[i], self.least) if self.least else ())[0]
+        ends = ends.tolist()
+        return [b"".join(out[a:b]) for a, b in zip([0, *ends], ends)]  # noqa: B905
+
+    def _slots_of(self, chunks: list[str]) -> np.ndarray:
+        """Place of each chunk in the cache, into which new ones are put; -1 for long ones."""
+        if len(self.slots) >= self.most:
+            self.slots.clear()
+            self.plain.clear()
+            self.came = self.came[:0]
+        new = [c for c in set(chunks).difference(self.slots) if len(c) <= SHORT]
+        if new:
+            merged, came = self.pairs.merge(new, None, 0)
+            self.slots.update(zip(new, range(len(self.plain), len(self.plain) + len(new)), strict=True))
+            self.plain += merged
+            self.came = np.r_[self.came, came]
+        get = self.slots.get
+        return np.fromiter((get(c, -1) for c in chunks), np.int64, len(chunks))
+
+    def _with_skips(self, chunks: list[str], keys: np.ndarray, slots: np.ndarray, out: list[bytes]) -> None:
+        short = np.flatnonzero(slots >= 0)
+        came = self.came[slots[short]]
+        owner = np.repeat(short, came)
+        number = np.arange(len(owner)) - np.repeat(np.cumsum(came) - came, came)
+        hit = np.unique(owner[draws(keys[owner], number) < self.least])
+        merged, _ = self.pairs.merge([chunks[i] for i in hit.tolist()], keys[hit], self.least)
+        for i, x in zip(hit.tolist(), merged, strict=True):
+            out[i] = x
 
 
 def _lists(encoded: list[bytes]) -> pa.ListArray:
@@ -237,7 +391,7 @@ def encode_pieces(docs: DataFrame, *, text_col: str = "text", ids_col: str = "pi
         for batch in batches:
             for lo in range(0, batch.num_rows, 128):
                 rows = batch.slice(lo, 128)
-                ids = _lists([encoder.encode(t) for t in rows.column(text_col).to_pylist()])
+                ids = _lists(encoder.encode_all(rows.column(text_col).to_pylist()))
                 yield pa.RecordBatch.from_arrays([*(rows.column(c) for c in inputs), ids], names=[*inputs, ids_col])
         release_memory()
 
