@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable, Iterator
 from heapq import heapify, heappop, heappush
+from itertools import repeat
 from struct import pack
 
 import numpy as np
@@ -27,7 +28,8 @@ HEAP_FROM = 48
 #: Stands for a U+2581 of the text itself: two characters, so no single character and no piece equals it.
 LITERAL = "\ufdd0\ufdd0"
 NEVER = float("inf")
-LAST = np.int32(2**31 - 1)
+#: Where no merge is possible.
+LAST = np.int64(2**63 - 1)
 GOLDEN, SECOND, THIRD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _models: dict[str, PieceModel] = {}
 
@@ -183,19 +185,20 @@ class PairTable:
         keys = np.fromiter(made, np.int64, len(made))
         self.bits = max(4, int(np.ceil(np.log2(max(len(keys), 1) * 4))))
         self.keys = np.full(1 << self.bits, -1, np.int64)
-        self.rank, self.merged = (np.full(1 << self.bits, x, np.int32) for x in (LAST, 0))
-        rank, merged = (np.array([v[j] for v in made.values()], np.int32) for j in (0, 1))
+        # rank above, merged id below; ranks of their own make the comparison of both the comparison of ranks
+        self.value = np.full(1 << self.bits, LAST)
+        values = np.array([rank << 32 | merged for rank, merged in made.values()], np.int64)
+        self.ranks_differ = len(order) == len(model.score)
         left, slot = np.arange(len(keys)), self._slot(keys)
         while len(left):
             free = self.keys[slot] < 0
             at, first = np.unique(np.where(free, slot, -1), return_index=True)
             first = first[at >= 0]
             taken = slot[first]
-            self.keys[taken], self.rank[taken], self.merged[taken] = keys[left[first]], rank[left[first]], merged[left[first]]
+            self.keys[taken], self.value[taken] = keys[left[first]], values[left[first]]
             rest = np.ones(len(left), bool)
             rest[first] = False
             left, slot = left[rest], (slot[rest] + 1) & ((1 << self.bits) - 1)
-        self.free = int(np.flatnonzero(self.keys < 0)[0])  # a place without a pair
         self.symbols = -1 - np.arange(0x110000, dtype=np.int32)
         for c, i in symbol.items():
             if len(c) == 1:
@@ -207,7 +210,7 @@ class PairTable:
         return ((keys.astype(np.uint64) * GOLDEN) >> np.uint64(64 - self.bits)).astype(np.int64)
 
     def find(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Place of each pair in the table; a place without a pair has the last rank."""
+        """Rank and merged id of each pair."""
         key = np.where((a < 0) | (b < 0), np.int64(-2), a.astype(np.int64) * self.width + b)
         slot = self._slot(key)
         met = self.keys[slot]
@@ -216,7 +219,7 @@ class PairTable:
             slot[rest] = (slot[rest] + 1) & ((1 << self.bits) - 1)
             met = self.keys[slot[rest]]
             rest = rest[(met != key[rest]) & (met >= 0)]
-        return slot
+        return self.value[slot]
 
     def merge(self, chunks: list[str], keys: np.ndarray | None, least: int) -> tuple[list[bytes], np.ndarray]:
         """Piece ids of each chunk, as int32 bytes, when no candidate is left, and how many candidates came up.
@@ -239,29 +242,29 @@ class PairTable:
             place = np.arange(width)
             size = n[row].copy()
             s = np.where(place < size[:, None], flat[np.minimum(start[row][:, None] + place, len(flat) - 1)], np.int32(-1))
-            at = self.find(s[:, :-1].ravel(), s[:, 1:].ravel()).reshape(len(row), width - 1)
+            at = self.find(s[:, :-1].ravel(), s[:, 1:].ravel()).reshape(len(row), width - 1) if width > 1 else np.full((len(row), 1), LAST)
             number = 0
             while len(row):
-                rank = self.rank[at] if width > 1 else np.full((len(row), 1), LAST)
-                i = rank.argmin(1)
+                i = (at if self.ranks_differ else at >> 32).argmin(1)
                 every = np.arange(len(row))
-                done = rank[every, i] == LAST
+                best = at[every, i]
+                done = best == LAST
                 if done.any():
                     self._finish(out, row[done], s[done], size[done])
                     came[row[done]] = number
                     go = ~done
-                    row, s, at, size, i = row[go], s[go], at[go], size[go], i[go]
+                    row, s, at, size, i, best = row[go], s[go], at[go], size[go], i[go], best[go]
                     if not len(row):
                         break
                     every = np.arange(len(row))
                 skip = draws(keys[row], number) < least if keys is not None else np.zeros(len(row), bool)
                 number += 1
-                at[every[skip], i[skip]] = self.free
+                at[every[skip], i[skip]] = LAST
                 m = every[~skip]
                 if not len(m):
                     continue
                 i = i[m]
-                s[m, i] = self.merged[at[m, i]]
+                s[m, i] = best[m].astype(np.int32)
                 after = np.arange(width)[None, :]
                 after = np.minimum(after + (after > i[:, None]), width - 1)
                 s[m] = np.take_along_axis(s[m], after, 1)
@@ -269,7 +272,7 @@ class PairTable:
                 s[m, size[m]] = -1
                 gone = np.arange(width - 1)[None, :]
                 at[m] = np.take_along_axis(at[m], np.minimum(gone + (gone >= i[:, None]), width - 2), 1)
-                at[m, size[m] - 1] = self.free
+                at[m, size[m] - 1] = LAST
                 right = m[i + 1 < size[m]]
                 j = i[i + 1 < size[m]]
                 at[right, j] = self.find(s[right, j], s[right, j + 1])
@@ -355,8 +358,7 @@ class Encoder:
             self.slots.update(zip(new, range(len(self.plain), len(self.plain) + len(new)), strict=True))
             self.plain += merged
             self.came = np.r_[self.came, came]
-        get = self.slots.get
-        return np.fromiter((get(c, -1) for c in chunks), np.int64, len(chunks))
+        return np.fromiter(map(self.slots.get, chunks, repeat(-1)), np.int64, len(chunks))
 
     def _with_skips(self, chunks: list[str], keys: np.ndarray, slots: np.ndarray, out: list[bytes]) -> None:
         short = np.flatnonzero(slots >= 0)
@@ -389,8 +391,8 @@ def encode_pieces(docs: DataFrame, *, text_col: str = "text", ids_col: str = "pi
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder.kept(path, seed, dropout)
         for batch in batches:
-            for lo in range(0, batch.num_rows, 128):
-                rows = batch.slice(lo, 128)
+            for lo in range(0, batch.num_rows, 256):
+                rows = batch.slice(lo, 256)
                 ids = _lists(encoder.encode_all(rows.column(text_col).to_pylist()))
                 yield pa.RecordBatch.from_arrays([*(rows.column(c) for c in inputs), ids], names=[*inputs, ids_col])
         release_memory()
