@@ -1,5 +1,6 @@
 """Small tables with nulls, empty and long texts, repeats and clashing columns, against brute force."""
 
+import collections
 import hashlib
 import random
 import re
@@ -259,15 +260,70 @@ def test_language_of_other_scripts(spark):
     assert all(got[i] == x for i, _, x in fresh)
 
 
-def test_kneser_ney_sums_to_one():
-    keys = language_id.gram_keys(language_id.char_codes("the cat sat on the mat and the hat"))
-    k, n = np.unique(keys, return_counts=True)
-    model = language_id.KneserNey.fit(["xx"], np.zeros(len(k), int), k, n, 4)
-    bits, size = language_id.BITS, language_id.SIZE
-    assert keys.max() < 1 << (4 * bits)
-    for context in (0, int(k[0] >> bits), int(k[3] >> bits), (5 << 2 * bits) | (6 << bits) | 7):
-        p = np.exp(model.log_probability(((context << bits) | np.arange(size)).astype(np.int32), 4).astype(float))
-        assert abs(p.sum() - 1) < 1e-4
+def naive_kneser_ney(texts, order=4, discount=0.75, symbols=65536):
+    """p(symbol, context) from the definition, over strings of symbols, boundaries included."""
+    counts = [collections.Counter() for _ in range(order + 1)]
+    for t in texts:
+        s = re.sub(r"[\W\d_]+", "\0", "\0" + t.lower() + "\0").strip("\0")
+        s = "\0" * (order - 1) + s + "\0"
+        for i in range(order, len(s) + 1):
+            counts[order][s[i - order : i]] += 1
+    for k in range(order - 1, 0, -1):
+        for g in counts[k + 1]:
+            counts[k][g[1:]] += 1
+
+    def p(symbol, context):
+        k = len(context) + 1
+        shorter = p(symbol, context[1:]) if context else 1 / symbols
+        own = {g: n for g, n in counts[k].items() if g[:-1] == context}
+        total = sum(own.values())
+        return shorter if not total else max(own.get(context + symbol, 0) - discount, 0) / total + discount * len(own) / total * shorter
+
+    return p
+
+
+def test_kneser_ney_is_the_defined_one_and_sums_to_one(spark):
+    texts = ["the cat sat on the mat and the hat", "Größe, é and жж: the 3 cats", "a"]
+    model = language_id.train_language_models(documents(spark, list(enumerate(texts)))).models[0]
+    p = naive_kneser_ney(texts)
+    r = random.Random(5)
+    for _ in range(60):
+        context = "".join(r.choice("\0the catsäжq") for _ in range(3)).replace(" ", "\0")
+        symbol = r.choice("\0theacsäжqz")
+        key = np.array([sum(ord(c) << (16 * (3 - i)) for i, c in enumerate(context + symbol))], np.uint64)
+        assert abs(float(np.exp(model.log_probability(key, 4)[0])) / p(symbol, context) - 1) < 1e-4, (context, symbol)
+
+
+@pytest.mark.parametrize("least", [1, 2, 5])
+def test_kneser_ney_sums_to_one_when_rare_grams_are_dropped(spark, monkeypatch, least):
+    monkeypatch.setattr(language_id, "isqrt", lambda x: least)
+    texts = ["the cat sat on the mat and the hat that the cat hates " * 3, "another one"]
+    model = language_id.train_language_models(documents(spark, list(enumerate(texts)))).models[0]
+    kept = [len(g) for g, _ in model.grams]
+    assert kept[3] > 0 and (least == 1 or kept[3] < 60)
+    for context in ("\0\0t", "the", "at\0", "xyz", "\0an"):
+        keys = np.uint64(sum(ord(c) << (16 * (3 - i)) for i, c in enumerate(context))) | np.arange(1 << 16, dtype=np.uint64)
+        assert abs(np.exp(model.log_probability(keys, 4).astype(float)).sum() - 1) < 1e-3
+
+
+def test_close_languages_are_told_apart_by_their_letters(spark):
+    r = random.Random(8)
+    letters = {"da": "aeæøåndrst", "sv": "aeäöåndrst", "is": "aeáéíndrst", "cs": "aečřšndrst", "ja": "日本語東京大学生水火木", "zh": "中国語北京大学生水火术", "ru": "абвзягдеж", "uk": "абвіїгдеж"}
+    make = lambda x: " ".join("".join(r.choice(letters[x]) for _ in range(r.randint(2, 7))) for _ in range(8))
+    model = language_id.train_language_models(documents(spark, [(i, make(x), x) for i in range(400) for x in letters]), rejection_rate=0.02)
+    fresh = [(i * 10 + j, make(x), x) for i in range(20) for j, x in enumerate(letters)]
+    got = {x.doc_id: x for x in language_id.identify_languages(documents(spark, fresh), model).collect()}
+    assert sum(got[i].lang_pred == x for i, _, x in fresh) >= 158
+    assert sum(got[i].rejected for i, _, x in fresh) <= 16
+    strange = language_id.identify_languages(documents(spark, [(1, "αβγδε ζηθ ικλμν ξοπρσ"), (2, "𐐨𐐩𐐪 𐐫𐐬𐐭 😀"), (3, "😀😀")]), model).collect()
+    assert [(x.rejected, x.lang_pred == "und") for x in sorted(strange)] == [(True, False), (True, False), (True, True)]
+    assert language_id.symbols_of("a😀b𐐀").tolist() == [0, 97, 0, 98, 0xD801, 0xDC28, 0]
+
+
+def test_ties_go_to_the_first_language(spark):
+    same = [(i, "abc abd acb", x) for i in range(4) for x in ("yy", "xx")]
+    model = language_id.train_language_models(documents(spark, same))
+    assert {x.lang_pred for x in language_id.identify_languages(documents(spark, same), model).collect()} == {"xx"}
 
 
 def test_token_counts(spark, tmp_path):

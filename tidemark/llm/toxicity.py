@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import bounded_batches, crc_mod, drop_held, held, map_rows, pa_schema, release_memory, table
-from .language_id import char_codes
 
 #: Symbols of the character model: 0 for a boundary, 1-26 for a-z, other letters folded onto 27-63.
 LETTERS = 64
@@ -63,9 +62,26 @@ def trimmed(token: str) -> str:
     return token[lo:hi]
 
 
+@lru_cache(maxsize=1)
+def _letters() -> np.ndarray:
+    """Code of each code point under 0x250: 0 for anything but letters, 1 to 26 for a-z, 27 to 63 for the others."""
+    codes = np.zeros(0x250, np.uint8)
+    others = [c for c in range(0x250) if chr(c).isalpha() and chr(c) == chr(c).lower() and not "a" <= chr(c) <= "z"]
+    codes[97:123] = np.arange(1, 27)
+    codes[others] = 27 + np.arange(len(others)) % 37
+    return codes
+
+
 def trigram_codes(text: str) -> np.ndarray:
-    c = char_codes(text)
-    return np.where(c > 26, 27 + (c - 27) % 37, c)
+    """Symbols of the lower-cased letters, with a single 0 for each run of other characters, and 0 at both ends."""
+    cp = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
+    codes = _letters()[np.minimum(cp, 0x24F)]
+    high = np.flatnonzero(cp >= 0x250)
+    if len(high):
+        letters = np.fromiter((chr(x).isalpha() for x in cp[high].tolist()), bool, len(high))
+        codes[high] = np.where(letters, 27 + cp[high] % 37, 0)
+    codes = np.r_[np.uint8(0), codes, np.uint8(0)]
+    return codes[np.r_[True, (codes[1:] != 0) | (codes[:-1] != 0)]]
 
 
 @dataclass
