@@ -1,4 +1,4 @@
-"""N-gram Jaccard self-join through a MinHash LSH forest with exact verification."""
+"""N-gram Jaccard self-join through a MinHash LSH forest, prefixes shortened on the data, with exact verification."""
 
 from __future__ import annotations
 
@@ -20,14 +20,35 @@ _XOR = _rng.integers(0, 2**63, TREES * TALLEST, dtype=np.uint64)[:, None]
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
+#: Bytes of a hash value in a label.
+WIDE = 2
+
+
+def meeting(similarity: np.ndarray | float, depth: int, trees: int = TREES) -> np.ndarray | float:
+    """How likely a pair of that similarity shares a prefix of ``depth`` values in some tree."""
+    return 1 - (1 - similarity**depth) ** trees
+
+
 def forest_depth(similarity: float, target_recall: float, trees: int = TREES, tallest: int = TALLEST) -> int:
-    """Shorten the matched prefix from ``tallest`` until a pair at ``similarity`` meets in some tree often enough."""
+    """The longest prefix at which even pairs that are no more alike than ``similarity`` meet often enough."""
     depth = tallest
-    while depth > 1 and 1 - (1 - similarity**depth) ** trees < target_recall:
+    while depth > 1 and meeting(similarity, depth, trees) < target_recall:
         depth -= 1
     return depth
 
 
+def estimated_recall(found: dict[int, int], similarity: float, depth: int) -> float:
+    """Share of the linked pairs that prefixes down to ``depth`` have brought together, from the pairs that they have.
+
+    ``found`` counts pairs by the hash values in which they agree. Each stands for one over its chance to meet pairs of
+    its kind; pairs that look less alike than ``similarity`` are left out.
+    """
+    n = TREES * TALLEST
+    seen = {k: c for k, c in found.items() if k >= similarity * n}
+    whole = sum(c / float(meeting(max(k / n, similarity), depth)) for k, c in seen.items())
+    return sum(seen.values()) / whole if whole else 0.0
+
+
 def shingles(words: list[bytes], n: int, hashes: TokenHashes) -> np.ndarray:
     """Sorted distinct 64-bit hashes of n-word shingles; a shorter text that has words is one shingle."""
     h = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
@@ -42,6 +63,7 @@ def shingles(words: list[bytes], n: int, hashes: TokenHashes) -> np.ndarray:
 
 
 def signature(x: np.ndarray) -> np.ndarray:
+    """MinHash values, those of a tree next to each other."""
     out = np.full(TREES * TALLEST, 2**32 - 1, np.uint32)
     for at in range(0, len(x), 1024):
         part = (((x[at : at + 1024][None, :] ^ _XOR) * _MULT) >> np.uint64(32)).astype(np.uint32)
@@ -102,10 +124,11 @@ def _met(dealt: DataFrame, key: str, payload: list[str], label: str) -> DataFram
 
 
 def _candidates(least: float):
-    """Kernel: nodes whose signatures agree enough, as edges (a, b) of a spanning forest of one block or between two."""
-    schema = pa_schema("a binary, b binary")
+    """Kernel: nodes of different roots whose signatures agree enough, as edges (a, b, agreeing values) of a spanning
+    forest of one block or between two."""
+    schema = pa_schema("a binary, b binary, agree int")
 
-    def near(sa: np.ndarray, sb: np.ndarray) -> np.ndarray:
+    def agreement(sa: np.ndarray, sb: np.ndarray) -> np.ndarray:
         hits = np.zeros((len(sa), len(sb)), np.int16)
         for k in range(sa.shape[1]):
             hits += sa[:, k][:, None] == sb[:, k][None, :]
@@ -114,30 +137,30 @@ def _candidates(least: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             left, right = batch.column(0), batch.column(1)
-            out_a: list[bytes] = []
-            out_b: list[bytes] = []
+            edges: list[tuple[bytes, bytes, int]] = []
             for row in range(batch.num_rows):
-                one, two = left[row].as_py(), right[row].as_py() or []
-                seen = {m["node"]: m["sig"] for m in one}
-                two = [m for m in two if m["node"] not in seen]
-                nodes = sorted(seen) + [m["node"] for m in two]
-                sig = np.frombuffer(b"".join([seen[x] for x in nodes[: len(seen)]] + [m["sig"] for m in two]), np.uint8).reshape(len(nodes), -1)
-                roots = Forest(len(nodes))
-                k, enough = len(seen), least * sig.shape[1]
-                for lo, hi in ((0, k), (k, len(nodes))):
-                    for i, j in zip(*np.nonzero(np.triu(near(sig[lo:hi], sig[lo:hi]) >= enough, 1)), strict=True):
-                        roots.join(lo + int(i), lo + int(j))
+                one = {m["node"]: m for m in left[row].as_py()}
+                two = {m["node"]: m for m in right[row].as_py() or [] if m["node"] not in one}
+                members = [one[x] for x in sorted(one)] + [two[x] for x in sorted(two)]
+                sig = np.frombuffer(b"".join([m["sig"] for m in members]), np.uint16).reshape(len(members), -1)
+                root = np.unique(np.array([m["root"] for m in members], np.int64), return_inverse=True)[1]
+                roots = Forest(len(members))
+                first: dict[int, int] = {}
+                for i, x in enumerate(root.tolist()):  # what longer prefixes have joined is joined
+                    roots.join(i, first.setdefault(x, i))
+                k, enough = len(one), least * sig.shape[1]
+                lo, hi = (slice(0, k), slice(k, None)) if two else (slice(0, k), slice(0, k))
+                hits = agreement(sig[lo], sig[hi])
+                near = (hits >= enough) & (root[lo][:, None] != root[hi][None, :])
                 if not two:
-                    edges = [(i, roots.root(i)) for i in range(k) if roots.root(i) != i]
-                else:  # what each block has in itself, its own row tells; here only what joins the two
-                    edges = []
-                    for i, j in zip(*np.nonzero(near(sig[:k], sig[k:]) >= enough), strict=True):
-                        if roots.root(int(i)) != roots.root(k + int(j)):
-                            roots.join(int(i), k + int(j))
-                            edges.append((int(i), k + int(j)))
-                out_a += [nodes[i] for i, _ in edges]
-                out_b += [nodes[j] for _, j in edges]
-            yield pa.RecordBatch.from_arrays([pa.array(out_a, pa.binary()), pa.array(out_b, pa.binary())], schema=schema)
+                    near = np.triu(near, 1)
+                i, j = np.nonzero(near)
+                best = np.argsort(-hits[i, j], kind="stable")  # the likest pairs make the forest
+                for x, y in zip(i[best].tolist(), (j[best] + (k if two else 0)).tolist(), strict=True):
+                    if roots.root(x) != roots.root(y):
+                        roots.join(x, y)
+                        edges.append((members[x]["node"], members[y]["node"], int(hits[x, y - (k if two else 0)])))
+            yield pa.RecordBatch.from_arrays([pa.array([e[c] for e in edges], t) for c, t in enumerate((pa.binary(), pa.binary(), pa.int32()))], schema=schema)
 
     return run
 
@@ -193,60 +216,81 @@ def _verified(similarity: float):
     return run
 
 
+def _forest(nodes: DataFrame, similarity: float, target_recall: float, screen: float, block_members: int, evidence: int) -> DataFrame | None:
+    """(node, root) of the nodes that the forest brings together; None where it brings none.
+
+    The vertex of a tree's trie at some depth is the prefix of that length of the tree's label; below it are the nodes
+    whose labels have that prefix. All tries are walked from their deepest vertices upwards, a depth at a time: where
+    nodes of different roots are below a vertex, those that look alike are joined. The walk ends when the pairs joined
+    so far tell that the target recall is met, provided that they are ``evidence`` at least; and in any case at the
+    depth where even the least alike pairs meet that often.
+    """
+    known: DataFrame | None = None
+    edges: DataFrame | None = None
+    for depth in range(TALLEST, forest_depth(similarity, target_recall) - 1, -1):
+        labels = F.array(*[F.xxhash64(F.lit(t), F.substring("sig", WIDE * TALLEST * t + 1, WIDE * depth)) for t in range(TREES)])
+        rooted = nodes.select("node", "sig", F.xxhash64("node").alias("root"))
+        if known is not None:
+            rooted = nodes.select("node", "sig").join(known, "node", "left").select("node", "sig", F.xxhash64(F.coalesce("root", "node")).alias("root"))
+        entries = rooted.select("node", "root", F.explode(labels).alias("vertex"))
+        sizes = entries.groupBy("vertex").agg(F.count("*").alias("c"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi")
+        sizes = sizes.select("vertex", F.ceil(F.col("c") / block_members).cast("int").alias("parts"))
+        dealt = entries.join(sizes, "vertex").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+        met = _met(dealt.join(nodes.select("node", "sig"), "node"), "vertex", ["sig", "root"], "ngram-vertices")
+        fresh = stored(met.mapInArrow(_candidates(screen), "a binary, b binary, agree int"), "ngram-candidates")
+        edges = fresh if edges is None else edges.unionByName(fresh)
+        found = dict(edges.groupBy("agree").count().collect())
+        if not found:
+            continue
+        known = stored(components(edges, "ngram-roots"), "ngram-roots")
+        if sum(found.values()) >= evidence and estimated_recall(found, similarity, depth) >= target_recall:
+            break
+    return known
+
+
 def ngram_jaccard_join(
     docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", n: int = 5, similarity: float = 0.8,
-    target_recall: float = 0.999, screen: float = 0.62, block_members: int = 128, block_shingles: int = 8192,
+    target_recall: float = 0.999, screen: float = 0.62, block_members: int = 128, block_shingles: int = 8192, evidence: int = 1000,
 ) -> DataFrame:
     """Link documents whose sets of n-word shingles have a Jaccard similarity of at least ``similarity``.
 
     Returns one row per input row: doc_id, class_id (least doc_id connected through links), n_links (documents
     linked to it directly, copies included), n_copies (documents with the very same shingle set, itself included).
 
-    Method: equal shingle sets collapse to one node. Each node has a 96-value MinHash signature cut into 16 trees;
-    ``forest_depth`` shortens the prefix that must match in a tree from six values until a pair at the threshold
-    meets with ``target_recall``. Nodes that share a prefix are screened on their signatures; components of the
-    surviving candidates are then compared exactly on their shingles. Neither buckets nor components are capped:
-    large ones are dealt into blocks that meet two at a time, and only counts and one edge per node leave a task.
+    Method: equal shingle sets collapse to one node. Each node has a signature of 96 MinHash values, which are its labels
+    in 16 tries of height six. Nodes meet under the deepest vertices they share; the matched prefix is shortened, for
+    all tries at once, until the pairs found tell that ``target_recall`` is met (``_forest``). Components of what looks
+    alike are then compared exactly on their shingles. Neither vertices nor components are capped: large ones are
+    dealt into blocks that meet two at a time, and only counts and one edge per node leave a task.
 
-    Words are runs of letters and digits of the lower-cased text. A text of fewer than n words is one shingle.
-    A null text, an empty text or one without words has no links and is its own class. Rows with a null id keep
-    class_id null and 0 links. Repeated rows count as copies of each other. Other columns are ignored, whatever
-    their names. An empty table gives an empty result.
+    Words are runs of letters and digits of the lower-cased text. A text of fewer than n words is one shingle; texts of
+    any length are read whole. A null text, an empty text or one without words has no links and is its own class. Rows
+    with a null id keep class_id null and 0 links. Repeated rows count as copies of each other. Other columns are
+    ignored, whatever their names. An empty table gives an empty result.
     """
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    depth = forest_depth(similarity, target_recall)
     hashes = TokenHashes()
 
     def describe(doc_id, text):
-        out = {"doc_id": doc_id, "node": [], "n": [], "sig": [], "keys": []}
+        out = {"doc_id": doc_id, "node": [], "n": [], "sig": []}
         for t in text:
             x = shingles(lower_words(t), n, hashes)
             out["n"].append(len(x))
             out["node"].append(digest(x) if len(x) else None)
-            if not len(x):
-                out["sig"].append(None)
-                out["keys"].append(None)
-                continue
-            s = signature(x)
-            out["sig"].append((s & 255).astype(np.uint8).tobytes())
-            label = np.arange(1, TREES + 1, dtype=np.uint64)
-            for level in s.reshape(TREES, TALLEST)[:, :depth].T.astype(np.uint64):
-                label = mixed(label * _BASE + level + np.uint64(1))
-            out["keys"].append(label.view(np.int64).tolist())
+            out["sig"].append(signature(x).astype(np.uint16).tobytes() if len(x) else None)
         return out
 
-    described = stored(map_rows(docs, describe, "doc_id long, node binary, n long, sig binary, keys array<long>"), "ngram-signatures")
+    described = stored(map_rows(docs, describe, "doc_id long, node binary, n long, sig binary"), "ngram-signatures")
     nodes = (
         described.where("doc_id IS NOT NULL AND n > 0")
         .groupBy("node")
-        .agg(F.count("*").alias("copies"), F.min(F.struct("doc_id", "n", "sig", "keys")).alias("m"))
-        .select("node", "copies", F.col("m.doc_id").alias("first_id"), "m.n", "m.sig", "m.keys")
+        .agg(F.count("*").alias("copies"), F.min(F.struct("doc_id", "n", "sig")).alias("m"))
+        .select("node", "copies", F.col("m.doc_id").alias("first_id"), "m.n", "m.sig")
     )
     nodes = stored(nodes, "ngram-nodes")
-    entries = nodes.select("node", F.explode("keys").alias("bucket"), F.lit(1).alias("one"))
-    entries = _dealt(entries, "bucket", "one", block_members).join(nodes.select("node", "sig"), "node")
-    met = _met(entries, "bucket", ["sig"], "ngram-buckets")
-    near = components(met.mapInArrow(_candidates(screen), "a binary, b binary"), "ngram-candidates")
+    near = _forest(nodes, similarity, target_recall, screen, block_members, evidence)
+    if near is None:
+        near = nodes.select("node", F.col("node").alias("root")).where("false")
     wanted = nodes.join(near, "node").select("node", "root", "copies", "n", F.col("first_id").alias("doc_id"))
     wanted = _dealt(wanted, "root", "n", block_shingles).drop("n")
 
@@ -256,6 +300,8 @@ def ngram_jaccard_join(
         return {k: [v[i] for i in right] for k, v in kept.items()}
 
     sets = map_rows(docs.join(wanted, "doc_id"), regram, "root binary, node binary, copies long, parts int, part int, grams binary", 64)
+    # rows that repeat an id and its text are one node: one of them goes on
+    sets = sets.groupBy("root", "node", "copies", "parts", "part").agg(F.first("grams").alias("grams"))
     met = _met(sets, "root", ["copies", "grams"], "ngram-sets")
     links = stored(met.mapInArrow(_verified(similarity), "a binary, b binary, links long"), "ngram-links")
     classes = components(links, "ngram-classes")
