@@ -116,15 +116,10 @@ def test_split_text_keeps_everything(t, limit):
     assert "".join("".join(pieces).split()) == "".join(t.split())
 
 
-def test_stress_and_homographs():
-    stems = {"кор": "К+ор", "коринф": "Кор+инф"}
-    assert speech.name_stress("Коринфяне и кора, к+орень", stems) == "Кор+инфяне и к+ора, к+орень"
-    assert speech.name_stress("корА+", stems, force=True) == "к+орА"
-    forms = {"замок": [{"marked": "з+амок", "en": ["castle"]}, {"marked": "зам+ок", "en": ["lock"]}]}
-    assert speech.homographs("Замок и замок", "The Lock", forms) == "Зам+ок и зам+ок" and speech.homographs("замок", "x", forms) == "замок"
-    assert speech.translator_marks("Дом, домой", "д+ом") == "д+ом, домой"
+def test_punctuation_goes_back_to_its_words():
     assert speech.reattach_punctuation([" hello", " world"], "Hello, world!") == [" Hello,", " world!"]
     assert speech.reattach_punctuation([" hello"], "other") is None
+    assert speech.reattach_punctuation([" so", " —", " well"], "So, «well»...") == [" So,", " —", " «well»..."]
 
 
 def test_texts(spark):

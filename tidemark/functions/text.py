@@ -56,3 +56,40 @@ def budget_flag(chars: Column, span_ms: Column, fast: int = 13) -> Column:
 
 def manifest_hash(speaker: Column, text: Column, reference: Column, pace: str = "pace7") -> Column:
     return F.sha1(F.concat_ws("|", speaker, text, reference, F.lit(pace)).cast("binary"))
+
+
+# -- numbers in words
+
+# Russian cardinal words.
+UNITS = ["ноль", "один", "два", "три", "четыре", "пять", "шесть", "семь", "восемь", "девять", "десять", "одиннадцать", "двенадцать", "тринадцать", "четырнадцать", "пятнадцать", "шестнадцать", "семнадцать", "восемнадцать", "девятнадцать"]
+TENS = ["двадцать", "тридцать", "сорок", "пятьдесят", "шестьдесят", "семьдесят", "восемьдесят", "девяносто"]
+HUNDREDS = ["сто", "двести", "триста", "четыреста", "пятьсот", "шестьсот", "семьсот", "восемьсот", "девятьсот"]
+SCALES = [("тысяча", "тысячи", "тысяч"), ("миллион", "миллиона", "миллионов"), ("миллиард", "миллиарда", "миллиардов")]
+
+
+def _pick(words, at: Column) -> Column:
+    return F.get(F.array(*[F.lit(w) for w in words]), at.cast("int"))
+
+
+def number_words(n: Column) -> Column:
+    """Words of 0 <= n < 10^12, joined by spaces; a lone thousand drops its "one"."""
+    parts = []
+    for level in range(3, -1, -1):
+        group = F.floor(n / F.lit(1000**level)) % 1000 if level else n % 1000
+        last, teen, rest = group % 10, group % 100, group % 100
+        unit = F.when(rest < 20, rest).otherwise(last)
+        units = _pick([None, "одна", "две", *UNITS[3:]] if level == 1 else [None, *UNITS[1:]], unit)
+        if level == 1:
+            units = F.when(group != 1, units)
+        scale = _pick(SCALES[level - 1], F.when((teen > 10) & (teen < 20) | (last == 0) | (last > 4), 2).when(last == 1, 0).otherwise(1)) if level else F.lit(None)
+        words = F.concat_ws(" ", _pick([None, *HUNDREDS], F.floor(group / 100)), F.when(rest >= 20, _pick([None, None, *TENS], F.floor(rest / 10))), units, scale)
+        parts.append(F.when(group > 0, words))
+    return F.when(n == 0, UNITS[0]).otherwise(F.concat_ws(" ", *parts))
+
+
+def heard_words(text: Column) -> Column:
+    """Comparable words: no stress marks, lower case, yo as ye, digits spelt out (of more than twelve, one by one)."""
+    tokens = F.regexp_extract_all(F.translate(F.lower(text), "+ё", "\0е").cast("string"), F.lit("([а-яa-z]+|[0-9]+)"), F.lit(1))
+    digits = lambda t: F.array_join(F.transform(F.regexp_extract_all(t, F.lit("([0-9])"), F.lit(1)), lambda d: _pick(UNITS, d)), " ")
+    spelt = F.transform(tokens, lambda t: F.when(F.rlike(t, F.lit("^[0-9]{13,}$")), digits(t)).when(F.rlike(t, F.lit("^[0-9]")), number_words(t.cast("long"))).otherwise(t))
+    return F.filter(F.split(F.array_join(spelt, " "), " "), lambda w: w != "")

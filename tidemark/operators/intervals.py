@@ -78,6 +78,16 @@ def gaps(turns: DataFrame, *, min_ms: int = 500) -> DataFrame:
     return turns.withColumn("gap_start", F.max("end_ms").over(before)).where(F.col("start_ms") - F.col("gap_start") >= min_ms).select("media", "gap_start", F.col("start_ms").alias("gap_end"))
 
 
+def all_gaps(turns: DataFrame, totals: DataFrame, *, min_ms: int = 500) -> DataFrame:
+    """``gaps`` with those before the first turn and after the last one; ``totals`` are (media, total_ms)."""
+    last = turns.groupBy("media").agg(F.min("start_ms").alias("_s"), F.max("end_ms").alias("_e"))
+    edge = totals.join(last, "media", "left")
+    whole = F.struct(F.lit(0).cast("long").alias("gap_start"), F.coalesce("_s", "total_ms").cast("long").alias("gap_end"))
+    rest = F.when(F.col("_e").isNotNull(), F.struct(F.col("_e").cast("long").alias("gap_start"), F.col("total_ms").cast("long").alias("gap_end")))
+    edges = edge.select("media", F.explode(F.array_compact(F.array(whole, rest))).alias("g")).select("media", "g.*").where(F.col("gap_end") - F.col("gap_start") >= min_ms)
+    return gaps(turns, min_ms=min_ms).unionByName(edges)
+
+
 def subtract(islands: DataFrame, spans: DataFrame, *, keys: list[str], pad_ms: int = 250, min_ms: int = 400) -> DataFrame:
     """What is left of disjoint islands without the spans, padded; pieces shorter than ``min_ms`` go.
 

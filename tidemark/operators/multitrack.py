@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -14,9 +15,13 @@ from .sequence import ordered_fold
 # Sounds that are no words, phrases that recognisers invent over breath, fillers and stop words.
 NON_VERBAL = r"(?i)^[-\s.,!?…]*(?:(?:m+[-\s]?h?m+|h+m+|uh[-\s]?huh|mhm+|ha(?:[-\s]?ha)+)[-.!?,…\s]*)+$"
 INVENTED = ("thank you.", "thanks for watching.", "thank you for watching.", "subscribe!", "thanks.")
-FILLERS = "yeah yes okay ok mmhmm hmm mm mmm right uhhuh no so and oh wow sure yep exactly ha".split()
-STOP_WORDS = "the a an it its is are was were be they theyre we you i he she that thats this to of in on at for with what whats about like just but do dont did there theres have has can if or all one not".split()
-LOOP_FILLERS = "yeah yes no okay ok right sure yep exactly mm mmm hmm mmhmm uhhuh uh um oh wow so and i dont know thanks thank you ha wait".split()
+FILLERS = ("yeah", "yes", "okay", "ok", "mmhmm", "hmm", "mm", "mmm", "right", "uhhuh", "no", "so", "and", "oh", "wow", "sure", "yep", "exactly", "ha")
+STOP_WORDS = (
+    "the", "a", "an", "it", "its", "is", "are", "was", "were", "be", "they", "theyre", "we", "you", "i", "he", "she", "that", "thats", "this", "to", "of", "in", "on", "at", "for", "with", "what", "whats", "about", "like", "just", "but", "do", "dont", "did", "there", "theres", "have", "has", "can", "if", "or", "all", "one", "not",
+)
+LOOP_FILLERS = (
+    "yeah", "yes", "no", "okay", "ok", "right", "sure", "yep", "exactly", "mm", "mmm", "hmm", "mmhmm", "uhhuh", "uh", "um", "oh", "wow", "so", "and", "i", "dont", "know", "thanks", "thank", "you", "ha", "wait",
+)
 
 
 def non_verbal(text: Column | str) -> Column:
@@ -41,14 +46,18 @@ def quiet_inventions(segments: DataFrame, *, share: float = 0.25) -> DataFrame:
 
 
 def confidence(segments: DataFrame, words: DataFrame, *, slack_ms: int = 50, paste: float = 0.5, flag: float = 0.65, longest_ms: int = 4000) -> DataFrame:
-    """Mean probability of the words inside each segment (0 without any) and what follows: paste, backchannel, flag or null."""
+    """Mean probability of the words inside each segment (null without any) and what follows from it.
+
+    ``route`` is ``paste`` for short lines of low confidence, else ``backchannel`` for sounds that are no words, else
+    ``flag`` for lines of middling confidence, else null. A segment without words has no confidence, so only its text counts.
+    """
     a = segments.select("media", "speaker", "ord", "text", F.col("start_ms").alias("_s"), F.col("end_ms").alias("_e"), (F.col("start_ms") - slack_ms).alias("l_start"), (F.col("end_ms") + slack_ms).alias("l_end"))
     b = words.select("media", "speaker", "prob", F.col("start_ms").alias("r_start"), F.col("end_ms").alias("r_end"))
     met = interval_join(a, b, on=["media", "speaker"]).where("r_start >= l_start AND r_end <= l_end")
     p = met.groupBy("media", "ord").agg(F.avg("prob").alias("conf"))
-    out = segments.join(p, ["media", "ord"], "left").withColumn("conf", F.coalesce("conf", F.lit(0.0)))
-    route = F.when(non_verbal("text"), "backchannel").when((F.col("conf") < paste) & (F.col("end_ms") - F.col("start_ms") <= longest_ms), "paste").when(F.col("conf") < flag, "flag")
-    return out.withColumn("route", route)
+    low = (F.col("conf") < paste) & (F.col("end_ms") - F.col("start_ms") <= longest_ms)
+    route = F.when(low, "paste").when(non_verbal(F.trim("text")), "backchannel").when(F.col("conf") < flag, "flag")
+    return segments.join(p, ["media", "ord"], "left").withColumn("route", route)
 
 
 def echo_segments(segments: DataFrame, *, near_ms: int = 700, least: float = 0.8) -> DataFrame:
@@ -123,11 +132,19 @@ def interruptions(segments: DataFrame, turns: DataFrame, *, slack_ms: int = 200,
     rows = segments.withColumn("overlap", F.coalesce("overlap", F.lit(False)) if "overlap" in segments.columns else F.lit(False)).join(own, ["media", "ord"], "left")
 
     def walk(rs):
-        for r in rs:
+        starts = np.array([r["start_ms"] for r in rs], np.int64)
+        ends = np.array([r["end_ms"] for r in rs], np.int64)
+
+        def spanning(t):
+            """Rows over a moment, in order; starts only ever move back, and a moved one is kept in the array."""
+            return (rs[i] for i in np.flatnonzero((starts < t) & (ends > t)))
+
+        for k, r in enumerate(rs):
             if r["overlap"] or pd.isna(r["turn_ms"]) or not least_ms <= r["start_ms"] - r["turn_ms"] <= most_ms:
                 continue
-            over = next((o for o in rs if o["speaker"] != r["speaker"] and o["start_ms"] < r["turn_ms"] < o["end_ms"]), None)
+            over = next((o for o in spanning(r["turn_ms"]) if o["speaker"] != r["speaker"] and o["start_ms"] < r["turn_ms"] < o["end_ms"]), None)
             if over is not None:
+                starts[k] = r["turn_ms"]
                 lead, r["start_ms"], r["overlap"] = int(r["start_ms"] - r["turn_ms"]), int(r["turn_ms"]), True
                 yield {"media": r["media"], "ord": r["ord"], "start_ms": r["start_ms"], "lead_ms": lead, "over": over["ord"]}
 

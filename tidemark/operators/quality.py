@@ -24,16 +24,18 @@ def best_take(takes: DataFrame, *, key: str) -> DataFrame:
 
 
 def accept(findings: DataFrame, accepted: DataFrame) -> DataFrame:
-    """Findings with those that an acceptance (ord, stage, contains) covers lowered to warnings; unused acceptances warn.
+    """Findings with the failures that an acceptance (ord, stage, contains) covers lowered to warnings; unused ones warn.
 
-    The first acceptance in order counts. ``accepted`` is a list kept by hand; findings meet it by stage.
+    A failure takes the first acceptance in order of its stage whose text it holds; warnings take none. ``accepted`` is a
+    list kept by hand, which goes along with every row as one array; each row is judged by itself, so repeated
+    findings are lowered alike.
     """
-    f = findings.withColumn("_row", F.monotonically_increasing_id())
-    hit = f.join(accepted, "stage").where(F.contains("msg", "contains"))
-    first = hit.groupBy("_row").agg(F.min("ord").alias("used"))
-    out = f.join(first, "_row", "left")
-    lowered = out.select("stage", F.when(F.col("used").isNotNull(), "warn").otherwise(F.col("severity")).alias("severity"), "seg_id", "msg")
-    unused = accepted.join(first.select(F.col("used").alias("ord")).distinct(), "ord", "left_anti")
+    listed = accepted.agg(F.array_sort(F.collect_list(F.struct("ord", "stage", "contains"))).alias("_accepted"))  # one row
+    rows = findings.crossJoin(F.broadcast(listed))
+    fits = F.filter("_accepted", lambda a: (a["stage"] == F.col("stage")) & F.contains(F.col("msg"), a["contains"]))
+    rows = rows.withColumn("_used", F.when((F.col("severity") == "fail") & (F.size(fits) > 0), F.get(fits, F.lit(0))["ord"]))
+    lowered = rows.select("stage", F.when(F.col("_used").isNotNull(), "warn").otherwise(F.col("severity")).alias("severity"), "seg_id", "msg")
+    unused = accepted.join(rows.where("_used IS NOT NULL").select(F.col("_used").alias("ord")).distinct(), "ord", "left_anti")
     return lowered.unionByName(unused.select("stage", F.lit("warn").alias("severity"), F.lit(None).cast("long").alias("seg_id"), F.concat(F.lit("unused acceptance: "), "contains").alias("msg")))
 
 
@@ -43,17 +45,20 @@ def verdict(findings: DataFrame, *, strict: bool = False) -> DataFrame:
     return g.withColumn("ok", (F.col("failures") == 0) & ((F.col("warnings") == 0) | F.lit(not strict)))
 
 
-def span_findings(segments: DataFrame, *, longest_ms: int = 30_000) -> DataFrame:
+def segment_findings(segments: DataFrame, chars: Column, *, longest_ms: int = 30_000, fast: int = 13) -> DataFrame:
+    """What is wrong with segments by themselves, in one pass: no time or too much of it, no speaker, and texts too long for
+    their time (over 1.3 times the fast reading and ten letters, from 1.5 s on)."""
     span = F.col("end_ms") - F.col("start_ms")
-    found = segments.withColumn("severity", F.when(span <= 0, "fail").when(span > longest_ms, "warn")).where("severity IS NOT NULL")
-    return found.select(F.lit("segments").alias("stage"), "severity", F.col("ord").alias("seg_id"), F.concat(F.lit("span "), span.cast("string"), F.lit(" ms")).alias("msg"))
-
-
-def budget_findings(segments: DataFrame, chars: Column, *, fast: int = 13) -> DataFrame:
-    """Texts too long for their time: over 1.3 times the fast reading and ten letters, from 1.5 s on."""
-    span = F.col("end_ms") - F.col("start_ms")
-    found = segments.withColumn("n", chars).where((span >= 1500) & (F.col("n") * 10_000 > span * fast * 13 + 100_000))
-    return found.select(F.lit("translation").alias("stage"), F.lit("warn").alias("severity"), F.col("ord").alias("seg_id"), F.concat(F.lit("over budget: "), F.col("n").cast("string"), F.lit(" letters")).alias("msg"))
+    finding = lambda when, stage, severity, msg: F.when(when, F.struct(F.lit(stage).alias("stage"), F.lit(severity).alias("severity"), F.col("ord").alias("seg_id"), msg.alias("msg")))
+    told = F.concat(F.lit("span "), span.cast("string"), F.lit(" ms"))
+    long_ = F.concat(F.lit("over budget: "), chars.cast("string"), F.lit(" letters"))
+    found = F.array_compact(F.array(
+        finding(span <= 0, "segments", "fail", told),
+        finding(span > longest_ms, "segments", "warn", told),
+        finding((span >= 1500) & (chars * 10_000 > span * fast * 13 + 100_000), "translation", "warn", long_),
+        finding(F.col("speaker").isNull(), "segments", "fail", F.lit("speaker missing")),
+    ))
+    return segments.select(F.explode(found).alias("f")).select("f.*")
 
 
 def runon_findings(segments: DataFrame, cuts: DataFrame, *, share: float = 0.05) -> DataFrame:

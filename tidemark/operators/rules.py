@@ -47,7 +47,10 @@ def foreign_share(segments: DataFrame, foreign: DataFrame, voiced_frames: DataFr
 
 
 def stretched_regions(words: DataFrame, *, stretch_ms: int = 2000, reach_ms: int = 30_000) -> DataFrame:
-    """(media, first_ord, last_ord): stretches around drawn-out words, out to sentence ends nearby, joined where they meet."""
+    """(media, first_ord, last_ord): stretches around drawn-out words, out to sentence ends nearby, joined where they meet.
+
+    A drawn-out word that ends a sentence itself takes the next one in. The reach is strict on both sides.
+    """
 
     def fold(rows):
         ends = [r["word"].strip()[-1:] in ".!?…" for r in rows]
@@ -56,10 +59,10 @@ def stretched_regions(words: DataFrame, *, stretch_ms: int = 2000, reach_ms: int
             if r["end_ms"] - r["start_ms"] <= stretch_ms:
                 continue
             a = i
-            while a > 0 and not ends[a - 1] and r["start_ms"] - rows[a - 1]["start_ms"] <= reach_ms:
+            while a > 0 and not ends[a - 1] and r["start_ms"] - rows[a - 1]["start_ms"] < reach_ms:
                 a -= 1
             b = i
-            while b + 1 < len(rows) and not ends[b] and rows[b + 1]["end_ms"] - r["end_ms"] <= reach_ms:
+            while b + 1 < len(rows) and (b == i or not ends[b]) and rows[b + 1]["end_ms"] - r["end_ms"] < reach_ms:
                 b += 1
             if held and a <= held[1] + 1:
                 held[1] = max(held[1], b)
@@ -185,3 +188,28 @@ def paste_findings(pastes: DataFrame, holes: DataFrame, segments: DataFrame, *,
     covered = interval_join(a, b, on=["media", "speaker"]).where(overlap_ms() >= share * (F.col("l_end") - F.col("l_start"))).select("media", "ord").distinct()
     open_ = a.join(covered, ["media", "ord"], "left_anti")
     return lost.unionByName(long_).unionByName(_finding(open_, "speech", "fail", F.lit("untranscribed")))
+
+
+def track_findings(wanted: DataFrame, files: DataFrame) -> DataFrame:
+    """A failure for each track (ord, file) whose file (file, bytes) is not there."""
+    return _finding(wanted.join(files.select("file").distinct(), "file", "left_anti"), "tracks", "fail", F.concat(F.col("file"), F.lit(" missing")))
+
+
+def words_findings(items: DataFrame, degraded: DataFrame, loops: DataFrame) -> DataFrame:
+    """Findings on transcripts: items (media, n_words) without words fail, degraded windows tell their reason at their own
+    severity, loops (media, ord, start_ms, gram) warn. The item stands in for a segment."""
+    at = lambda ms: F.round(F.col(ms) / 60_000).cast("long").cast("string")
+    empty = items.where(F.coalesce("n_words", F.lit(0)) == 0).withColumn("ord", F.col("media"))
+    windows = degraded.withColumn("ord", F.col("media"))
+    told = F.concat(F.lit("degraded "), at("t0_ms"), F.lit("-"), at("t1_ms"), F.lit(" min: "), F.col("reason"))
+    again = F.concat(F.lit("possible loop at "), at("start_ms"), F.lit(" min: "), F.col("gram"))
+    found = _finding(empty, "words", "fail", F.lit("no words")).unionByName(_finding(windows, "words", F.col("severity"), told))
+    return found.unionByName(_finding(loops.withColumn("ord", F.col("media")), "words", "warn", again))
+
+
+def qc_findings(takes: DataFrame, *, rerolled: bool, before_synthesis: bool = False) -> DataFrame:
+    """One finding for each clip (ord, flags, sim) that quality control still flags: a failure once re-rolling has been tried."""
+    flagged = takes.where(F.size("flags") > 0)
+    sim = F.format_string("%.2f", F.col("sim"))
+    msg = F.concat(F.array_join("flags", ","), F.lit(" sim "), sim, F.lit(" after re-roll" if rerolled else " not re-rolled"))
+    return _finding(flagged, "clips", "fail" if rerolled and not before_synthesis else "warn", msg)

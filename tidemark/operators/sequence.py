@@ -196,6 +196,23 @@ def degraded_windows(words: DataFrame, *, window_ms: int = 300_000, least_words:
     return g.where("punct OR tempo OR stretched")
 
 
+def degraded_reasons(words: DataFrame, *, window_ms: int = 300_000, least_words: int = 80, least_share: float = 0.04, tempo_max: int = 260, stretch_ms: int = 2000, stretch_count: int = 3) -> DataFrame:
+    """Degraded windows with what is wrong: (media, win, t0_ms, t1_ms, severity, reason).
+
+    Lost punctuation and a tempo that nobody speaks at fail; drawn-out words alone warn.
+    """
+    first = F.min("start_ms").over(W.partitionBy("media"))
+    w = words.withColumn("_first", first).withColumn("win", F.floor((F.col("start_ms") - F.col("_first")) / window_ms).cast("long"))
+    g = w.groupBy("media", "win", "_first").agg(F.count("*").alias("n"), F.count_if(F.rlike(F.trim("word"), F.lit(r"[.,!?…]$"))).alias("marks"), F.count_if(F.col("end_ms") - F.col("start_ms") > stretch_ms).alias("drawn")).where(F.col("n") >= least_words)
+    poor, quick, drawn = F.col("marks") < least_share * F.col("n"), F.col("n") * 60_000 > tempo_max * window_ms, F.col("drawn") >= stretch_count
+    permille = F.floor((F.col("marks") * 2000 + F.col("n")) / (F.col("n") * 2))  # rounded
+    share = F.concat(F.lit("punctuation "), F.floor(permille / 10).cast("string"), F.lit("."), (permille % 10).cast("string"), F.lit("%"))
+    pace = F.concat(F.floor((F.col("n") * 120_000 + window_ms) / (2 * window_ms)).cast("string"), F.lit(" words/min"))
+    reason = F.concat_ws("; ", F.when(poor, share), F.when(quick, pace), F.when(drawn, F.concat(F.col("drawn").cast("string"), F.lit(" stretched words"))))
+    t0 = F.col("_first") + F.col("win") * window_ms
+    return g.where(poor | quick | drawn).select("media", "win", t0.alias("t0_ms"), (t0 + window_ms).alias("t1_ms"), F.when(poor | quick, "fail").otherwise("warn").alias("severity"), reason.alias("reason"))
+
+
 def ngram_loops(words: DataFrame, *, n: int = 3, repeats: int = 3) -> DataFrame:
     """Places where an n-gram of words stands ``repeats`` times in a row: (media, ord, gram)."""
     order = W.partitionBy("media").orderBy("ord")

@@ -106,10 +106,40 @@ def cosine(a: Column, b: Column) -> Column:
     return dot(a, b) / (F.sqrt(dot(a, a)) * F.sqrt(dot(b, b)) + 1e-9)
 
 
-def voice_margin(vectors: DataFrame, *, label: str = "label", vector: str = "embedding") -> DataFrame:
-    """All columns and ``margin``: similarity to the own label's centroid less that to the nearest other one."""
-    c = centroids(vectors, label=label, vector=vector)
-    met = vectors.crossJoin(c.select(F.col(label).alias("_other"), "centroid"))  # every voice is compared with every speaker's profile
-    met = met.withColumn("sim", cosine(F.col(vector), F.col("centroid")))
-    keys = [x for x in vectors.columns if x != vector]
-    return met.groupBy(*keys).agg((F.max(F.when(F.col(label) == F.col("_other"), F.col("sim"))) - F.max(F.when(F.col(label) != F.col("_other"), F.col("sim")))).alias("margin"))
+#: Centroids that go along with every row at a time (64 numbers each: 2 MB); more are taken in slices, one after another.
+CENTROIDS = 4096
+
+
+def voice_margin(vectors: DataFrame, *, label: str = "label", vector: str = "embedding", most: int = CENTROIDS) -> DataFrame:
+    """All columns but the vector, and ``margin``: similarity to the own label's centroid less that to the nearest other one.
+
+    Each row is judged by itself against arrays of centroids, so repeated rows stay; null where there is no own
+    or no other centroid.
+    """
+    c = centroids(vectors, label=label, vector=vector).where(F.col(label).isNotNull())
+    slices = max(1, -(-c.count() // most))
+    c = c.withColumn("_slice", F.pmod(F.xxhash64(label), F.lit(slices)))
+    out = vectors.withColumns({"_own": F.lit(None).cast("double"), "_other": F.lit(None).cast("double")})
+    for k in range(slices):
+        part = c.where(F.col("_slice") == k).agg(F.collect_list(F.struct(F.col(label).alias("label"), "centroid")).alias("_all"))  # one row
+        sims = lambda own: F.array_max(F.transform(F.filter("_all", lambda x: (x["label"] == F.col(label)) == F.lit(own)), lambda x: cosine(F.col(vector), x["centroid"])))
+        met = out.crossJoin(F.broadcast(part))
+        out = met.withColumns({"_own": F.coalesce("_own", sims(True)), "_other": F.greatest("_other", sims(False))}).drop("_all")
+    return out.withColumn("margin", F.col("_own") - F.col("_other")).drop("_own", "_other", vector)
+
+
+def voice_profiles(windows: DataFrame, *, top: float = 0.3, close: float = 0.5, least: int = 10) -> DataFrame:
+    """(speaker, profile) from windows (speaker, level, embedding of length one): the mean of the loudest share, refined once.
+
+    The refinement takes the windows whose similarity to the first mean is over ``close``: the loud ones of them if
+    they are ``least`` at least, else all of them; with fewer than ``least`` the first mean stays.
+    """
+    cut = windows.groupBy("speaker").agg(F.percentile("level", F.lit(1 - top)).alias("_cut"))
+    w = windows.join(cut, "speaker").withColumn("_loud", F.col("level") >= F.col("_cut"))
+    first = centroids(w.where("_loud"), label="speaker").withColumnRenamed("centroid", "_first")
+    dot = F.aggregate(F.zip_with("embedding", "_first", lambda p, q: p.cast("double") * q), F.lit(0.0), lambda s, v: s + v)
+    near = w.join(first, "speaker").withColumn("_near", dot > close).where("_near")
+    n = near.groupBy("speaker").agg(F.count("*").alias("_n"), F.count_if("_loud").alias("_n_loud"))
+    used = near.join(n.where(F.col("_n") >= least), "speaker").where((F.col("_n_loud") < least) | F.col("_loud"))
+    refined = centroids(used, label="speaker")
+    return first.join(refined, "speaker", "left").select("speaker", F.coalesce("centroid", "_first").alias("profile"))

@@ -95,13 +95,20 @@ def bursts(spark, sf):
     return sg.bursts(line_frames(spark, sf))
 
 
-@query()
+_CENTROIDS_SQL = """p AS (SELECT label, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS p FROM embeddings), m AS (SELECT label, p, avg(x) AS x FROM p GROUP BY label, p),
+c AS (SELECT label, list(x ORDER BY p) AS v, sqrt(sum(x * x)) + 1e-9 AS n FROM m GROUP BY label), u AS (SELECT label, list_transform(v, lambda x: x / n) AS centroid FROM c)"""
+
+
+@query(f"WITH {_CENTROIDS_SQL} SELECT label, array_to_string(list_transform(centroid, lambda x: CAST(CAST(round(x * 10000) AS INT) AS VARCHAR)), ' ') AS centroid FROM u")
 def speaker_centroids(spark, sf):
+    """In ten-thousandths, as text."""
     c = sg.centroids(table(spark, sf, "embeddings"))
-    return c.select("label", F.transform("centroid", lambda x: F.round(x, 6)).alias("centroid"))
+    return c.select("label", F.array_join(F.transform("centroid", lambda x: F.round(x * 10_000).cast("int").cast("string")), " ").alias("centroid"))
 
 
-@query()
+@query(f"""WITH {_CENTROIDS_SQL}, s AS (SELECT vec_id, e.label, u.label AS other, list_dot_product(e.v, centroid) / (sqrt(list_dot_product(e.v, e.v)) * sqrt(list_dot_product(centroid, centroid)) + 1e-9) AS sim
+  FROM (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings) AS e, u WHERE u.label IS NOT NULL)
+SELECT vec_id, label, round(max(sim) FILTER (label = other) - max(sim) FILTER (label <> other), 6) AS margin FROM s GROUP BY vec_id, label""")
 def voice_margin(spark, sf):
     return sg.voice_margin(table(spark, sf, "embeddings")).withColumn("margin", F.round("margin", 6))
 
@@ -118,17 +125,6 @@ def norm_text(spark, sf):
     return _docs(spark, sf).select("doc_id", text.norm_text("text").alias("norm"))
 
 
-@query("SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, array_to_string(w, ' ') AS words FROM (SELECT doc_id, regexp_extract_all(lower(replace(text, '+', '')), '[a-z]+|[0-9]+') AS w FROM documents WHERE text IS NOT NULL)")
-def qc_words(spark, sf):
-    w = F.regexp_extract_all(F.lower(F.replace("text", F.lit("+"), F.lit(""))), F.lit("([a-z]+|[0-9]+)"), F.lit(1))
-    return _docs(spark, sf).where("text IS NOT NULL").select("doc_id", w.alias("w")).select("doc_id", F.size("w").cast("long").alias("n_words"), F.array_join("w", " ").alias("words"))
-
-
-@query()
-def num_words(spark, sf):
-    return table(spark, sf, "part").select("p_partkey", speech.vectorised(lambda n: " ".join(speech.number_words(int(n))), "string")(F.col("p_partkey") * 1_000_003).alias("words"))
-
-
 _PLAN_SQL = f"""{SEGMENTS_SQL}, pc AS (SELECT media, ord, length(text) AS chars, end_ms - start_ms AS span, lead(start_ms) OVER (PARTITION BY media ORDER BY start_ms, ord) - start_ms AS slot FROM segments),
 p AS (SELECT *, greatest(chars * 1000 // 13, least(span, chars * 1000 // 9)) AS wanted, CAST(floor(slot * 0.95::DOUBLE) AS BIGINT) AS room FROM pc)"""
 
@@ -161,18 +157,6 @@ def glossary_check(spark, sf):
     return d.select("doc_id", F.explode(F.concat(hits, pair)).alias("h")).select("doc_id", "h.*")
 
 
-@query()
-def name_stress(spark, sf):
-    stems = {"thed": "th+ed", "ther": "th+er", "haun": "ha+un"}
-    return _docs(spark, sf).select("doc_id", speech.vectorised(lambda t: speech.name_stress(t, stems), "string")("text").alias("marked"))
-
-
-@query()
-def homographs(spark, sf):
-    forms = {"the": [{"marked": "th+e", "en": ["idiot"]}, {"marked": "t+he", "en": ["license"]}]}
-    return _docs(spark, sf).select("doc_id", speech.vectorised(lambda t: speech.homographs(t, t, forms), "string")("text").alias("marked"))
-
-
 @query()
 def text_split(spark, sf):
     pieces = speech.vectorised(lambda t: speech.split_text(t), "array<string>")("text")
@@ -298,18 +282,17 @@ UNION ALL SELECT 'segments', 'fail', ord, 'speaker missing' FROM s WHERE speaker
 
 def _findings(spark, sf) -> DataFrame:
     s = conversation_segments(spark, sf)
-    missing = s.where("speaker IS NULL").select(F.lit("segments").alias("stage"), F.lit("fail").alias("severity"), F.col("ord").alias("seg_id"), F.lit("speaker missing").alias("msg"))
-    return qa.span_findings(s, longest_ms=9000).unionByName(qa.budget_findings(s, F.length("text").cast("long"), fast=12)).unionByName(missing)
+    return qa.segment_findings(s, F.length("text").cast("long"), longest_ms=9000, fast=12)
 
 
-@query(f"""WITH {_DOCTOR_SQL}, a(ord, stage, part) AS (VALUES (0, 'segments', 'span 9'), (1, 'translation', 'nothing like it')), n AS (SELECT *, row_number() OVER () AS rn FROM found),
-hit AS (SELECT rn, min(a.ord) AS used FROM n JOIN a ON a.stage = n.stage AND contains(n.msg, a.part) GROUP BY rn)
-SELECT stage, severity, count(*) AS n FROM (SELECT n.stage, CASE WHEN used IS NOT NULL THEN 'warn' ELSE severity END AS severity, FALSE AS u FROM n LEFT JOIN hit ON n.rn = hit.rn
+@query(f"""WITH {_DOCTOR_SQL}, a(ord, stage, part) AS (VALUES (0, 'segments', 'missing'), (1, 'translation', 'nothing like it'), (2, 'segments', 'speaker')), n AS (SELECT *, row_number() OVER () AS rn FROM found),
+hit AS (SELECT rn, min(a.ord) AS used FROM n JOIN a ON a.stage = n.stage AND contains(n.msg, a.part) AND n.severity = 'fail' GROUP BY rn)
+SELECT stage, severity, u AS unused, count(*) AS n FROM (SELECT n.stage, CASE WHEN used IS NOT NULL THEN 'warn' ELSE severity END AS severity, FALSE AS u FROM n LEFT JOIN hit ON n.rn = hit.rn
   UNION ALL SELECT stage, 'warn', TRUE FROM a WHERE ord NOT IN (SELECT used FROM hit)) GROUP BY stage, severity, u""")
 def doctor(spark, sf):
-    accepted = spark.createDataFrame([(0, "segments", "span 9"), (1, "translation", "nothing like it")], "ord int, stage string, contains string")
+    accepted = spark.createDataFrame([(0, "segments", "missing"), (1, "translation", "nothing like it"), (2, "segments", "speaker")], "ord int, stage string, contains string")
     out = qa.accept(_findings(spark, sf), accepted)
-    return out.groupBy("stage", "severity", F.contains("msg", F.lit("unused")).alias("u")).agg(F.count("*").alias("n")).drop("u")
+    return out.groupBy("stage", "severity", F.contains("msg", F.lit("unused")).alias("unused")).agg(F.count("*").alias("n"))
 
 
 @query(f"WITH {_DOCTOR_SQL} SELECT count(*) FILTER (severity = 'fail') AS failures, count(*) FILTER (severity = 'warn') AS warnings, count(*) FILTER (severity = 'fail') = 0 AS ok FROM found")

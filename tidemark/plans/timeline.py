@@ -197,23 +197,55 @@ def ngram_loops_raw(spark, sf):
     return sq.ngram_loops(document_words(spark, sf))
 
 
-@query()
+@query(f"""WITH RECURSIVE {DOC_WORDS_SQL}, p AS (SELECT media, ord, word, start_ms, end_ms, lead(start_ms) OVER (PARTITION BY media ORDER BY ord) - end_ms AS pause, right(rtrim(word), 1) IN (',', ';', ':', '—') AS marked FROM words),
+f AS (SELECT media, min(ord) AS a, max(ord) AS b, min(start_ms) AS s, max(end_ms) AS e, FALSE AS cut, FALSE AS half, 0 AS depth FROM p GROUP BY media UNION ALL
+  SELECT media, CASE WHEN side = 0 THEN a ELSE place + 1 END, CASE WHEN side = 0 THEN place ELSE b END, CASE WHEN side = 0 THEN s ELSE ns END, CASE WHEN side = 0 THEN ne ELSE e END, CASE WHEN side = 0 THEN NOT any_marked ELSE cut END, TRUE, depth + 1
+  FROM (SELECT f.media, f.a, f.b, f.s, f.e, f.cut, f.depth, arg_max(p.ord, (p.marked, p.pause, p.ord)) AS place, arg_max(p.end_ms, (p.marked, p.pause, p.ord)) AS ne, arg_max(p.end_ms + p.pause, (p.marked, p.pause, p.ord)) AS ns, bool_or(p.marked) AS any_marked
+    FROM f JOIN p ON p.media = f.media AND p.ord >= f.a AND p.ord < f.b WHERE f.e - f.s > 25000 AND f.a < f.b GROUP BY f.media, f.a, f.b, f.s, f.e, f.cut, f.depth) AS x, (VALUES (0), (1)) AS y(side))
+SELECT media, 0::BIGINT AS run, row_number() OVER (PARTITION BY media ORDER BY a) - 1 AS piece, a AS first_ord, b AS last_ord, s AS start_ms, e AS end_ms, cut FROM f WHERE NOT (e - s > 25000 AND a < b)""")
 def split_long(spark, sf):
     return sq.split_long(document_words(spark, sf).withColumn("run", F.col("ord") * 0))
 
 
-@query()
+@query(f"""WITH RECURSIVE {SEGMENTS_SQL}, c AS (SELECT media, ord, start_ms, lead(start_ms) OVER (PARTITION BY media ORDER BY start_ms, ord) AS next_ms, length(text) * 90 AS dur_ms, row_number() OVER (PARTITION BY media ORDER BY start_ms, ord) AS rn FROM segments),
+f AS (SELECT media, 0::BIGINT AS rn, NULL::BIGINT AS ord, 0.0::DOUBLE AS place_ms, 1.0::DOUBLE AS tempo, 0.0::DOUBLE AS cur FROM (SELECT DISTINCT media FROM c) UNION ALL
+  SELECT media, rn, ord, place, tempo, place + dur_ms / tempo FROM (SELECT *, CASE WHEN t > 1.02::DOUBLE THEN t ELSE 1.0::DOUBLE END AS tempo FROM (
+    SELECT *, least(greatest(dur_ms::DOUBLE / greatest(coalesce(next_ms::DOUBLE, 'infinity'::DOUBLE) - place, 500.0::DOUBLE), 1.0::DOUBLE), 1.35::DOUBLE) AS t FROM (
+      SELECT c.*, greatest(c.start_ms::DOUBLE, least(f.cur, c.start_ms::DOUBLE + 1000)) AS place FROM f JOIN c ON c.media = f.media AND c.rn = f.rn + 1))))
+SELECT media, ord, place_ms, tempo, cur AS end_ms FROM f WHERE rn > 0""")
 def placement(spark, sf):
     s = conversation_segments(spark, sf)
     ends = sq.slot_ends(s.withColumns({f: F.lit(False) for f in ("orig", "echo", "overlap")})).withColumnRenamed("slot_end", "next_ms")
     return sq.placement(s.join(ends, ["media", "ord"]).withColumn("dur_ms", F.length("text").cast("long") * 90))
 
 
-@query()
+@query(f"""WITH RECURSIVE {TURNS_SQL}, i AS (SELECT *, row_number() OVER (PARTITION BY media ORDER BY start_ms, ord) AS rn FROM turns),
+f AS (SELECT media, 0::BIGINT AS rn, NULL::BIGINT AS ord, CAST([] AS STRUCT(o BIGINT, sp BIGINT, s BIGINT, e BIGINT)[]) AS live, NULL::BIGINT AS under FROM (SELECT DISTINCT media FROM i) UNION ALL
+  SELECT media, rn, ord, CASE WHEN len(held) > 0 THEN kept ELSE list_append(kept, {{'o': ord, 'sp': speaker, 's': start_ms, 'e': end_ms}}) END, CASE WHEN len(held) > 0 THEN list_reduce(held, lambda x, y: CASE WHEN y.s > x.s THEN y ELSE x END).o END FROM (
+    SELECT *, list_filter(kept, lambda p: p.sp <> speaker AND p.s < start_ms AND least(p.e, end_ms) - start_ms >= 300) AS held FROM (
+      SELECT i.*, list_filter(f.live, lambda p: p.e - i.start_ms >= 300) AS kept FROM f JOIN i ON i.media = f.media AND i.rn = f.rn + 1)))
+SELECT media, ord, under FROM f WHERE under IS NOT NULL""")
 def concurrency_marks(spark, sf):
     return sq.concurrency_marks(event_turns(spark, sf))
 
 
+@query(f"""WITH {DOC_WORDS_SQL}, w AS (SELECT *, min(start_ms) OVER (PARTITION BY media) AS f FROM words), x AS (SELECT *, CAST(floor((start_ms - f) / 300000) AS BIGINT) AS win FROM w),
+g AS (SELECT media, win, f, count(*) AS n, count(*) FILTER (right(word, 1) IN ('.', ',', '!', '?', '…')) AS marks, count(*) FILTER (end_ms - start_ms > 1200) AS drawn FROM x GROUP BY media, win, f HAVING count(*) >= 80),
+r AS (SELECT *, marks < 0.04 * n AS poor, n * 60000 > 110 * 300000 AS quick, drawn >= 1 AS long_, (marks * 2000 + n) // (n * 2) AS pm FROM g)
+SELECT media, win, f + win * 300000 AS t0_ms, f + (win + 1) * 300000 AS t1_ms, CASE WHEN poor OR quick THEN 'fail' ELSE 'warn' END AS severity,
+  concat_ws('; ', CASE WHEN poor THEN 'punctuation ' || (pm // 10) || '.' || (pm % 10) || '%' END, CASE WHEN quick THEN ((n * 120000 + 300000) // 600000) || ' words/min' END, CASE WHEN long_ THEN drawn || ' stretched words' END) AS reason FROM r WHERE poor OR quick OR long_""")
+def degraded_reasons(spark, sf):
+    return sq.degraded_reasons(document_words(spark, sf), tempo_max=110, stretch_ms=1200, stretch_count=1)
+
+
+@query(f"""WITH {TURNS_SQL}, g AS (SELECT media, max(end_ms) OVER (PARTITION BY media ORDER BY start_ms, ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS gap_start, start_ms AS gap_end FROM turns),
+e AS (SELECT media, min(start_ms) AS s, max(end_ms) AS e FROM turns GROUP BY media)
+SELECT * FROM (SELECT * FROM g UNION ALL SELECT media, 0, s FROM e UNION ALL SELECT media, e, 86400000 FROM e) WHERE gap_end - gap_start >= 500""")
+def all_gaps(spark, sf):
+    turns = event_turns(spark, sf)
+    return iv.all_gaps(turns, turns.select("media", F.lit(86_400_000).cast("long").alias("total_ms")).distinct())
+
+
 @query("SELECT role AS speaker, count(*) AS n FROM conversations GROUP BY role")
 def speaker_counts(spark, sf):
     return table(spark, sf, "conversations").groupBy(F.col("role").alias("speaker")).agg(F.count("*").alias("n"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import bridge, rules, voices
+from ..operators import bridge, clips, rules, voices
 from ..operators import multitrack as mt
 from ..operators import sequence as sq
 from .binding import DOC_WORDS_SQL, FRAMES_SQL, TURNS_SQL, conversation_words, document_words, event_turns, line_frames, table
@@ -60,33 +60,84 @@ def quiet_inventions(spark, sf):
     return mt.quiet_inventions(s.select("media", "ord", "speaker", "text", "level")).select("media", "ord", "speaker", "text", "level")
 
 
-@query(f"""WITH {SEGMENTS_SQL}, w AS (SELECT *, (ord * 37 % 4) / 4.0::DOUBLE AS prob FROM words),
-c AS (SELECT s.media, s.ord, any_value(s.start_ms) AS start_ms, any_value(s.end_ms) AS end_ms, coalesce(avg(prob), 0) AS conf FROM segments s LEFT JOIN w ON s.media = w.media AND s.speaker = w.speaker AND w.start_ms >= s.start_ms - 50 AND w.end_ms <= s.end_ms + 50 GROUP BY s.media, s.ord)
-SELECT media, ord, round(conf, 6) AS conf, CASE WHEN conf < 0.5 AND end_ms - start_ms <= 4000 THEN 'paste' WHEN conf < 0.65 THEN 'flag' END AS route FROM c""")
+def _routed(spark, sf) -> DataFrame:
+    """Segments of which some are sounds, and some lie where nobody's words are."""
+    s = conversation_segments(spark, sf)
+    s = s.withColumn("text", F.when(F.col("ord") % 13 == 6, "Mm-hmm.").otherwise(F.col("text")))
+    away = F.when(F.col("ord") % 11 == 5, F.lit(10**9)).otherwise(F.lit(0)).cast("long")
+    s = s.withColumns({"start_ms": F.col("start_ms") + away, "end_ms": F.col("end_ms") + away})
+    return mt.confidence(s, conversation_words(spark, sf).withColumn("prob", (F.col("ord") * 37 % 4) / 4.0))
+
+
+_ROUTED_SQL = f"""{SEGMENTS_SQL}, w AS (SELECT *, (ord * 37 % 4) / 4.0::DOUBLE AS prob FROM words),
+s AS (SELECT media, ord, speaker, CASE WHEN ord % 13 = 6 THEN 'Mm-hmm.' ELSE text END AS text, start_ms + CASE WHEN ord % 11 = 5 THEN 1000000000 ELSE 0 END AS start_ms, end_ms + CASE WHEN ord % 11 = 5 THEN 1000000000 ELSE 0 END AS end_ms FROM segments),
+m AS (SELECT s.media, s.ord, avg(prob) AS conf FROM s JOIN w ON s.media = w.media AND s.speaker = w.speaker AND w.start_ms >= s.start_ms - 50 AND w.end_ms <= s.end_ms + 50 GROUP BY s.media, s.ord),
+r AS (SELECT s.*, conf, coalesce(conf < 0.5 AND end_ms - start_ms <= 4000, FALSE) AS low, text = 'Mm-hmm.' AS sound FROM s LEFT JOIN m ON s.media = m.media AND s.ord = m.ord)"""
+
+
+@query(f"WITH {_ROUTED_SQL} SELECT media, ord, round(conf, 6) AS conf, CASE WHEN low THEN 'paste' WHEN sound THEN 'backchannel' WHEN conf < 0.65 THEN 'flag' END AS route FROM r")
 def confidence_routing(spark, sf):
-    w = conversation_words(spark, sf).withColumn("prob", (F.col("ord") * 37 % 4) / 4.0)
-    return mt.confidence(conversation_segments(spark, sf), w).select("media", "ord", F.round("conf", 6).alias("conf"), "route")
+    return _routed(spark, sf).select("media", "ord", F.round("conf", 6).alias("conf"), "route")
 
 
-@query()
+@query(f"""WITH {_ROUTED_SQL}, c AS (SELECT *, ord % 50 AS own, ord * 7919 % 101 AS other, CASE WHEN ord % 3 > 0 THEN ord * 31 % 20 END AS expected FROM r WHERE low OR sound)
+SELECT media, ord, CASE WHEN low THEN 'low_conf' ELSE 'backchannel' END AS label, CASE WHEN NOT low OR (CASE WHEN expected IS NOT NULL THEN own > 3.0 * expected ELSE other < 6.0 * own END) THEN 'raw' ELSE 'cleaned' END AS "copy",
+  speaker || '_' || printf('%06d', start_ms // 100) || '.wav' AS file, start_ms, end_ms - start_ms AS length_ms FROM c""")
+def cut_list(spark, sf):
+    expected = F.when(F.col("ord") % 3 > 0, F.col("ord") * 31 % 20)
+    return clips.cut_list(_routed(spark, sf).withColumn("copy", clips.paste_source(F.col("ord") % 50, F.col("ord") * 7919 % 101, expected)))
+
+
+_LATE = "start_ms + CASE WHEN ord % 3 = 0 THEN 2000 ELSE 0 END"
+
+
+@query(f"""WITH RECURSIVE {TURNS_SQL}, s AS (SELECT media, ord, speaker, {_LATE} AS start_ms, end_ms + 60000 AS end_ms FROM turns),
+t AS (SELECT s.media, s.ord, max(t.start_ms) AS turn_ms FROM s JOIN turns t ON t.media = s.media AND t.speaker = s.speaker AND t.start_ms < s.start_ms + 200 AND t.end_ms > s.start_ms + 200 GROUP BY s.media, s.ord),
+c AS (SELECT s.*, turn_ms, row_number() OVER (PARTITION BY s.media ORDER BY s.ord) AS rn FROM s JOIN t ON s.media = t.media AND s.ord = t.ord WHERE s.start_ms - turn_ms BETWEEN 400 AND 6000),
+o AS (SELECT c.media, c.rn, s.ord AS over, s.start_ms, s.end_ms FROM c JOIN s ON s.media = c.media AND s.speaker <> c.speaker AND s.start_ms - 6000 < c.turn_ms AND c.turn_ms < s.end_ms),
+f AS (SELECT media, 0::BIGINT AS rn, NULL::BIGINT AS ord, NULL::BIGINT AS start_ms, NULL::BIGINT AS lead_ms, NULL::BIGINT AS over, CAST([] AS STRUCT(o BIGINT, s BIGINT)[]) AS moved FROM (SELECT DISTINCT media FROM c) UNION ALL
+  SELECT media, rn, ord, turn_ms, start_ms - turn_ms, over, CASE WHEN over IS NOT NULL THEN list_append(moved, {{'o': ord, 's': turn_ms}}) ELSE moved END FROM (
+    SELECT c.media, c.rn, c.ord, c.turn_ms, c.start_ms, f.moved, (SELECT min(o.over) FROM o WHERE o.media = c.media AND o.rn = c.rn AND (o.start_ms < c.turn_ms OR len(list_filter(f.moved, lambda m: m.o = o.over AND m.s < c.turn_ms)) > 0)) AS over
+    FROM f JOIN c ON c.media = f.media AND c.rn = f.rn + 1))
+SELECT media, ord, start_ms, lead_ms, over FROM f WHERE over IS NOT NULL""")
 def interruption_marks(spark, sf):
     turns = event_turns(spark, sf)
     late = turns.withColumn("start_ms", F.col("start_ms") + F.when(F.col("ord") % 3 == 0, 2000).otherwise(0))
     return mt.interruptions(late.withColumn("end_ms", F.col("end_ms") + 60_000), turns)
 
 
-@query()
+_FILLERS_SQL = ", ".join(f"'{x}'" for x in mt.LOOP_FILLERS)
+
+
+@query(f"""WITH RECURSIVE {DOC_WORDS_SQL}, w AS (SELECT media, ord, start_ms, regexp_replace(lower(word), '[^\\p{{L}}\\p{{N}}]+', '', 'g') AS k0 FROM words),
+l AS (SELECT media, ord, start_ms, k0, {', '.join(f'lead(k0, {i}) OVER (PARTITION BY media ORDER BY ord) AS k{i}' for i in range(1, 9))} FROM w),
+h AS (SELECT media, ord, start_ms, k0 || ' ' || k1 || ' ' || k2 AS gram FROM l WHERE k0 <> '' AND k3 = k0 AND k4 = k1 AND k5 = k2 AND k6 = k3 AND k7 = k4 AND k8 = k5
+  AND len(list_filter([k0, k1, k2], lambda t: NOT (t IN ({_FILLERS_SQL}) OR regexp_matches(t, '^(ha|ah|he)+$') OR t = ''))) > 0),
+n AS (SELECT *, row_number() OVER (PARTITION BY media ORDER BY ord) AS rn FROM h),
+f AS (SELECT media, 0::BIGINT AS rn, NULL::BIGINT AS ord, -1::BIGINT AS free, NULL::VARCHAR AS gram, NULL::BIGINT AS told_ms, FALSE AS told FROM (SELECT DISTINCT media FROM n) UNION ALL
+  SELECT media, rn, ord, CASE WHEN skip THEN free ELSE ord + 9 END, CASE WHEN skip OR again THEN old_gram ELSE gram END, CASE WHEN skip OR again THEN old_at ELSE start_ms END, NOT skip AND NOT again FROM (
+    SELECT n.media, n.rn, n.ord, n.gram, n.start_ms, f.free, f.gram AS old_gram, f.told_ms AS old_at, n.ord < f.free AS skip, coalesce(f.gram = n.gram AND n.start_ms - f.told_ms < 60000, FALSE) AS again FROM f JOIN n ON n.media = f.media AND n.rn = f.rn + 1))
+SELECT media, ord, told_ms AS start_ms, gram FROM f WHERE told""")
 def ngram_loops(spark, sf):
     w = document_words(spark, sf)
     return mt.loops(sq.ngram_loops(w), w)
 
 
-@query()
+@query(f"""WITH RECURSIVE {SEGMENTS_SQL}, i AS (SELECT *, row_number() OVER (PARTITION BY media, speaker ORDER BY ord) AS rn FROM segments WHERE speaker IS NOT NULL),
+f AS (SELECT media, speaker, rn, rn AS run, start_ms, end_ms FROM i WHERE rn = 1 UNION ALL
+  SELECT i.media, i.speaker, i.rn, CASE WHEN j THEN f.run ELSE i.rn END, CASE WHEN j THEN f.start_ms ELSE i.start_ms END, i.end_ms
+  FROM f JOIN i ON i.media = f.media AND i.speaker = f.speaker AND i.rn = f.rn + 1, LATERAL (SELECT i.start_ms - f.end_ms <= 500 AND i.end_ms - f.start_ms <= 20000 AS j)),
+g AS (SELECT media, speaker, any_value(start_ms) AS start_ms, arg_max(end_ms, rn) AS end_ms, count(*) AS n FROM f GROUP BY media, speaker, run)
+SELECT *, CAST(row_number() OVER (PARTITION BY media, speaker ORDER BY end_ms - start_ms < 6000, start_ms - end_ms, start_ms) AS INT) AS rank FROM g WHERE end_ms - start_ms <= 20000""")
 def reference_runs(spark, sf):
     return voices.reference_runs(conversation_segments(spark, sf).where("speaker IS NOT NULL"))
 
 
-@query()
+@query(f"""WITH RECURSIVE {TURNS_SQL}, i AS (SELECT *, row_number() OVER (PARTITION BY media, speaker ORDER BY start_ms, end_ms) AS rn FROM turns),
+f AS (SELECT media, speaker, rn, rn AS run, start_ms, end_ms FROM i WHERE rn = 1 UNION ALL
+  SELECT i.media, i.speaker, i.rn, CASE WHEN j THEN f.run ELSE i.rn END, CASE WHEN j THEN f.start_ms ELSE i.start_ms END, CASE WHEN j THEN greatest(f.end_ms, i.end_ms) ELSE i.end_ms END
+  FROM f JOIN i ON i.media = f.media AND i.speaker = f.speaker AND i.rn = f.rn + 1, LATERAL (SELECT i.start_ms - f.end_ms <= 60000 AND i.end_ms - f.start_ms <= 600000 AS j))
+SELECT media, speaker, any_value(start_ms) AS start_ms, max(end_ms) AS end_ms FROM f GROUP BY media, speaker, run""")
 def capped_regions(spark, sf):
     return voices.capped_regions(event_turns(spark, sf), keys=["media", "speaker"], gap_ms=60_000, max_ms=600_000)
 
@@ -178,7 +229,11 @@ def first_clips(spark, sf):
     return rules.first_per_key(table(spark, sf, "documents").where("lang IS NOT NULL").select("doc_id", "lang"), key="lang", order=["doc_id"])
 
 
-@query()
+@query(f"""WITH {DOC_WORDS_SQL}, w AS (SELECT *, right(trim(word), 1) IN ('.', '!', '?', '…') AS e, lead(end_ms) OVER (PARTITION BY media ORDER BY ord) AS next_end FROM words), i AS (SELECT * FROM w WHERE end_ms - start_ms > 1400),
+x AS (SELECT i.media, i.ord, coalesce(max(w.ord) FILTER (w.ord < i.ord AND (w.e OR i.start_ms - w.start_ms >= 30000)), -1) + 1 AS a, min(w.ord) FILTER (w.ord >= i.ord AND (w.ord > i.ord AND w.e OR w.next_end IS NULL OR w.next_end - i.end_ms >= 30000)) AS b
+  FROM i JOIN w ON w.media = i.media GROUP BY i.media, i.ord),
+n AS (SELECT *, CASE WHEN coalesce(a <= max(b) OVER (PARTITION BY media ORDER BY ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) + 1, FALSE) THEN 0 ELSE 1 END AS new FROM x),
+g AS (SELECT *, sum(new) OVER (PARTITION BY media ORDER BY ord ROWS UNBOUNDED PRECEDING) AS g FROM n) SELECT media, arg_min(a, ord) AS first_ord, max(b) AS last_ord FROM g GROUP BY media, g""")
 def stretched_regions(spark, sf):
     return rules.stretched_regions(document_words(spark, sf), stretch_ms=1400)
 
