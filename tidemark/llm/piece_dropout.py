@@ -28,8 +28,6 @@ HEAP_FROM = 48
 #: Stands for a U+2581 of the text itself: two characters, so no single character and no piece equals it.
 LITERAL = "\ufdd0\ufdd0"
 NEVER = float("inf")
-#: Where no merge is possible.
-LAST = np.int64(2**63 - 1)
 GOLDEN, SECOND, THIRD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _models: dict[str, PieceModel] = {}
 
@@ -162,6 +160,30 @@ def skipped_numbers(key: np.uint64, least: int) -> Iterator[int]:
         at += 1024
 
 
+class Merged:
+    """Piece ids of chunks, one after another in ``ids()``, with the place and number of each chunk's."""
+
+    def __init__(self, n: int):
+        self.start, self.size, self.came = (np.zeros(n, np.int64) for _ in range(3))
+        self.parts: list[np.ndarray] = []
+        self.used = 0
+
+    def put(self, rows: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> None:
+        self.start[rows] = self.used + np.cumsum(sizes) - sizes
+        self.size[rows] = sizes
+        self.parts.append(ids)
+        self.used += len(ids)
+
+    def ids(self) -> np.ndarray:
+        return np.concatenate(self.parts) if self.parts else np.zeros(0, np.int32)
+
+
+def spread(into: np.ndarray, places: np.ndarray, ids: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> None:
+    """Copy runs of ``ids`` to where they belong."""
+    within = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    into[np.repeat(places, sizes) + within] = ids[np.repeat(starts, sizes) + within]
+
+
 class PairTable:
     """Ranks and merged ids of adjacent symbols, in an open-addressed table of arrays.
 
@@ -184,11 +206,16 @@ class PairTable:
                     made[symbol[p[:k]] * self.width + symbol[p[k:]]] = (order[model.score[p]], i)
         keys = np.fromiter(made, np.int64, len(made))
         self.bits = max(4, int(np.ceil(np.log2(max(len(keys), 1) * 4))))
-        self.keys = np.full(1 << self.bits, -1, np.int64)
-        # rank above, merged id below; ranks of their own make the comparison of both the comparison of ranks
-        self.value = np.full(1 << self.bits, LAST)
-        values = np.array([rank << 32 | merged for rank, merged in made.values()], np.int64)
+        self.keys = np.full(1 << self.bits, -1, np.int32 if self.width**2 < 2**31 else np.int64)
+        # outcomes in order of rank; where ranks differ, the lesser outcome is the better one
+        outcomes = sorted(set(made.values()))
+        self.rank = np.array([*(r for r, _ in outcomes), 2**31 - 1], np.int32)
+        self.merged = np.array([*(i for _, i in outcomes), -1], np.int32)
         self.ranks_differ = len(order) == len(model.score)
+        self.last = len(outcomes)  # where no merge is possible
+        self.value = np.full(1 << self.bits, self.last, np.int32)
+        place = {x: i for i, x in enumerate(outcomes)}
+        values = np.array([place[x] for x in made.values()], np.int32)
         left, slot = np.arange(len(keys)), self._slot(keys)
         while len(left):
             free = self.keys[slot] < 0
@@ -210,8 +237,9 @@ class PairTable:
         return ((keys.astype(np.uint64) * GOLDEN) >> np.uint64(64 - self.bits)).astype(np.int64)
 
     def find(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Rank and merged id of each pair."""
-        key = np.where((a < 0) | (b < 0), np.int64(-2), a.astype(np.int64) * self.width + b)
+        """Outcome of each pair."""
+        key = a.astype(self.keys.dtype) * self.width + b
+        key[(a < 0) | (b < 0)] = -2
         slot = self._slot(key)
         met = self.keys[slot]
         rest = np.flatnonzero((met != key) & (met >= 0))
@@ -221,15 +249,14 @@ class PairTable:
             rest = rest[(met != key[rest]) & (met >= 0)]
         return self.value[slot]
 
-    def merge(self, chunks: list[str], keys: np.ndarray | None, least: int) -> tuple[list[bytes], np.ndarray]:
-        """Piece ids of each chunk, as int32 bytes, when no candidate is left, and how many candidates came up.
+    def merge(self, chunks: list[str], keys: np.ndarray | None, least: int) -> Merged:
+        """Piece ids of each chunk when no candidate is left, and how many candidates came up.
 
         All chunks go on together, a candidate each at a time: the best, the leftmost of equals. With ``keys`` the
         candidate is skipped where its draw is under ``least``.
         """
         n = np.fromiter(map(len, chunks), np.int64, len(chunks))
-        out = [b""] * len(chunks)
-        came = np.zeros(len(chunks), np.int64)
+        out = Merged(len(chunks))
         flat = self.symbols[np.frombuffer("".join(chunks).encode("utf-32-le", "surrogatepass"), np.uint32)]
         start = np.cumsum(n) - n
         by_length = np.argsort(n, kind="stable")
@@ -242,63 +269,66 @@ class PairTable:
             place = np.arange(width)
             size = n[row].copy()
             s = np.where(place < size[:, None], flat[np.minimum(start[row][:, None] + place, len(flat) - 1)], np.int32(-1))
-            at = self.find(s[:, :-1].ravel(), s[:, 1:].ravel()).reshape(len(row), width - 1) if width > 1 else np.full((len(row), 1), LAST)
+            at = self.find(s[:, :-1].ravel(), s[:, 1:].ravel()).reshape(len(row), width - 1) if width > 1 else np.full((len(row), 1), self.last, np.int32)
             number = 0
             while len(row):
-                i = (at if self.ranks_differ else at >> 32).argmin(1)
+                i = (at if self.ranks_differ else self.rank[at]).argmin(1)
                 every = np.arange(len(row))
                 best = at[every, i]
-                done = best == LAST
+                done = best == self.last
                 if done.any():
                     self._finish(out, row[done], s[done], size[done])
-                    came[row[done]] = number
+                    out.came[row[done]] = number
                     go = ~done
                     row, s, at, size, i, best = row[go], s[go], at[go], size[go], i[go], best[go]
                     if not len(row):
                         break
                     every = np.arange(len(row))
-                skip = draws(keys[row], number) < least if keys is not None else np.zeros(len(row), bool)
+                m = every
                 number += 1
-                at[every[skip], i[skip]] = LAST
-                m = every[~skip]
-                if not len(m):
-                    continue
-                i = i[m]
-                s[m, i] = best[m].astype(np.int32)
-                after = np.arange(width)[None, :]
-                after = np.minimum(after + (after > i[:, None]), width - 1)
-                s[m] = np.take_along_axis(s[m], after, 1)
+                if keys is not None:
+                    skip = draws(keys[row], number - 1) < least
+                    at[every[skip], i[skip]] = self.last
+                    m, i, best = every[~skip], i[~skip], best[~skip]
+                    if not len(m):
+                        continue
+                s[m, i] = self.merged[best]
+                after = place[None, :] + (place[None, :] > i[:, None])
+                after[:, -1] = width - 1
+                s[m] = s[m[:, None], after]
                 size[m] -= 1
                 s[m, size[m]] = -1
-                gone = np.arange(width - 1)[None, :]
-                at[m] = np.take_along_axis(at[m], np.minimum(gone + (gone >= i[:, None]), width - 2), 1)
-                at[m, size[m] - 1] = LAST
-                right = m[i + 1 < size[m]]
-                j = i[i + 1 < size[m]]
+                gone = place[None, :-1] + (place[None, :-1] >= i[:, None])
+                gone[:, -1] = width - 2
+                at[m] = at[m[:, None], gone]
+                at[m, size[m] - 1] = self.last
+                side = i + 1 < size[m]
+                right, j = m[side], i[side]
                 at[right, j] = self.find(s[right, j], s[right, j + 1])
-                left = m[i > 0]
-                j = i[i > 0]
+                side = i > 0
+                left, j = m[side], i[side]
                 at[left, j - 1] = self.find(s[left, j - 1], s[left, j])
-        return out, came
-
-    def _finish(self, out: list[bytes], row: np.ndarray, s: np.ndarray, size: np.ndarray) -> None:
-        raw, step = s.tobytes(), 4 * s.shape[1]
-        for j, (i, n) in enumerate(zip(row.tolist(), (4 * size).tolist(), strict=True)):
-            out[i] = raw[j * step : j * step + n]
-        odd = ((s < 0).sum(1) > s.shape[1] - size) | (s.max(1, initial=0) >= self.first_extra)
-        for j in np.flatnonzero(odd).tolist():
-            out[row[j]] = self._with_bytes(s[j, : size[j]])
-
-    def _with_bytes(self, symbols: np.ndarray) -> bytes:
-        """Symbols as int32 ids; characters without a piece become byte pieces."""
+        return out
+
+    def _finish(self, out: Merged, row: np.ndarray, s: np.ndarray, size: np.ndarray) -> None:
+        inside = np.arange(s.shape[1]) < size[:, None]
+        odd = (((s < 0) | (s >= self.first_extra)) & inside).any(1)
+        if odd.any():
+            own = [self._with_bytes(x[:n]) for x, n in zip(s[odd].tolist(), size[odd].tolist(), strict=True)]
+            out.put(row[odd], np.array([i for ids in own for i in ids], np.int32), np.array([len(ids) for ids in own]))
+            row, s, size, inside = row[~odd], s[~odd], size[~odd], inside[~odd]
+        out.put(row, s[inside], size)
+
+    def _with_bytes(self, symbols: list[int]) -> list[int]:
+        """Symbols as ids; characters without a piece become byte pieces."""
         ids = []
-        for x in symbols.tolist():
+        for x in symbols:
             if 0 <= x < self.first_extra:
                 ids.append(x)
             else:
                 c = self.extra[x - self.first_extra] if x >= 0 else chr(-1 - x)
                 ids += [self.byte_ids[b] for b in c.encode("utf-8", "surrogatepass")]
-        return pack(f"{len(ids)}i", *ids)
+        return ids
 
 
 class Encoder:
@@ -312,9 +342,12 @@ class Encoder:
         self.pairs = self.model.pairs()
         self.seed, self.most = seed & (1 << 64) - 1, most
         self.least = round(min(max(dropout, 0.0), 1.0) * 2**53)
+        self._forget()
+
+    def _forget(self) -> None:
         self.slots: dict[str, int] = {}
-        self.plain: list[bytes] = []
-        self.came = np.zeros(0, np.int64)
+        self.ids, self.used = np.zeros(1 << 16, np.int32), 0
+        self.start, self.size, self.came = (np.zeros(1 << 14, np.int64) for _ in range(3))
 
     @staticmethod
     def kept(path: str, seed: int, dropout: float) -> Encoder:
@@ -322,58 +355,70 @@ class Encoder:
         return held(("pieces", path, seed, dropout), lambda: Encoder(path, seed, dropout))
 
     def encode(self, text: str | None) -> bytes:
-        return self.encode_all([text])[0]
+        return self.encode_all([text])[0].tobytes()
+
+    def encode_all(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """int32 ids of whole texts, one after another, and where each text's end (a leading 0 before them).
 
-    def encode_all(self, texts: list[str | None]) -> list[bytes]:
-        """int32 ids of whole texts. Every candidate merge of every chunk of a text is skipped or not by a draw of its
-        own, keyed by the seed, the text, the chunk's place in the text and the candidate's number in the chunk; so a
-        word is segmented anew at each place, and equal texts are segmented alike under one seed."""
+        Every candidate merge of every chunk of a text is skipped or not by a draw of its own, keyed by the seed, the
+        text, the chunk's place in the text and the candidate's number in the chunk; so a word is segmented anew at
+        each place, and equal texts are segmented alike under one seed."""
         found = [CHUNK.findall(" " + t) if t else [] for t in texts]
         chunks = [c for f in found for c in f]
-        if not chunks:
-            return [b""] * len(texts)
         counts = np.fromiter(map(len, found), np.int64, len(found))
         ends = np.cumsum(counts)
+        if not chunks:
+            return np.zeros(0, np.int32), np.zeros(len(texts) + 1, np.int64)
         text_keys = np.array([xxhash.xxh3_64_intdigest(t.encode("utf-8", "surrogatepass"), self.seed) if t else 0 for t in texts], np.uint64)
         place = np.arange(len(chunks)) - np.repeat(ends - counts, counts)
         keys = draws(np.repeat(text_keys, counts), place)
         slots = self._slots_of(chunks)
-        out: list[bytes] = list(map([*self.plain, b""].__getitem__, slots.tolist()))
+        size = np.where(slots >= 0, self.size[slots], 0)
+        plain = slots >= 0
+        groups = []
         if self.least:
-            self._with_skips(chunks, keys, slots, out)
-        for i in np.flatnonzero(slots < 0).tolist():
-            out[i] = self.model.encode_chunk(chunks[i], skipped_numbers(keys[i], self.least) if self.least else ())[0]
-        ends = ends.tolist()
-        return [b"".join(out[a:b]) for a, b in zip([0, *ends], ends)]  # noqa: B905
+            hit = self._skipping(keys, slots)
+            merged = self.pairs.merge([chunks[i] for i in hit.tolist()], keys[hit], self.least)
+            size[hit], plain[hit] = merged.size, False
+            groups.append((hit, merged.ids(), merged.start))
+        long_ = np.flatnonzero(slots < 0)
+        own = [np.frombuffer(self.model.encode_chunk(chunks[i], skipped_numbers(keys[i], self.least) if self.least else ())[0], np.int32) for i in long_.tolist()]
+        size[long_] = [len(x) for x in own]
+        at = np.cumsum(size) - size
+        ids = np.empty(int(size.sum()), np.int32)
+        rows = np.flatnonzero(plain)
+        for rows, source, starts in [(rows, self.ids, self.start[slots[rows]]), *groups]:
+            spread(ids, at[rows], source, starts, size[rows])
+        for i, x in zip(long_.tolist(), own, strict=True):
+            ids[at[i] : at[i] + len(x)] = x
+        return ids, np.r_[0, np.cumsum(size)][np.r_[0, ends]]
 
     def _slots_of(self, chunks: list[str]) -> np.ndarray:
         """Place of each chunk in the cache, into which new ones are put; -1 for long ones."""
         if len(self.slots) >= self.most:
-            self.slots.clear()
-            self.plain.clear()
-            self.came = self.came[:0]
+            self._forget()
         new = [c for c in set(chunks).difference(self.slots) if len(c) <= SHORT]
         if new:
-            merged, came = self.pairs.merge(new, None, 0)
-            self.slots.update(zip(new, range(len(self.plain), len(self.plain) + len(new)), strict=True))
-            self.plain += merged
-            self.came = np.r_[self.came, came]
+            merged = self.pairs.merge(new, None, 0)
+            n, k, found = len(self.slots), len(new), merged.ids()
+            if n + k > len(self.start):
+                self.start, self.size, self.came = (np.concatenate([x, np.zeros(max(len(x), k), np.int64)]) for x in (self.start, self.size, self.came))
+            if self.used + len(found) > len(self.ids):
+                self.ids = np.concatenate([self.ids, np.zeros(max(len(self.ids), len(found)), np.int32)])
+            self.slots.update(zip(new, range(n, n + k), strict=True))
+            self.start[n : n + k], self.size[n : n + k], self.came[n : n + k] = merged.start + self.used, merged.size, merged.came
+            self.ids[self.used : self.used + len(found)] = found
+            self.used += len(found)
         return np.fromiter(map(self.slots.get, chunks, repeat(-1)), np.int64, len(chunks))
 
-    def _with_skips(self, chunks: list[str], keys: np.ndarray, slots: np.ndarray, out: list[bytes]) -> None:
+    def _skipping(self, keys: np.ndarray, slots: np.ndarray) -> np.ndarray:
+        """Short chunks of which some candidate is skipped: up to the first skip they go on as the cached ones do."""
         short = np.flatnonzero(slots >= 0)
         came = self.came[slots[short]]
         owner = np.repeat(short, came)
         number = np.arange(len(owner)) - np.repeat(np.cumsum(came) - came, came)
-        hit = np.unique(owner[draws(keys[owner], number) < self.least])
-        merged, _ = self.pairs.merge([chunks[i] for i in hit.tolist()], keys[hit], self.least)
-        for i, x in zip(hit.tolist(), merged, strict=True):
-            out[i] = x
-
-
-def _lists(encoded: list[bytes]) -> pa.ListArray:
-    ends = np.cumsum([0, *(len(e) // 4 for e in encoded)]).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(encoded), np.int32), pa.int32()))
+        hit = owner[draws(keys[owner], number) < self.least]
+        return hit[np.r_[True, hit[1:] != hit[:-1]]] if len(hit) else hit
 
 
 def encode_pieces(docs: DataFrame, *, text_col: str = "text", ids_col: str = "piece_ids", seed: int = 20240229, dropout: float = 0.1, model: str = MODEL) -> DataFrame:
@@ -393,7 +438,8 @@ def encode_pieces(docs: DataFrame, *, text_col: str = "text", ids_col: str = "pi
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
                 rows = batch.slice(lo, 256)
-                ids = _lists(encoder.encode_all(rows.column(text_col).to_pylist()))
+                found, ends = encoder.encode_all(rows.column(text_col).to_pylist())
+                ids = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32), pa.int32()), pa.array(found, pa.int32()))
                 yield pa.RecordBatch.from_arrays([*(rows.column(c) for c in inputs), ids], names=[*inputs, ids_col])
         release_memory()
 
