@@ -1,20 +1,21 @@
-"""Benchmark decontamination: normalised test windows broadcast in bounded slices, scanned over whole texts."""
+"""Benchmark decontamination: normalised test windows, broadcast where they are few, scanned for in whole texts."""
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Callable, Iterator
-from itertools import chain
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WORD_BYTES, bounded_batches, mixed, stored, table, words_of
+from .common import WORD_BYTES, TokenHashes, bounded_batches, map_rows, mixed, stored, table, words_of
 
 WINDOW = 10
-#: Words of benchmark text in one broadcast slice; a larger benchmark is scanned for in several slices.
+#: Words of benchmark text that are broadcast at most (some 100 bytes each); a larger benchmark is met in a join.
 SLICE_WORDS = 1_000_000
 #: The contract's word pattern on UTF-8 bytes after ASCII lower-casing.
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
@@ -31,7 +32,7 @@ def words_with_spans(text: str) -> list[tuple[int, int]]:
 
 
 class WindowSet:
-    """Hash set of the distinct windows of one slice of the benchmark, with the items that hold each.
+    """Hash set of the distinct windows of the benchmark, with the items that hold each.
 
     Words become small numbers; a window is found by a bit filter, then by its hash in a sorted array, and is
     then verified word by word.
@@ -93,23 +94,15 @@ class WindowSet:
         return hit, items
 
 
-def _slices(benchmark: DataFrame, id_col: str, text_col: str, slice_words: int, window: int) -> Iterator[list[tuple[str, list[bytes]]]]:
-    """The benchmark's items in slices of at most ``slice_words`` words; a longer item goes in overlapping parts."""
-    rows = benchmark.select(F.col(id_col).cast("string"), F.col(text_col)).where(F.col(text_col).isNotNull() & F.col(id_col).isNotNull())
-    part: list[tuple[str, list[bytes]]] = []
-    size = 0
-    for item, text in rows.toLocalIterator():
-        words = words_of(text)
-        step = max(slice_words - window, window)
-        for at in range(0, max(len(words) - window, 1), step):
-            piece = words[at : at + step + window]
-            if part and size + len(piece) > slice_words:
-                yield part
-                part, size = [], 0
-            part.append((item, piece))
-            size += len(piece)
-    if part:
-        yield part
+def window_hashes(words: list[bytes], k: int, hashes: TokenHashes) -> np.ndarray:
+    """64-bit hashes of all windows of ``k`` words."""
+    own = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
+    n = len(own) - k + 1
+    return WindowSet.hashed([own[j : j + n] for j in range(k)]) if n > 0 else own[:0]
+
+
+def _runs(hit: np.ndarray) -> list[int]:
+    return np.flatnonzero(np.diff(np.r_[False, hit, False].astype(np.int8))).tolist()
 
 
 def mark_overlap(
@@ -121,40 +114,111 @@ def mark_overlap(
 
     A word is ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` after lower-casing A-Z. A window is ``window`` consecutive
     words of a benchmark item (all its words where it has fewer); every word of a document inside an occurrence
-    is hit. The windows are broadcast, and the broadcast is bounded: a benchmark of more than ``slice_words``
-    words is taken slice by slice, the marks so far being written between two scans.
-    Null or empty texts and items have no words; repeated items and rows act alike.
+    is hit. A benchmark of at most ``slice_words`` words is broadcast as a set of windows; of a larger one only a bit
+    filter of fixed size is, and what passes it meets the windows in a join (``_marked_by_join``), with the same result.
+    Null or empty texts and items have no words; texts of any length are scanned whole; repeated items and rows act
+    alike; an empty table gives an empty result, an empty benchmark no hits.
     """
     bounded_batches(docs.sparkSession)
+    rows = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(item_text_col).alias("text")).where("item IS NOT NULL AND text IS NOT NULL")
+    # two characters hold one word at most
+    most = rows.agg(F.coalesce(F.sum(F.floor((F.length("text") + 1) / 2)), F.lit(0))).first()[0]
+    if most > slice_words:
+        return _marked_by_join(docs, rows, text_col, window, names)
     out = docs.withColumns({names[0]: F.lit(0).cast("long"), names[1]: F.array().cast("array<string>"), names[2]: F.array().cast("array<long>")})
-    schema, inputs = out.schema, docs.columns
-    first = True
-    for part in chain(_slices(benchmark, item_col, item_text_col, slice_words, window), [None]):
-        if part is None and not first:
-            break
-        if not first:
-            out = stored(out, "overlap-marks")
-        windows = docs.sparkSession.sparkContext.broadcast(WindowSet(part or [], window))
-
-        def run(batches: Iterator[pa.RecordBatch], windows=windows) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for lo in range(0, batch.num_rows, 256):
-                    rows = batch.slice(lo, 256)
-                    n_words, items, runs = [], [], []
-                    for t, before, at in zip(*(rows.column(c).to_pylist() for c in (text_col, *names[1:])), strict=True):
-                        words = words_of(t)
-                        hit, found = windows.value.scan(words)
-                        for a, b in zip(at[::2], at[1::2], strict=True):
-                            hit[a:b] = True
-                        n_words.append(len(words))
-                        items.append(sorted(found.union(before)))
-                        runs.append(np.flatnonzero(np.diff(np.r_[False, hit, False].astype(np.int8))).tolist())
-                    made = [pa.array(n_words, pa.int64()), pa.array(items, pa.list_(pa.string())), pa.array(runs, pa.list_(pa.int64()))]
-                    yield pa.RecordBatch.from_arrays([*(rows.column(c) for c in inputs), *made], names=[*inputs, *names])
-
-        out = out.mapInArrow(run, schema)
-        first = False
-    return out
+    inputs = docs.columns
+    windows = docs.sparkSession.sparkContext.broadcast(WindowSet([(item, words_of(text)) for item, text in rows.toLocalIterator()], window))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 256):
+                rows = batch.slice(lo, 256)
+                n_words, items, runs = [], [], []
+                for t in rows.column(text_col).to_pylist():
+                    words = words_of(t)
+                    hit, found = windows.value.scan(words)
+                    n_words.append(len(words))
+                    items.append(sorted(found))
+                    runs.append(_runs(hit))
+                made = [pa.array(n_words, pa.int64()), pa.array(items, pa.list_(pa.string())), pa.array(runs, pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays([*(rows.column(c) for c in inputs), *made], names=[*inputs, *names])
+
+    return docs.mapInArrow(run, out.schema)
+
+
+#: Bits of the filter that is broadcast for a large benchmark (16 MB), and of a part of it that one task makes.
+FILTER_BITS, PART_BITS = 27, 20
+
+
+def _marked_by_join(docs: DataFrame, rows: DataFrame, text_col: str, window: int, names: tuple[str, str, str]) -> DataFrame:
+    """Windows of documents that pass the bit filter meet those of the benchmark on their hash and words.
+
+    The marks are kept by the digest of the text, so equal texts are marked once and no corpus is written anew.
+    """
+    hashes = TokenHashes()
+    parts = ", ".join(("k int", "h long", "words binary"))
+
+    def windows_of(item, text):
+        out: dict = {"k": [], "h": [], "words": [], "item": []}
+        for i, t in zip(item, text, strict=True):
+            words = words_of(t)
+            k = min(window, len(words))
+            for at, h in enumerate(window_hashes(words, k, hashes).view(np.int64).tolist() if k else ()):
+                for name, value in zip(out, (k, h, b" ".join(words[at : at + k]), i), strict=True):
+                    out[name].append(value)
+        return out
+
+    windows = stored(map_rows(rows, windows_of, f"{parts}, item string", 16).distinct(), "overlap-windows")
+    lengths = sorted(r[0] for r in windows.select("k").distinct().collect())  # ``window`` of them at most
+
+    def bits(pdf: pd.DataFrame) -> pd.DataFrame:
+        part = np.zeros(1 << PART_BITS, bool)
+        part[pdf["bit"].to_numpy() & ((1 << PART_BITS) - 1)] = True
+        return pd.DataFrame({"part": [int(pdf["bit"].iloc[0]) >> PART_BITS], "bits": [np.packbits(part).tobytes()]})
+
+    place = windows.select(F.shiftrightunsigned("h", 64 - FILTER_BITS).alias("bit")).distinct()
+    made = place.withColumn("part", F.shiftright("bit", PART_BITS)).groupBy("part").applyInPandas(bits, "part long, bits binary")
+    filter_ = np.zeros((1 << FILTER_BITS) // 8, np.uint8).reshape(-1, (1 << PART_BITS) // 8)
+    for r in made.toLocalIterator():
+        filter_[r["part"]] = np.frombuffer(r["bits"], np.uint8)
+    shared = docs.sparkSession.sparkContext.broadcast(filter_.ravel())
+
+    def candidates(text):
+        out: dict = {"digest": [], "place": [], "k": [], "h": [], "words": []}
+        for t in text:
+            words = words_of(t)
+            digest = hashlib.md5((t or "").encode()).hexdigest()
+            for k in lengths:
+                h = window_hashes(words, k, hashes)
+                bit = h >> np.uint64(64 - FILTER_BITS)
+                for at in np.flatnonzero(shared.value[(bit >> np.uint64(3)).astype(np.int64)] >> (np.uint8(7) - (bit & np.uint64(7)).astype(np.uint8)) & 1).tolist():
+                    for name, value in zip(out, (digest, at, k, int(h[at : at + 1].view(np.int64)[0]), b" ".join(words[at : at + k])), strict=True):
+                        out[name].append(value)
+        return out
+
+    found = map_rows(docs.select(F.col(text_col).alias("text")), candidates, f"digest string, place long, {parts}", 64).distinct()
+    hits = found.join(windows, ["k", "h", "words"])
+    digest, items, spans = (f"{'_' * max(map(len, [*docs.columns, *names]))}{x}" for x in ("digest", "items", "spans"))
+    marks = hits.groupBy(F.col("digest").alias(digest)).agg(F.sort_array(F.collect_set("item")).alias(items), F.flatten(F.collect_set(F.array("place", F.col("place") + F.col("k")))).alias(spans))
+    inputs = docs.columns
+    met = docs.withColumn(digest, F.md5(F.coalesce(text_col, F.lit("")).cast("binary"))).join(marks, digest, "left")
+    schema = docs.withColumns({names[0]: F.lit(0).cast("long"), names[1]: F.array().cast("array<string>"), names[2]: F.array().cast("array<long>")}).schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 256):
+                rows = batch.slice(lo, 256)
+                n_words, runs = [], []
+                for t, at in zip(rows.column(text_col).to_pylist(), rows.column(spans).to_pylist(), strict=True):
+                    n_words.append(len(words_of(t)))
+                    hit = np.zeros(n_words[-1], bool)
+                    for a, b in zip((at or [])[::2], (at or [])[1::2], strict=True):
+                        hit[a:b] = True
+                    runs.append(_runs(hit))
+                made = [pa.array(n_words, pa.int64()), pa.array([x or [] for x in rows.column(items).to_pylist()], pa.list_(pa.string())), pa.array(runs, pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays([*(rows.column(c) for c in inputs), *made], names=[*inputs, *names])
+
+    return met.mapInArrow(run, schema)
 
 
 def benchmark_overlap(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
