@@ -39,17 +39,21 @@ def judge_urls(pages: DataFrame, rules: DataFrame, *, id_col: str = "page_id", u
     Every URL becomes expressions host suffix + path prefix, a prefix for each distinct length of a rule's path
     that fits. Expressions meet the rules on four bytes of their SHA-256; the full digest confirms. Of the
     confirmed rules the longest wins, then the greatest in byte order, then the greater verdict. URLs that no
-    rule fits get ``otherwise`` and a null rule. Null URLs or ones without ``://`` have an empty host and path.
-    Rules with null fields are ignored. Repeated rows and ids are judged one by one. Other columns are ignored.
+    rule fits get ``otherwise`` and a null rule. A host has as many suffixes as the deepest rule has labels, so long
+    hosts and paths cost linear time. Null URLs or ones without ``://`` have an empty host and path.
+    Rules with null fields are ignored. Repeated rows and ids are judged one by one. Other columns are ignored; an
+    empty table gives an empty result, an empty rule list the fallback for all.
     """
     pages = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url")).withColumn("row", F.monotonically_increasing_id())
     rules = rules.select(lower_ascii(F.col("host")).alias("rh"), F.col("path").alias("rp"), F.col("verdict").alias("rv")).dropna().distinct()
     rules = rules.withColumn("full", F.sha2(F.concat("rh", "rp").cast("binary"), 256)).withColumn("short", F.substring("full", 1, 8))
     small = rules.limit(broadcast_rules + 1).count() <= broadcast_rules
     lengths = sorted(r[0] for r in rules.select(F.length("rp")).distinct().toLocalIterator())
+    # no rule's host has more labels, so no longer suffix of a URL's host can meet one
+    deepest = rules.agg(F.max(F.size(F.split("rh", r"\.")))).first()[0] or 1
     pages = pages.select("row", "page_id", url_host(F.col("url")).alias("host"), url_path(F.col("url")).alias("path"))
     labels = F.split("host", r"\.")
-    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    suffixes = F.transform(F.sequence(F.greatest(F.size(labels) - deepest + 1, F.lit(1)), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
     fits = F.filter(F.array(*[F.lit(n) for n in lengths]).cast("array<int>"), lambda n: n <= F.length("path"))
     prefixes = F.transform(fits, lambda n: F.substring(F.col("path"), F.lit(1), n))
     tried = pages.withColumn("e", F.explode_outer(F.flatten(F.transform(suffixes, lambda h: F.transform(prefixes, lambda p: F.concat(h, p))))))
