@@ -57,7 +57,7 @@ def test_findings(spark):
     pastes = spark.createDataFrame([(0, 0, False, 0, 9000), (1, 5, True, 0, 4500), (2, 5, False, 0, 9000)], "ord long, bytes long, auto boolean, start_ms long, end_ms long")
     holes = spark.createDataFrame([(1, 7, "A", 0, 1000, 3, -0.5), (1, 8, "A", 5000, 6000, 4, -0.2), (1, 9, "A", 7000, 8000, 2, 0.0)], "media long, ord long, speaker string, start_ms long, end_ms long, n_words int, logprob double")
     said = spark.createDataFrame([(1, "A", 400, 2000)], "media long, speaker string, start_ms long, end_ms long")
-    assert rows(rules.paste_findings(pastes, holes, said), "stage", "seg_id") == [("paste", 0), ("paste", 1), ("speech", 8)]
+    assert rows(rules.paste_findings(pastes, holes, said), "stage", "seg_id") == [("paste", 0), ("paste", 1), ("speech", 8), ("speech", 9)]
 
 
 def test_join_trimmed():

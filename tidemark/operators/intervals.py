@@ -40,11 +40,16 @@ def best_overlap_speaker(words: DataFrame, turns: DataFrame, **options) -> DataF
 
 
 def total_overlap_speaker(segments: DataFrame, turns: DataFrame, **options) -> DataFrame:
-    """(media, ord, speaker): the speaker with the greatest summed overlap, first seen on a tie; null for none."""
+    """(media, ord, speaker): the speaker with the greatest summed overlap, first seen on a tie.
+
+    Where nothing overlaps it is the item's first speaker by name; null where the item has no turns.
+    """
     met = interval_join(*_sides(segments, turns), on=["media"], **options)
     sums = met.groupBy("media", F.col("l_ord").alias("ord"), "r_speaker").agg(F.sum(overlap_ms()).alias("o"), F.min("r_ord").alias("first"))
     best = sums.groupBy("media", "ord").agg(F.min(F.struct((-F.col("o")).alias("o"), "first", "r_speaker"))["r_speaker"].alias("speaker"))
-    return segments.select("media", "ord").join(best, ["media", "ord"], "left")
+    names = turns.groupBy("media").agg(F.min("speaker").alias("_default"))
+    met = segments.select("media", "ord").join(best, ["media", "ord"], "left").join(names, "media", "left")
+    return met.select("media", "ord", F.coalesce("speaker", "_default").alias("speaker"))
 
 
 def turn_overlaps(turns: DataFrame, *, min_ms: int = 800, **options) -> DataFrame:

@@ -46,6 +46,61 @@ def foreign_share(segments: DataFrame, foreign: DataFrame, voiced_frames: DataFr
     return met.groupBy("track", "ord").agg((F.count("f") / F.count("*")).alias("share"))
 
 
+def foreign_bucket(share: Column, *, mostly: float = 0.5, partly: float = 0.2) -> Column:
+    return F.when(share > mostly, "mostly").when(share > partly, "partly")
+
+
+def extents(rows: DataFrame, *, by: str = "media") -> DataFrame:
+    """(by, first_ms, last_ms, n) of intervals."""
+    return rows.groupBy(by).agg(F.min("start_ms").alias("first_ms"), F.max("end_ms").alias("last_ms"), F.count("*").alias("n"))
+
+
+def locality_order(rows: DataFrame, *, by: str = "speaker", order: tuple[str, ...] = ("start_ms", "ord")) -> DataFrame:
+    """Rows dealt by ``by`` and sorted in each part, with their ``place`` among those of the same ``by``: what depends on the
+    same reference is worked on together."""
+    w = W.partitionBy(by).orderBy(*order)
+    return rows.withColumn("place", (F.row_number().over(w) - 1).cast("long")).sortWithinPartitions(by, *order)
+
+
+def counted_passes(rows: DataFrame, name: str, **passes: Column):
+    """The rows and an observation of how many of them pass each test, filled in by whatever action reads them first."""
+    from pyspark.sql import Observation
+
+    seen = Observation(name)
+    return rows.observe(seen, *[F.count_if(F.coalesce(c, F.lit(False))).alias(k) for k, c in passes.items()]), seen
+
+
+def spans_voiced(gaps: DataFrame, voiced: DataFrame, *, frame_ms: int = 250, least_ms: int = 10_000, share: float = 0.5) -> DataFrame:
+    """Wordless gaps (track, ord, start_ms, end_ms) of ``least_ms`` or more over sound: (track, ord, voiced_share) from ``share`` on.
+
+    ``voiced`` are the (track, frame_no) that sound.
+    """
+    g = gaps.where(F.col("end_ms") - F.col("start_ms") >= least_ms)
+    frames = g.select("track", "ord", F.explode(F.sequence(F.floor(F.col("start_ms") / frame_ms), F.floor((F.col("end_ms") - 1) / frame_ms))).alias("frame_no"))
+    met = frames.join(voiced.select("track", "frame_no", F.lit(1).alias("_v")).distinct(), ["track", "frame_no"], "left")
+    return met.groupBy("track", "ord").agg((F.count("_v") / F.count("*")).alias("voiced_share")).where(F.col("voiced_share") >= share)
+
+
+def preflight(rows: DataFrame, *, least_ms: int = 300) -> DataFrame:
+    """(media, n, median, least, most) of speech time over the span it was said in, the upper median; short spans are left out."""
+    from .voices import upper_median
+
+    r = rows.where(F.col("span_ms") > least_ms).withColumn("_r", F.col("speech_ms") / F.col("span_ms"))
+    return r.groupBy("media").agg(F.count("*").alias("n"), upper_median(F.col("_r")).alias("median"), F.min("_r").alias("least"), F.max("_r").alias("most"))
+
+
+def stages_to_run(stages: DataFrame) -> DataFrame:
+    """(item, stage) that are to be run: no output, or one older than an input (item, stage, output_at, input_at)."""
+    stale = F.col("output_at").isNull() | F.coalesce(F.col("input_at") > F.col("output_at"), F.lit(False))
+    return stages.where(stale).select("item", "stage")
+
+
+def hits_of_homographs(texts: DataFrame, forms: list[str], *, text: str = "text") -> DataFrame:
+    """(word, n): listed forms that stand without a mark, most frequent first."""
+    w = texts.select(F.explode(F.regexp_extract_all(F.lower(F.col(text)), F.lit(r"([\p{L}+]+)"), F.lit(1))).alias("word"))
+    return w.where(F.col("word").isin(*forms)).groupBy("word").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "word")
+
+
 def stretched_regions(words: DataFrame, *, stretch_ms: int = 2000, reach_ms: int = 30_000) -> DataFrame:
     """(media, first_ord, last_ord): stretches around drawn-out words, out to sentence ends nearby, joined where they meet.
 
@@ -178,16 +233,40 @@ def reference_findings(refs: DataFrame) -> DataFrame:
     return _finding(r, "refs", F.col("c.s"), F.col("c.m"))
 
 
-def paste_findings(pastes: DataFrame, holes: DataFrame, segments: DataFrame, *, longest_ms: int = 4000, share: float = 0.5) -> DataFrame:
-    """Pasted originals (ord, bytes, auto, start_ms, end_ms) without a file or too long, and uncovered holes
-    (media, ord, speaker, start_ms, end_ms, n_words, logprob) of three trustworthy words or more."""
+def paste_findings(pastes: DataFrame, holes: DataFrame, segments: DataFrame, *, longest_ms: int = 4000, share: float = 0.5, clear: float = -1.0) -> DataFrame:
+    """Pasted originals (ord, bytes, auto, start_ms, end_ms) without a file or, pasted by rule, too long; and uncovered holes
+    (media, ord, speaker, start_ms, end_ms, n_words, logprob): three clear words or more fail, fewer or unclear ones
+    warn, and so does what was another speaker's (a ``bleed`` column, where there is one)."""
     lost = _finding(pastes.where(F.coalesce("bytes", F.lit(0)) == 0), "paste", "fail", F.lit("file missing"))
-    long_ = _finding(pastes.where(F.coalesce("auto", F.lit(False)) & (F.col("end_ms") - F.col("start_ms") > longest_ms)), "paste", "warn", F.lit("long"))
-    a = holes.where("n_words >= 3 AND logprob >= -1").select("media", "speaker", "ord", F.col("start_ms").alias("l_start"), F.col("end_ms").alias("l_end"))
+    long_ = _finding(pastes.where(F.coalesce("auto", F.lit(False)) & (F.col("end_ms") - F.col("start_ms") > longest_ms)), "paste", "fail", F.lit("long"))
+    bleed = F.coalesce("bleed", F.lit(False)) if "bleed" in holes.columns else F.lit(False)
+    a = holes.withColumn("_bleed", bleed).select("media", "speaker", "ord", "n_words", "logprob", "_bleed", F.col("start_ms").alias("l_start"), F.col("end_ms").alias("l_end"))
     b = segments.select("media", "speaker", F.col("start_ms").alias("r_start"), F.col("end_ms").alias("r_end"))
     covered = interval_join(a, b, on=["media", "speaker"]).where(overlap_ms() >= share * (F.col("l_end") - F.col("l_start"))).select("media", "ord").distinct()
-    open_ = a.join(covered, ["media", "ord"], "left_anti")
-    return lost.unionByName(long_).unionByName(_finding(open_, "speech", "fail", F.lit("untranscribed")))
+    open_ = a.join(covered, ["media", "ord"], "left_anti").withColumn("_clear", F.coalesce("logprob", F.lit(0.0)) >= clear)
+    severity = F.when(~F.col("_bleed") & (F.col("n_words") >= 3) & F.col("_clear"), "fail").otherwise("warn")
+    msg = F.when(F.col("_bleed"), "another speaker's words").when(F.col("_clear"), "untranscribed").otherwise("untranscribed, unclear")
+    return lost.unionByName(long_).unionByName(_finding(open_, "speech", severity, msg))
+
+
+def unchecked_speakers(pastes: DataFrame, checked: DataFrame) -> DataFrame:
+    """(speaker) of automatic pastes (speaker, auto) that no speech check (speaker) has heard."""
+    own = pastes.where(F.coalesce("auto", F.lit(False))).select("speaker").distinct()
+    return own.join(checked.select("speaker").distinct(), "speaker", "left_anti")
+
+
+def translation_findings(translated: DataFrame, base: DataFrame) -> DataFrame:
+    """Failures for segments (ord, text, orig) without a translation and for those of ``base`` that are not there at all.
+    Pasted originals need none."""
+    said = lambda df: df.where(~F.coalesce("orig", F.lit(False)))
+    bare = said(translated).where(F.coalesce("text", F.lit("")) == "")
+    gone = said(base).select("ord").join(translated.select("ord"), "ord", "left_anti")
+    return _finding(bare, "translation", "fail", F.lit("untranslated")).unionByName(_finding(gone, "translation", "fail", F.lit("absent")))
+
+
+def unknown_ids(chunk: DataFrame, base: DataFrame, *, key: str) -> DataFrame:
+    """Keys of a chunk that the base lacks: they are refused."""
+    return chunk.select(key).join(base.select(key), key, "left_anti")
 
 
 def track_findings(wanted: DataFrame, files: DataFrame) -> DataFrame:

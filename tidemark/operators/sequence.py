@@ -26,11 +26,11 @@ def ordered_fold(df: DataFrame, keys: list[str], order: list[str], fn: Callable[
     return df.groupBy(*keys).applyInPandas(run, schema)
 
 
-def build_sentences(words: DataFrame, *, gap_ms: int | None = None) -> DataFrame:
+def build_sentences(words: DataFrame, *, gap_ms: int | None = None, default: str | None = None) -> DataFrame:
     """Sentences (media, sentence, first_ord, last_ord, start_ms, end_ms, speaker, text).
 
     A sentence closes after a word that ends it, and before a word that follows a pause longer than ``gap_ms``.
-    Its speaker has the most word time; the first to speak wins a tie.
+    Its speaker has the most word time; the first to speak wins a tie; ``default`` stands in where no word has one.
     """
     order = W.partitionBy("media").orderBy("ord")
     cut = F.coalesce(F.lag(ends_sentence("word")).over(order), F.lit(False))
@@ -43,7 +43,8 @@ def build_sentences(words: DataFrame, *, gap_ms: int | None = None) -> DataFrame
     )
     time = w.where("speaker IS NOT NULL").groupBy("media", "sentence", "speaker").agg(F.sum(F.col("end_ms") - F.col("start_ms")).alias("t"), F.min("ord").alias("o"))
     most = time.groupBy("media", "sentence").agg(F.min(F.struct((-F.col("t")).alias("t"), "o", "speaker"))["speaker"].alias("speaker"))
-    return whole.join(most, ["media", "sentence"], "left").select("media", "sentence", "first_ord", "last_ord", "start_ms", "end_ms", "speaker", "text")
+    speaker = F.col("speaker") if default is None else F.coalesce("speaker", F.lit(default))
+    return whole.join(most, ["media", "sentence"], "left").select("media", "sentence", "first_ord", "last_ord", "start_ms", "end_ms", speaker.alias("speaker"), "text")
 
 
 def merge_short(items: DataFrame, *, target_ms: int = 12_000, pause_ms: int = 1000) -> DataFrame:
@@ -65,6 +66,17 @@ def merge_short(items: DataFrame, *, target_ms: int = 12_000, pause_ms: int = 10
     return ordered_fold(items.select("media", "ord", "speaker", "start_ms", "end_ms"), ["media"], ["ord"], fold, f"media long, first_ord long, speaker {kind}, start_ms long, end_ms long, n long")
 
 
+def merge_sessions(items: DataFrame, *, target_ms: int = 12_000, pause_ms: int = 1000) -> DataFrame:
+    """``merge_short`` of items that also have ``text`` and ``cut``: the texts are joined, a cut is that of the last item."""
+    merged = merge_short(items, target_ms=target_ms, pause_ms=pause_ms).drop("start_ms", "end_ms", "speaker")
+    order = W.partitionBy("media").orderBy("ord")
+    row = items.withColumn("_k", F.row_number().over(order)).join(merged.select("media", F.col("first_ord").alias("ord"), F.lit(1).alias("_new")), ["media", "ord"], "left")
+    row = row.withColumn("_g", F.sum(F.coalesce("_new", F.lit(0))).over(order.rowsBetween(W.unboundedPreceding, 0)))
+    last = lambda c: F.max_by(c, "_k").alias(c)
+    texts = F.transform(F.array_sort(F.collect_list(F.struct("_k", "text"))), lambda x: x["text"])
+    return row.groupBy("media", "_g").agg(F.min_by("ord", "_k").alias("first_ord"), last("speaker"), F.min_by("start_ms", "_k").alias("start_ms"), last("end_ms"), F.count("*").alias("n"), F.array_join(texts, " ").alias("text"), last("cut")).drop("_g")
+
+
 def split_long(words: DataFrame, *, max_ms: int = 25_000, marks: str = ",;:—") -> DataFrame:
     """Cut runs (media, run, ord, word, start_ms, end_ms) longer than ``max_ms`` at their longest pauses.
 

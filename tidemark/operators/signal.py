@@ -83,6 +83,12 @@ def moving_average(frames: DataFrame, value: str, *, half: int) -> DataFrame:
     return frames.withColumn(value, F.avg(value).over(w))
 
 
+def muting_gain(foreign: DataFrame, *, fade: int = 1) -> DataFrame:
+    """(track, frame_no, gain) of stems: silence on the frames (track, frame_no, foreign) of another voice, faded at the edges."""
+    gain = foreign.select("track", "frame_no", F.when(F.col("foreign"), 0.0).otherwise(1.0).alias("gain"))
+    return moving_average(gain, "gain", half=fade)
+
+
 def bursts(frames: DataFrame, *, enter: float = 0.5, leave: float = 0.3) -> DataFrame:
     """Bursts of each track: rises to ``enter`` of the peak after having been under ``leave`` of it."""
     w = W.partitionBy("track").orderBy("frame_no")

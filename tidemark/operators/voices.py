@@ -68,6 +68,40 @@ def nearest_pause(turns: DataFrame, targets: DataFrame, *, min_ms: int = 300, re
     return targets.join(best, ["media", "t"], "left")
 
 
+def chunk_bounds(turns: DataFrame, totals: DataFrame, hops: DataFrame, *, chunk_ms: int = 1_200_000, reach_ms: int = 60_000, min_ms: int = 300, hop_ms: int = 300) -> DataFrame:
+    """(media, n, bound_ms): where a recording is cut into chunks, each counted from the last cut.
+
+    A cut is snapped to the middle of the closest pause within reach, the earlier on a tie; without one to the middle
+    of the quietest of the ``hops`` (media, hop, level) in reach, the first of them; without any it stays.
+    ``totals`` are (media, total_ms). The first bound is 0, the last the total.
+    """
+    from .intervals import all_gaps
+
+    whole = totals.select("media", F.col("total_ms").alias("at"), F.lit("total").alias("kind"), F.lit(0.0).alias("level"))
+    pause = all_gaps(turns, totals, min_ms=min_ms).select("media", F.floor((F.col("gap_start") + F.col("gap_end")) / 2).alias("at"), F.lit("pause").alias("kind"), F.lit(0.0).alias("level"), "gap_end")
+    # silence after the last turn is no pause before one
+    last = turns.groupBy("media").agg(F.max("start_ms").alias("_last"))
+    pause = pause.join(last, "media").where(F.col("gap_end") <= F.col("_last")).drop("gap_end", "_last")
+    quiet = hops.select("media", (F.col("hop") * hop_ms).alias("at"), F.lit("hop").alias("kind"), F.col("level").cast("double").alias("level"))
+
+    def fold(rows):
+        total = next((r["at"] for r in rows if r["kind"] == "total"), None)
+        if total is None:
+            return
+        pauses = np.array([r["at"] for r in rows if r["kind"] == "pause"], np.int64)
+        at, level = (np.array([r[c] for r in rows if r["kind"] == "hop"]) for c in ("at", "level"))
+        bounds, t = [0], chunk_ms
+        while t < total - reach_ms:
+            near = pauses[(pauses >= t - reach_ms) & (pauses <= t + reach_ms)]
+            inside = np.flatnonzero((at >= max(t - reach_ms, 0)) & (at + hop_ms <= t + reach_ms))
+            cut = int(near[np.abs(near - t).argmin()]) if len(near) else int(at[inside[level[inside].argmin()]] + hop_ms // 2) if len(inside) else t
+            bounds.append(max(cut, bounds[-1] + 1))
+            t = bounds[-1] + chunk_ms
+        yield from ({"media": rows[0]["media"], "n": i, "bound_ms": b} for i, b in enumerate([*bounds, int(total)]))
+
+    return ordered_fold(whole.unionByName(pause).unionByName(quiet), ["media"], ["at", "kind"], fold, "media long, n long, bound_ms long")
+
+
 def guarded_pass(run: Callable[[int, int], list[dict]], start_ms: int, end_ms: int, *, window: int = 80, least: int = 4, advance_ms: int = 60_000) -> list[dict]:
     """Words of ``run(a, b)``, run anew from the last sentence end before punctuation fails, while that gains a minute.
 

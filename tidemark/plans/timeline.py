@@ -74,12 +74,12 @@ def speaker_overlap_tag(spark, sf):
     return iv.best_overlap_speaker(turns.withColumns({"start_ms": F.col("start_ms") + 1000, "end_ms": F.col("end_ms") + 4000}), turns)
 
 
-@query(f"""WITH {TURNS_SQL}, seg AS (SELECT media, ord, start_ms + 1000 AS start_ms, end_ms + 60000 AS end_ms FROM turns),
+@query(f"""WITH {TURNS_SQL}, seg AS (SELECT media, ord, start_ms + 1000 + CASE WHEN ord % 9 = 4 THEN 1000000000 ELSE 0 END AS start_ms, end_ms + 60000 + CASE WHEN ord % 9 = 4 THEN 1000000000 ELSE 0 END AS end_ms FROM turns),
 m AS (SELECT a.media, a.ord, b.speaker, row_number() OVER (PARTITION BY a.media, a.ord ORDER BY sum({_LEN}) DESC, min(b.ord)) AS k FROM seg a JOIN turns b ON {_OVER} GROUP BY a.media, a.ord, b.speaker)
-SELECT seg.media, seg.ord, m.speaker FROM seg LEFT JOIN m ON seg.media = m.media AND seg.ord = m.ord AND k = 1""")
+SELECT seg.media, seg.ord, coalesce(m.speaker, d.speaker) AS speaker FROM seg LEFT JOIN m ON seg.media = m.media AND seg.ord = m.ord AND k = 1 LEFT JOIN (SELECT media, min(speaker) AS speaker FROM turns GROUP BY media) AS d ON d.media = seg.media""")
 def segment_speaker_total(spark, sf):
     turns = event_turns(spark, sf)
-    return iv.total_overlap_speaker(turns.withColumns({"start_ms": F.col("start_ms") + 1000, "end_ms": F.col("end_ms") + 60_000}), turns)
+    return iv.total_overlap_speaker(turns.withColumns({"start_ms": F.col("start_ms") + 1000 + F.when(F.col("ord") % 9 == 4, 10**9).otherwise(0), "end_ms": F.col("end_ms") + 60_000 + F.when(F.col("ord") % 9 == 4, 10**9).otherwise(0)}), turns)
 
 
 @query(f"""WITH {TURNS_SQL} SELECT a.media, a.ord AS a, b.ord AS b, greatest(a.start_ms, b.start_ms) AS start_ms, least(a.end_ms, b.end_ms) AS end_ms
