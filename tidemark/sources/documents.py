@@ -49,6 +49,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def first_existing(spark: SparkSession, *paths: str) -> str:
     for p in paths:
         if exists(spark, p):
@@ -87,6 +92,52 @@ def read_wav_levels(spark: SparkSession, path: str, *, frame_ms: int = 250, star
     return files.mapInArrow(run, "path string, frame_no long, rms double")
 
 
+def probe_durations(spark: SparkSession, path: str) -> DataFrame:
+    """(path, duration_ms) of sound files, from their headers and lengths; only the first bytes go to Python."""
+
+    def run(batches):
+        for batch in batches:
+            out = []
+            for head, length in zip(batch.column("head").to_pylist(), batch.column("length").to_pylist(), strict=True):
+                data, at = head.find(b"data"), head.find(b"fmt ")
+                rate = int.from_bytes(head[at + 16 : at + 20], "little") if at >= 0 else 0  # bytes a second
+                out.append((min(int.from_bytes(head[data + 4 : data + 8], "little"), length - data - 8)) * 1000 // rate if data >= 0 and rate else None)
+            yield pa.RecordBatch.from_arrays([batch.column("path"), pa.array(out, pa.int64())], names=["path", "duration_ms"])
+
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.wav").load(path)
+    return files.select("path", "length", F.substring("content", 1, 4096).alias("head")).mapInArrow(run, "path string, duration_ms long")
+
+
+def backup_once(df: DataFrame, path: str) -> None:
+    """Replace the table at ``path``; what was there before the first replacement is kept beside it and never touched again."""
+    spark = df.sparkSession
+    if exists(spark, path) and not exists(spark, f"{path}.bak"):
+        spark.read.parquet(path).write.parquet(f"{path}.bak")
+    df.write.mode("overwrite").parquet(f"{path}.next")
+    spark.read.schema(df.schema).parquet(f"{path}.next").write.mode("overwrite").parquet(path)
+
+
+def export_transcripts(lines: DataFrame, complete: DataFrame, path: str, at: datetime | None = None) -> str:
+    """Write lines (media, turn, line) of the complete items (media) as text in order, a folder an item, under a folder
+    named by the time of the run; returns it."""
+    to = f"{path.rstrip('/')}/{(at or datetime.now(UTC)).strftime('%m%d-%H%M%S')}"
+    text = lines.join(complete, "media", "left_semi").repartition("media").sortWithinPartitions("media", "turn")
+    text.select("media", F.col("line").alias("value")).write.partitionBy("media").mode("errorifexists").text(to)
+    return to
+
+
+def drifted(files: DataFrame) -> DataFrame:
+    """Rows of (path, value) whose JSON text is not in the canonical form."""
+
+    def run(batches):
+        for batch in batches:
+            texts = batch.column("value").to_pylist()
+            bad = [canonical(json.loads(t)) != t for t in texts]
+            yield batch.filter(pa.array(bad))
+
+    return files.select("path", "value").mapInArrow(run, "path string, value string")
+
+
 def write_documents(df: DataFrame, path: str, *, by: str = "media", order: str = "ord") -> None:
     """One JSON line for each media item, its rows in order under ``segments``."""
     rows = F.transform(F.array_sort(F.collect_list(F.struct(order, F.struct(*[c for c in df.columns if c != by]).alias("r")))), lambda x: x["r"])

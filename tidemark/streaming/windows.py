@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def degraded_windows(words: DataFrame, *, time: str = "ts", late: str = "1 minute", window: str = "5 minutes", least_words: int = 80, least_share: float = 0.04) -> DataFrame:
@@ -24,17 +25,42 @@ def counts_by_type(events: DataFrame, *, time: str = "ts", late: str = "10 minut
     return g.agg(F.count("*").alias("n"), F.sum("value").alias("total")).select(F.col("w.start").alias("start"), "event_type", "n", "total")
 
 
-def keyed_upsert(batches: DataFrame, path: str, checkpoint: str, *, key: str, order: str):
-    """Keep the latest row of each key in a Parquet table: each batch writes a new version, so a retry repeats it whole."""
-    from pyspark.sql import Window as W
+def keyed_upsert(batches: DataFrame, path: str, checkpoint: str):
+    """Write each micro-batch into a folder of its own, ``epoch=N``: a retry replaces its own folder and nothing else.
 
-    def apply(rows: DataFrame, epoch: int) -> None:
-        from ..sources.documents import exists
+    A batch costs what it holds, however large the table; ``latest`` reads the newest row of each key and ``compact``
+    folds old batches into one.
+    """
 
-        spark = rows.sparkSession
-        last = f"{path}/version={epoch - 1}"
-        both = rows.unionByName(spark.read.schema(rows.schema).parquet(last)) if epoch and exists(spark, last) else rows
-        newest = both.withColumn("_k", F.row_number().over(W.partitionBy(key).orderBy(F.desc(order)))).where("_k = 1").drop("_k")
-        newest.write.mode("overwrite").parquet(f"{path}/version={epoch}")
+    def apply(rows: DataFrame, epoch: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
 
     return batches.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
+
+
+def latest(spark: SparkSession, path: str, schema: StructType | str, *, key: str, order: str) -> DataFrame:
+    """The newest row of each key by ``order``, then by batch, of all batches written so far."""
+    rows = spark.read.schema(schema).option("basePath", path).parquet(path)
+    fields = [f for f in rows.columns if f != "epoch"]
+    return rows.groupBy(key).agg(F.max_by(F.struct(*fields), F.struct(order, "epoch")).alias("r")).select("r.*")
+
+
+def compact(spark: SparkSession, path: str, schema: StructType | str, *, key: str, order: str, before: int) -> None:
+    """Fold the batches up to ``before`` into that one's folder, and remove the older folders.
+
+    The folded rows stand beside the table until they are whole; readers started before keep what they listed.
+    """
+    from ..sources.documents import exists, remove
+
+    old = [n for n in range(before + 1) if exists(spark, f"{path}/epoch={n}")]
+    if len(old) < 2:
+        return
+    kept = spark.read.schema(schema).option("basePath", path).parquet(*[f"{path}/epoch={n}" for n in old])
+    fields = [f for f in kept.columns if f != "epoch"]
+    newest = kept.groupBy(key).agg(F.max_by(F.struct(*fields), F.struct(order, "epoch")).alias("r")).select("r.*")
+    aside = f"{path.rstrip('/')}.folding"
+    newest.write.mode("overwrite").parquet(aside)
+    spark.read.schema(newest.schema).parquet(aside).write.mode("overwrite").parquet(f"{path}/epoch={old[-1]}")
+    for n in old[:-1]:
+        remove(spark, f"{path}/epoch={n}")
+    remove(spark, aside)
