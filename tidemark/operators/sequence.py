@@ -37,14 +37,15 @@ def build_sentences(words: DataFrame, *, gap_ms: int | None = None, default: str
     if gap_ms is not None:
         cut = cut | F.coalesce(F.col("start_ms") - F.lag("end_ms").over(order) > gap_ms, F.lit(False))
     w = words.withColumn("cut", cut.cast("int")).withColumn("sentence", F.sum("cut").over(order.rowsBetween(W.unboundedPreceding, 0)))
-    whole = w.groupBy("media", "sentence").agg(
-        F.min("ord").alias("first_ord"), F.max("ord").alias("last_ord"), F.min("start_ms").alias("start_ms"), F.max("end_ms").alias("end_ms"),
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ord", "word"))), lambda x: x["word"]), " ").alias("text"),
-    )
-    time = w.where("speaker IS NOT NULL").groupBy("media", "sentence", "speaker").agg(F.sum(F.col("end_ms") - F.col("start_ms")).alias("t"), F.min("ord").alias("o"))
-    most = time.groupBy("media", "sentence").agg(F.min(F.struct((-F.col("t")).alias("t"), "o", "speaker"))["speaker"].alias("speaker"))
-    speaker = F.col("speaker") if default is None else F.coalesce("speaker", F.lit(default))
-    return whole.join(most, ["media", "sentence"], "left").select("media", "sentence", "first_ord", "last_ord", "start_ms", "end_ms", speaker.alias("speaker"), "text")
+    # grouped where the window has put them: the words of a sentence, then its time by speaker, without another shuffle
+    rows = F.array_sort(F.collect_list(F.struct("ord", "word", "speaker", (F.col("end_ms") - F.col("start_ms")).alias("t"))))
+    g = w.groupBy("media", "sentence").agg(F.min("ord").alias("first_ord"), F.max("ord").alias("last_ord"), F.min("start_ms").alias("start_ms"), F.max("end_ms").alias("end_ms"), rows.alias("_w"))
+    own = lambda s: F.filter("_w", lambda x: x["speaker"] == s)
+    time = lambda s: F.aggregate(own(s), F.lit(0).cast("long"), lambda a, x: a + x["t"])
+    names = F.array_distinct(F.filter(F.transform("_w", lambda x: x["speaker"]), lambda s: s.isNotNull()))
+    most = F.array_min(F.transform(names, lambda s: F.struct((-time(s)).alias("t"), F.get(own(s), F.lit(0))["ord"].alias("o"), s.alias("speaker"))))["speaker"]
+    speaker = most if default is None else F.coalesce(most, F.lit(default))
+    return g.select("media", "sentence", "first_ord", "last_ord", "start_ms", "end_ms", speaker.alias("speaker"), F.array_join(F.transform("_w", lambda x: x["word"]), " ").alias("text"))
 
 
 def merge_short(items: DataFrame, *, target_ms: int = 12_000, pause_ms: int = 1000) -> DataFrame:

@@ -24,11 +24,16 @@ def epoch_ms(df: DataFrame, name: str) -> Column:
 
 
 def word_stream(texts: DataFrame) -> DataFrame:
-    """(media, turn, speaker, text) to words (media, ord, speaker, word, start_ms, end_ms)."""
-    w = texts.select("media", "turn", "speaker", F.posexplode(F.split("text", r"\s+")).alias("p", "word")).where("word <> ''")
-    by_turn, in_order = W.partitionBy("media", "turn"), W.partitionBy("media").orderBy("turn", "p")
+    """(media, turn, speaker, text), one row a turn, to words (media, ord, speaker, word, start_ms, end_ms).
+
+    The last place of a turn is known before its words are dealt, so the words are shuffled once, by item.
+    """
+    t = texts.select("media", "turn", "speaker", F.split("text", r"\s+").alias("pieces"))
+    t = t.withColumn("last", F.array_max(F.transform("pieces", lambda x, i: F.when(x != "", i))))  # below the explode: once a turn
+    w = t.select("media", "turn", "speaker", "last", F.posexplode("pieces").alias("p", "word")).where("word <> ''")
+    in_order = W.partitionBy("media").orderBy("turn", "p")
     length = F.length("word").cast("long") * LETTER
-    pause = F.when(ends_sentence("word"), AFTER_SENTENCE).otherwise(0) + F.when(F.col("p") == F.max("p").over(by_turn), AFTER_TURN).otherwise(0) + F.when(F.col("p") % 17 == 0, AFTER_17TH).otherwise(0)
+    pause = F.when(ends_sentence("word"), AFTER_SENTENCE).otherwise(0) + F.when(F.col("p") == F.col("last"), AFTER_TURN).otherwise(0) + F.when(F.col("p") % 17 == 0, AFTER_17TH).otherwise(0)
     w = w.withColumn("length", length).withColumn("step", length + pause)
     w = w.withColumn("start_ms", F.sum("step").over(in_order.rowsBetween(W.unboundedPreceding, 0)) - F.col("step"))
     return w.select("media", (F.row_number().over(in_order) - 1).cast("long").alias("ord"), "speaker", "word", "start_ms", (F.col("start_ms") + F.col("length")).alias("end_ms"))
