@@ -86,11 +86,11 @@ def drop_held() -> None:
     _held.clear()
 
 
-def bounded_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Arrow batches of at most ``rows`` rows, where the session has Spark's default of 10,000 long texts."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if spark.conf.get(key) == "10000":
-        spark.conf.set(key, str(rows))
+def bounded_batches(spark: SparkSession, rows: int = 1000, size: str = "16m") -> None:
+    """Arrow batches of at most ``rows`` rows and about ``size``, where the session has Spark's defaults for them."""
+    for key, default, own in (("spark.sql.execution.arrow.maxRecordsPerBatch", "10000", str(rows)), ("spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", size)):
+        if spark.conf.get(key) == default:
+            spark.conf.set(key, own)
 
 
 ARROW = {

@@ -292,6 +292,8 @@ def ngram_jaccard_join(
     if near is None:
         near = nodes.select("node", F.col("node").alias("root")).where("false")
     wanted = nodes.join(near, "node").select("node", "root", "copies", "n", F.col("first_id").alias("doc_id"))
+    # a block has a bounded number of shingles and, where texts are short, of nodes
+    wanted = wanted.withColumn("n", F.greatest("n", F.lit(block_shingles // block_members).cast("long")))
     wanted = _dealt(wanted, "root", "n", block_shingles).drop("n")
 
     def regram(doc_id, text, **kept):
