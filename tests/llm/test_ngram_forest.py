@@ -73,7 +73,8 @@ def test_recall_against_all_pairs(spark, seed):
     rows = []
     for i in range(60):
         t = [r.choice(WORDS) for _ in range(r.randint(30, 300))]
-        rows += [(len(rows), " ".join(changed(r, t, r.choice([0, 0.005, 0.01, 0.02, 0.03])))) for _ in range(8)]
+        for _ in range(8):
+            rows.append((len(rows), " ".join(changed(r, t, r.choice([0, 0.005, 0.01, 0.02, 0.03])))))
     sets = []
     for _, t in rows:
         w = t.split()

@@ -249,3 +249,26 @@ def op4_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = resolve_media(interleaved_sequences(docs.select("doc_id", page.alias("html")), id_col="doc_id"), media)
     part = found.select(F.col("id").alias("doc_id"), F.explode("parts").alias("p")).where("p.kind = 'media'")
     return part.select("doc_id", F.regexp_extract("p.caption", r"^\d+", 0).cast("long").alias("n_bytes"), "p.media.*")
+
+
+CHARTS = 97
+
+
+def pages_interleaved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages as sequences, each with a figure set in after its heading whose payload another table holds by digest.
+
+    Per page: its parts, the figure's position, caption and payload size, and a digest of the texts in order.
+    """
+    payload = lambda k: F.sha2(F.concat(F.lit("chart "), k.cast("string")).cast("binary"), 256)
+    k = F.pmod(F.col("page_id"), F.lit(CHARTS))
+    figure = F.concat(F.lit('</h1><figure><img alt="chart" src="digest:'), payload(k), F.lit('"><figcaption>Chart <b>'), k.cast("string"), F.lit("</b> of the page</figcaption></figure>"))
+    at = F.instr("html", "</h1>")
+    pages = table(spark, sf_dir, "pages").select("page_id", F.when(at > 0, F.concat(F.substring("html", F.lit(1), at - 1), figure, F.substring("html", at + 5, F.length("html")))).otherwise(F.col("html")).alias("html"))
+    media = spark.range(CHARTS).select(payload(F.col("id")).alias("digest"), (F.col("id") * 100).alias("size"))
+    found = resolve_media(interleaved_sequences(pages), media)
+    chart = F.get(F.filter("parts", lambda p: p["kind"] == "media"), F.lit(0))
+    texts = F.transform(F.filter("parts", lambda p: p["kind"] == "text"), lambda p: p["text"])
+    return found.select(
+        F.col("id").alias("page_id"), F.size("parts").cast("long").alias("n_parts"), F.size(texts).cast("long").alias("n_texts"), chart["position"].alias("position"), chart["caption"].alias("caption"), chart["media"]["size"].alias("size"),
+        F.sha2(F.array_join(texts, "\n").cast("binary"), 256).alias("texts_sha256"),
+    )
