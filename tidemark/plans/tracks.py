@@ -150,8 +150,8 @@ def nearest_pause(spark, sf):
     return voices.nearest_pause(turns, turns.select("media", (F.floor(F.col("start_ms") / 1_200_000) * 1_200_000).alias("t")).distinct())
 
 
-@query(f"""WITH {FRAMES_SQL}, w AS (SELECT track, frame_no * 250 AS s, frame_no * 250 + 1500 AS e, (level - 15) / 30.0 AS score FROM frames WHERE frame_no % 2 = 0),
-m AS (SELECT f.track, f.frame_no, f.level > 5 AS voiced, coalesce(avg(w.score), 1.0) AS score FROM frames f LEFT JOIN w ON w.track = f.track AND w.s < f.frame_no * 250 + 250 AND f.frame_no * 250 < w.e AND f.frame_no < 2000 WHERE f.frame_no < 2000 GROUP BY f.track, f.frame_no, f.level),
+@query(f"""WITH {FRAMES_SQL}, w AS (SELECT track, unnest(range(frame_no, frame_no + 6)) AS frame_no, (level - 15) / 30.0 AS score FROM frames WHERE frame_no % 2 = 0),
+m AS (SELECT f.track, f.frame_no, f.level > 5 AS voiced, coalesce(avg(w.score), 1.0) AS score FROM frames f LEFT JOIN w ON w.track = f.track AND w.frame_no = f.frame_no GROUP BY f.track, f.frame_no, f.level),
 a0 AS (SELECT *, voiced AND score < -0.05 AS f FROM m),
 a1 AS (SELECT * EXCLUDE f, f OR ((coalesce(lag(f) OVER o, FALSE) OR coalesce(lead(f) OVER o, FALSE)) AND voiced AND score < 0.15) AS f FROM a0 WINDOW o AS (PARTITION BY track ORDER BY frame_no)),
 a2 AS (SELECT * EXCLUDE f, f OR ((coalesce(lag(f) OVER o, FALSE) OR coalesce(lead(f) OVER o, FALSE)) AND voiced AND score < 0.15) AS f FROM a1 WINDOW o AS (PARTITION BY track ORDER BY frame_no)),
@@ -201,7 +201,7 @@ def neighbour_words(spark, sf):
     return w.select("media", "ord", F.size("words").cast("long").alias("n"), F.array_join("words", " ").alias("words"))
 
 
-@query(f"""WITH {FRAMES_SQL}, t AS (SELECT track, frame_no AS ord, frame_no * 700 AS s, frame_no * 700 + 100 + frame_no % 9 * 300 AS e FROM frames WHERE frame_no < 3000),
+@query(f"""WITH {FRAMES_SQL}, t AS (SELECT track, frame_no AS ord, frame_no * 700 AS s, frame_no * 700 + 100 + frame_no % 9 * 300 AS e FROM frames),
 x AS (SELECT track, ord, unnest(range(s // 250, greatest(e // 250 - 1, s // 250) + 1)) AS frame_no FROM t)
 SELECT track, ord, round(avg(level), 6) AS rms FROM x JOIN frames USING (track, frame_no) GROUP BY track, ord""")
 def span_rms(spark, sf):
