@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -16,9 +18,13 @@ def ends_sentence(word: Column | str) -> Column:
     return F.right(F.trim(col(word)), F.lit(1)).isin(*SENTENCE_END)
 
 
-def norm_text(text: Column | str) -> Column:
-    """Without stress marks and anything that is no letter, digit or underscore; lower case, yo as ye."""
-    bare = F.lower(F.translate(col(text), "+ёЁ", "\0еЕ"))
+def norm_text(text: Column | str, respell: Callable[[Column], Column] | None = None) -> Column:
+    """Without stress marks and anything that is no letter, digit or underscore; lower case, yo as ye.
+
+    ``respell`` goes first, where a dictionary spells names as they are sung: both sides of a comparison take it.
+    """
+    said = col(text) if respell is None else respell(F.coalesce(col(text), F.lit("")))
+    bare = F.lower(F.translate(said, "+ёЁ", "\0еЕ"))
     return F.regexp_replace(bare, r"[^\p{L}\p{N}_]+", "")
 
 

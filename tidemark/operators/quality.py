@@ -67,6 +67,12 @@ def runon_findings(segments: DataFrame, cuts: DataFrame, *, share: float = 0.05)
     return n.where(F.col("k") > share * F.col("n")).select(F.lit("segments").alias("stage"), F.lit("fail").alias("severity"), F.col("media").alias("seg_id"), F.concat(F.col("k").cast("string"), F.lit(" run-on of "), F.col("n").cast("string")).alias("msg"))
 
 
+def cut_findings(segments: DataFrame) -> DataFrame:
+    """One warning for each media item with segments (media, ord, cut) that were cut in mid-sentence."""
+    n = segments.where(F.coalesce("cut", F.lit(False))).groupBy("media").agg(F.count("*").alias("k"))
+    return n.select(F.lit("segments").alias("stage"), F.lit("warn").alias("severity"), F.col("media").alias("seg_id"), F.concat(F.col("k").cast("string"), F.lit(" cut in mid-sentence")).alias("msg"))
+
+
 def echo_words(words: DataFrame, *, near_ms: int = 600, ratio: float = 0.9) -> DataFrame:
     """Words that another speaker says too within ``near_ms``, and louder: (media, ord). Needs key and level."""
     bucket = F.floor(F.col("start_ms") / near_ms)

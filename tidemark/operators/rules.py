@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -203,9 +205,10 @@ def _finding(df: DataFrame, stage: str, severity: Column | str, msg: Column) ->
     return df.select(F.lit(stage).alias("stage"), sev.alias("severity"), F.col("ord").alias("seg_id"), msg.alias("msg"))
 
 
-def accent_findings(segments: DataFrame, accents: DataFrame) -> DataFrame:
-    """Segments (ord, text) against accents (ord, marked): missing, stale, or long without any mark."""
-    m = segments.join(accents, "ord", "left").withColumn("plain", F.coalesce(norm_text("marked") == norm_text("text"), F.lit(False)))
+def accent_findings(segments: DataFrame, accents: DataFrame, *, respell: Callable[[Column], Column] | None = None) -> DataFrame:
+    """Segments (ord, text) against accents (ord, marked): missing, stale (with names respelt on both sides, where there is a
+    ``respell``), or long without any mark."""
+    m = segments.join(accents, "ord", "left").withColumn("plain", F.coalesce(norm_text("marked", respell) == norm_text("text", respell), F.lit(False)))
     missing, stale = m.where("marked IS NULL"), m.where("marked IS NOT NULL AND NOT plain")
     bare = m.where((F.length("text") > 12) & ~F.contains("marked", F.lit("+")))
     return _finding(missing, "accents", "fail", F.lit("missing")).unionByName(_finding(stale, "accents", "fail", F.lit("stale"))).unionByName(_finding(bare, "accents", "warn", F.lit("unmarked")))

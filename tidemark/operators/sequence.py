@@ -144,9 +144,16 @@ def runon_cuts(segments: DataFrame, *, gap_ms: int = 2500, bucket_ms: int = 60_0
 
 
 def unpunctuated_runs(words: DataFrame, *, gap_ms: int = 2500, min_ms: int = 18_000) -> DataFrame:
-    """Stretches longer than ``min_ms`` that end at a pause or at the end, not at a sentence's end."""
-    s = build_sentences(words, gap_ms=gap_ms)
-    return s.where(~ends_sentence("text") & (F.col("end_ms") - F.col("start_ms") > min_ms)).select("media", "first_ord", "last_ord", "start_ms", "end_ms")
+    """Stretches of a speaker's words longer than ``min_ms`` that a pause or the end closes, not a sentence's end.
+
+    (media, speaker, first_ord, last_ord, start_ms, end_ms); words without a speaker are taken as one speaker's.
+    """
+    order = W.partitionBy("media", "speaker").orderBy("ord")
+    ends = ends_sentence("word")
+    new = F.coalesce(F.lag(ends).over(order) | (F.col("start_ms") - F.lag("end_ms").over(order) > gap_ms), F.lit(False))
+    w = words.withColumn("new", new.cast("int")).withColumn("ends", ends).withColumn("run", F.sum("new").over(order.rowsBetween(W.unboundedPreceding, 0)))
+    g = w.groupBy("media", "speaker", "run").agg(F.min("ord").alias("first_ord"), F.max("ord").alias("last_ord"), F.min_by("start_ms", "ord").alias("start_ms"), F.max_by("end_ms", "ord").alias("end_ms"), F.max_by("ends", "ord").alias("ended"))
+    return g.where(~F.col("ended") & (F.col("end_ms") - F.col("start_ms") > min_ms)).drop("run", "ended")
 
 
 def transcript_turns(segments: DataFrame) -> DataFrame:
@@ -193,6 +200,15 @@ def concurrency_marks(segments: DataFrame, *, min_ms: int = 300) -> DataFrame:
     return ordered_fold(segments.select("media", "ord", "speaker", "start_ms", "end_ms"), ["media"], ["start_ms", "ord"], fold, "media long, ord long, under long")
 
 
+def overlay_geometry(segments: DataFrame, marks: DataFrame, *, pan: float = 0.35, gain_db: int = -2) -> DataFrame:
+    """(media, ord, overlap, pan, gain_db) of all segments from their ``concurrency_marks``: those that are laid over another go
+    to one side and lower, those under one to the other side, the rest stay in the middle."""
+    under = marks.select("media", F.col("under").alias("ord"), F.lit(True).alias("_under")).distinct()
+    s = segments.select("media", "ord").join(marks.select("media", "ord", F.lit(True).alias("overlap")), ["media", "ord"], "left").join(under, ["media", "ord"], "left")
+    side = F.when(F.col("overlap"), pan).when(F.col("_under"), -pan).otherwise(0.0)
+    return s.select("media", "ord", F.coalesce("overlap", F.lit(False)).alias("overlap"), side.alias("pan"), F.when(F.col("overlap"), gain_db).otherwise(0).alias("gain_db"))
+
+
 def first_poor(words: DataFrame, *, window: int = 80, least: int = 4, marks: str = r"[.,!?…]$") -> DataFrame:
     """First word of each item that ends a window of ``window`` words with fewer than ``least`` marks: (media, ord)."""
     order = W.partitionBy("media").orderBy("ord")

@@ -152,6 +152,11 @@ def runon_findings(spark, sf):
     return qa.runon_findings(s, s.where("ord % 9 = media % 9").select("media", "ord"))
 
 
+@query(f"WITH {SEGMENTS_SQL} SELECT 'segments' AS stage, 'warn' AS severity, media AS seg_id, count(*) || ' cut in mid-sentence' AS msg FROM segments WHERE ord % 23 = 3 GROUP BY media")
+def cut_findings(spark, sf):
+    return qa.cut_findings(conversation_segments(spark, sf).withColumn("cut", F.col("ord") % 23 == 3))
+
+
 @query("""WITH r AS (SELECT doc_id AS ord, CASE WHEN doc_id % 6 = 0 THEN ' ' ELSE text END AS text, (doc_id % 150) / 10.0::DOUBLE AS seconds, (doc_id % 8) / 10.0::DOUBLE AS head FROM documents)
 SELECT 'refs' AS stage, 'fail' AS severity, ord AS seg_id, 'no text' AS msg FROM r WHERE trim(coalesce(text, '')) = '' UNION ALL SELECT 'refs', 'fail', ord, 'too long' FROM r WHERE seconds > 11.6
 UNION ALL SELECT 'refs', 'warn', ord, 'short' FROM r WHERE seconds < 4 UNION ALL SELECT 'refs', 'warn', ord, 'silent head' FROM r WHERE head > 0.3""")
@@ -235,11 +240,19 @@ def stem_findings(spark, sf):
     return rules.stem_findings(spark.createDataFrame(list(NAME_STEMS.items()), "key string, value string")).select("key", "msg", "severity")
 
 
-@query(f"WITH {_lines_sql()}, a AS (SELECT doc_id, ru, {_names_sql('accented', True)} AS marked FROM l) SELECT doc_id FROM a WHERE regexp_replace(lower(translate(replace(ru, '+', ''), 'ёЁ', 'еЕ')), '[^\\p{{L}}\\p{{N}}_]+', '', 'g') <> regexp_replace(lower(translate(replace(marked, '+', ''), 'ёЁ', 'еЕ')), '[^\\p{{L}}\\p{{N}}_]+', '', 'g')")
-def respelt_ids(spark, sf):
-    """Lines whose marked form reads otherwise than the text, as the dictionary respells a name: those are not stale."""
-    marked = stress.name_stress(F.col("accented"), force=True)
-    return _lines(spark, sf).where(text.norm_text("ru") != text.norm_text(marked)).select("doc_id")
+_NORM_SQL = "regexp_replace(lower(translate(replace(%s, '+', ''), 'ёЁ', 'еЕ')), '[^\\p{L}\\p{N}_]+', '', 'g')"
+
+
+@query(f"""WITH {_lines_sql()}, a AS (SELECT doc_id AS ord, ru, CASE WHEN doc_id % 11 <> 3 THEN {_names_sql('accented', True)} || CASE WHEN doc_id % 6 = 1 THEN ' ещё' ELSE '' END END AS marked FROM l),
+n AS (SELECT ord, ru, marked, {_NORM_SQL % _names_sql('ru', True)} AS x, {_NORM_SQL % _names_sql("coalesce(marked, '')", True)} AS y FROM a)
+SELECT 'accents' AS stage, 'fail' AS severity, ord AS seg_id, 'missing' AS msg FROM n WHERE marked IS NULL UNION ALL SELECT 'accents', 'fail', ord, 'stale' FROM n WHERE marked IS NOT NULL AND x <> y
+UNION ALL SELECT 'accents', 'warn', ord, 'unmarked' FROM n WHERE length(ru) > 12 AND NOT contains(marked, '+')""")
+def respelt_accents(spark, sf):
+    """Names that the dictionary respells are not stale."""
+    forced = lambda c: stress.name_stress(c, force=True)
+    d = _lines(spark, sf).withColumnRenamed("doc_id", "ord")
+    marked = F.concat(forced(F.col("accented")), F.when(F.col("ord") % 6 == 1, " ещё").otherwise(""))
+    return rules.accent_findings(d.select("ord", F.col("ru").alias("text")), d.where("ord % 11 <> 3").select("ord", marked.alias("marked")), respell=forced)
 
 
 @query(f"""WITH RECURSIVE {SEGMENTS_SQL}, i AS (SELECT *, ord % 5 = 0 AS cut, row_number() OVER (PARTITION BY media ORDER BY ord) AS rn FROM segments),

@@ -156,7 +156,10 @@ def runon_cuts(spark, sf):
     return sq.runon_cuts(conversation_segments(spark, sf))
 
 
-@query(f"WITH {SEGMENTS_SQL} SELECT media, first_ord, last_ord, start_ms, end_ms FROM sentences WHERE right(text, 1) NOT IN ('.', '!', '?', '…') AND end_ms - start_ms > 6000")
+@query(f"""WITH {WORDS_SQL}, n AS (SELECT *, CASE WHEN coalesce(right(lag(word) OVER o, 1) IN ('.', '!', '?', '…') OR start_ms - lag(end_ms) OVER o > 2500, FALSE) THEN 1 ELSE 0 END AS new FROM words WINDOW o AS (PARTITION BY media, speaker ORDER BY ord)),
+r AS (SELECT *, sum(new) OVER (PARTITION BY media, speaker ORDER BY ord ROWS UNBOUNDED PRECEDING) AS run FROM n),
+g AS (SELECT media, speaker, min(ord) AS first_ord, max(ord) AS last_ord, arg_min(start_ms, ord) AS start_ms, arg_max(end_ms, ord) AS end_ms, right(arg_max(word, ord), 1) AS e FROM r GROUP BY media, speaker, run)
+SELECT media, speaker, first_ord, last_ord, start_ms, end_ms FROM g WHERE e NOT IN ('.', '!', '?', '…') AND end_ms - start_ms > 6000""")
 def unpunctuated_runs(spark, sf):
     return sq.unpunctuated_runs(conversation_words(spark, sf), min_ms=6000)
 
@@ -229,6 +232,13 @@ def concurrency_marks(spark, sf):
     return sq.concurrency_marks(event_turns(spark, sf))
 
 
+@query(SQL["concurrency_marks"].replace("SELECT media, ord, under FROM f WHERE under IS NOT NULL", """, k AS (SELECT media, ord, under FROM f WHERE under IS NOT NULL)
+SELECT t.media, t.ord, k.under IS NOT NULL AS overlap, CASE WHEN k.under IS NOT NULL THEN 0.35::DOUBLE WHEN (t.media, t.ord) IN (SELECT (media, under) FROM k) THEN (-0.35)::DOUBLE ELSE 0.0::DOUBLE END AS pan, CASE WHEN k.under IS NOT NULL THEN -2 ELSE 0 END AS gain_db FROM turns t LEFT JOIN k ON t.media = k.media AND t.ord = k.ord"""))
+def overlay_geometry(spark, sf):
+    turns = event_turns(spark, sf)
+    return sq.overlay_geometry(turns, sq.concurrency_marks(turns))
+
+
 @query(f"""WITH {DOC_WORDS_SQL}, w AS (SELECT *, min(start_ms) OVER (PARTITION BY media) AS f FROM words), x AS (SELECT *, CAST(floor((start_ms - f) / 300000) AS BIGINT) AS win FROM w),
 g AS (SELECT media, win, f, count(*) AS n, count(*) FILTER (right(word, 1) IN ('.', ',', '!', '?', '…')) AS marks, count(*) FILTER (end_ms - start_ms > 1200) AS drawn FROM x GROUP BY media, win, f HAVING count(*) >= 80),
 r AS (SELECT *, marks < 0.04 * n AS poor, n * 60000 > 110 * 300000 AS quick, drawn >= 1 AS long_, (marks * 2000 + n) // (n * 2) AS pm FROM g)
