@@ -21,14 +21,19 @@ def _recounted(docs: DataFrame) -> DataFrame:
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents scored under 0.5 stay; learnt from the labels that are not held out."""
+    """Documents scored under 0.5 stay; learnt from the labels that are not held out.
+
+    Null and empty texts stay, texts of any length are read whole, equal texts fare alike, and so do documents without labels;
+    an empty table stays empty. Without labels of both kinds all stay, or none where all labels say toxic.
+    """
     return drop_toxic(docs, table(spark, sf_dir, "labels").where(crc_mod("doc_id", 5) != 0))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each class of linked documents the one of the least id stays; rows without an id all stay.
 
-    Rows of the same id and text count as one.
+    Rows of the same id and text count as one. Null texts, and those without a word, are alike to nothing. Texts of any
+    length are compared whole.
     """
     classes = ngram_jaccard_join(docs)
     kept = classes.where("doc_id = class_id").select("doc_id").distinct()
@@ -38,17 +43,29 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Benchmark passages are cut out; documents that are mostly benchmark text go."""
+    """Benchmark passages are cut out; documents that are mostly benchmark text go.
+
+    Null and empty texts stay as they are, texts of any length are scanned whole, repeated rows fare alike; an empty
+    benchmark cuts nothing.
+    """
     return _recounted(remove_contamination(docs, table(spark, sf_dir, "benchmark")))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Spans of personal data are replaced by their kind."""
+    """Spans of personal data are replaced by their kind; all rows stay.
+
+    Null and empty texts stay as they are, texts of any length are read whole, repeated rows are redacted alike; of spans that
+    overlap the first to start gives its kind, of those the longest.
+    """
     return _recounted(redact(docs))
 
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The texts with their piece ids under seeded merge dropout."""
+    """The texts with their piece ids under seeded merge dropout; all rows stay.
+
+    Null and empty texts have no ids, texts of any length are encoded whole, equal texts alike; of candidates of equal rank
+    the leftmost comes first.
+    """
     return encode_pieces(docs)
 
 
