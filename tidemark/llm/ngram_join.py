@@ -101,8 +101,9 @@ class Forest:
 def _dealt(members: DataFrame, key: str, weight: str, block: int) -> DataFrame:
     """Members (key, node, ...) of keys that have several, with the number of blocks of their key and their own block.
 
-    A block has about ``block`` weight. A key's weight comes from a partial aggregate, so a hot key is cut
-    before its rows meet.
+    A block has about ``block`` weight. A key's weight comes from a partial aggregate, so a hot key is cut before its rows
+    meet; the join that tells each row its key's number of blocks has one row a key on the other side, so that adaptive
+    execution splits a hot one.
     """
     sizes = members.groupBy(key).agg(F.sum(weight).alias("w"), F.count("*").alias("c")).where("c > 1")
     parts = sizes.select(key, F.ceil(F.col("w") / block).cast("int").alias("parts"))

@@ -425,8 +425,9 @@ def encode_pieces(docs: DataFrame, *, text_col: str = "text", ids_col: str = "pi
     """All columns of ``docs`` and the array of piece ids of the whole text under the seed.
 
     Null and empty texts have an empty array (a null text decodes to the empty one). A column that is already
-    called ``ids_col`` is replaced. Rows pass one by one, whatever their ids; ``dropout=0`` is the plain
-    segmentation of the model.
+    called ``ids_col`` is replaced. Rows pass one by one, whatever their ids, and repeated ones are encoded alike; texts of any
+    length are encoded whole, of candidates of equal rank the leftmost comes first; an empty table gives an empty
+    result. ``dropout=0`` is the plain segmentation of the model, ``dropout=1`` skips every merge.
     """
     bounded_batches(docs.sparkSession)
     path = tokenizer_path(model)
