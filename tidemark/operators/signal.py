@@ -39,21 +39,28 @@ def bleed_filter(frames: DataFrame, *, floor: float = 15, share: float = 0.12) -
     return frames.join(cut, "track").where("level >= cut").drop("cut")
 
 
+def _moment(frames: DataFrame) -> list[str]:
+    return ["media", "frame_no"] if "media" in frames.columns else ["frame_no"]
+
+
 def pair_coefficients(frames: DataFrame, solo: DataFrame, *, least_level: float = 20, least_samples: int = 8) -> DataFrame:
     """How loud track i is while only track j sounds: (i, j, coefficient), the median ratio of levels.
 
-    ``solo`` are the (track, frame_no) in which a track sounds alone. Null with fewer than ``least_samples``.
+    ``solo`` are the (track, frame_no) in which a track sounds alone. Null with fewer than ``least_samples``. Tracks meet
+    where they are of one recording, if the frames have a column ``media``.
     """
-    j = frames.join(solo, ["track", "frame_no"]).where(F.col("level") > least_level).select(F.col("track").alias("j"), "frame_no", F.col("level").alias("lj"))
-    i = frames.select(F.col("track").alias("i"), "frame_no", F.col("level").alias("li"))
-    g = i.join(j, "frame_no").where("i <> j").groupBy("i", "j").agg(F.count("*").alias("n"), F.median(F.col("li") / F.col("lj")).alias("m"))
+    at = _moment(frames)
+    j = frames.join(solo, ["track", "frame_no"]).where(F.col("level") > least_level).select(F.col("track").alias("j"), *at, F.col("level").alias("lj"))
+    i = frames.select(F.col("track").alias("i"), *at, F.col("level").alias("li"))
+    g = i.join(j, at).where("i <> j").groupBy("i", "j").agg(F.count("*").alias("n"), F.median(F.col("li") / F.col("lj")).alias("m"))
     return g.select("i", "j", F.when(F.col("n") >= least_samples, F.col("m")).alias("coefficient"))
 
 
 def expected_bleed(frames: DataFrame, coefficients: DataFrame, *, audible: float = 20) -> DataFrame:
     """(track, frame_no, expected): the most that another track can leak; null where an audible one is uncalibrated."""
-    other = frames.select(F.col("track").alias("j"), "frame_no", F.col("level").alias("lj"))
-    met = frames.select(F.col("track").alias("i"), "frame_no").join(other, "frame_no").where("i <> j").join(coefficients, ["i", "j"], "left")
+    at = _moment(frames)
+    other = frames.select(F.col("track").alias("j"), *at, F.col("level").alias("lj"))
+    met = frames.select(F.col("track").alias("i"), *at).join(other, at).where("i <> j").join(coefficients, ["i", "j"], "left")
     g = met.groupBy(F.col("i").alias("track"), "frame_no").agg(F.max(F.col("coefficient") * F.col("lj")).alias("e"), F.bool_or((F.col("lj") > audible) & F.col("coefficient").isNull()).alias("unknown"))
     return g.select("track", "frame_no", F.when(~F.col("unknown"), F.col("e")).alias("expected"))
 

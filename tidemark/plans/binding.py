@@ -12,6 +12,10 @@ from ..functions.text import ends_sentence
 LETTER, AFTER_SENTENCE, AFTER_TURN, AFTER_17TH = 80, 300, 1500, 2600
 
 
+#: Orders of one recording.
+RECORDING = 16_384
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -56,10 +60,12 @@ def event_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def line_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Frames (track, frame_no, level): quarter seconds of four tracks, the level in thousandths of full scale."""
-    rows = table(spark, sf_dir, "lineitem").select((F.col("l_suppkey") % 4).cast("long").alias("track"), "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", F.greatest(F.col("l_quantity") - 20, F.lit(0)).cast("long").alias("level"))
+    """Frames (media, track, frame_no, level): quarter seconds of recordings of four tracks each, the level in thousandths of
+    full scale. A recording holds so many orders, so there are the more recordings the larger the table is."""
+    media = F.floor(F.col("l_orderkey") / RECORDING).cast("long")
+    rows = table(spark, sf_dir, "lineitem").select(media.alias("media"), (media * 4 + F.col("l_suppkey") % 4).cast("long").alias("track"), "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", F.greatest(F.col("l_quantity") - 20, F.lit(0)).cast("long").alias("level"))
     order = W.partitionBy("track").orderBy("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "level")
-    return rows.select("track", (F.row_number().over(order) - 1).cast("long").alias("frame_no"), "level")
+    return rows.select("media", "track", (F.row_number().over(order) - 1).cast("long").alias("frame_no"), "level")
 
 
 def _words_sql(source: str) -> str:
@@ -77,6 +83,6 @@ TURNS_SQL = """
 turns AS (
   SELECT CAST((epoch_us(ts) // 1000) // 86400000 AS BIGINT) AS media, event_id AS ord, CAST(user_id % 4 AS BIGINT) AS speaker, CAST((epoch_us(ts) // 1000) % 86400000 AS BIGINT) AS start_ms,
     CAST((epoch_us(ts) // 1000) % 86400000 + CAST(floor(value * 1000) AS BIGINT) AS BIGINT) AS end_ms FROM events WHERE ts IS NOT NULL AND value IS NOT NULL AND user_id IS NOT NULL)"""
-FRAMES_SQL = """
-frames AS (SELECT CAST(l_suppkey % 4 AS BIGINT) AS track, CAST(row_number() OVER (PARTITION BY l_suppkey % 4 ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, greatest(l_quantity - 20, 0)) - 1 AS BIGINT) AS frame_no,
+FRAMES_SQL = f"""
+frames AS (SELECT CAST(l_orderkey // {RECORDING} AS BIGINT) AS media, CAST(l_orderkey // {RECORDING} * 4 + l_suppkey % 4 AS BIGINT) AS track, CAST(row_number() OVER (PARTITION BY l_orderkey // {RECORDING}, l_suppkey % 4 ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, greatest(l_quantity - 20, 0)) - 1 AS BIGINT) AS frame_no,
   CAST(greatest(l_quantity - 20, 0) AS BIGINT) AS level FROM lineitem)"""

@@ -46,14 +46,14 @@ def bleed_filter(spark, sf):
 
 
 def _solo(frames: DataFrame) -> DataFrame:
-    """Frames of a track in which every other track is under 10."""
-    by = frames.groupBy("frame_no").agg(F.count_if(F.col("level") >= 10).alias("n"))
-    return frames.where("level >= 10").join(by.where("n = 1").select("frame_no"), "frame_no", "left_semi").select("track", "frame_no")
+    """Frames of a track in which every other track of the recording is under 10."""
+    by = frames.groupBy("media", "frame_no").agg(F.count_if(F.col("level") >= 10).alias("n"))
+    return frames.where("level >= 10").join(by.where("n = 1").select("media", "frame_no"), ["media", "frame_no"], "left_semi").select("track", "frame_no")
 
 
-_PAIRS_SQL = f"""{FRAMES_SQL}, n AS (SELECT frame_no FROM frames GROUP BY frame_no HAVING count(*) FILTER (level >= 10) = 1),
-j AS (SELECT track AS j, frame_no, level AS lj FROM frames JOIN n USING (frame_no) WHERE level > 20),
-pairs AS (SELECT i.track AS i, j.j, CASE WHEN count(*) >= 8 THEN round(median(i.level / j.lj), 9) END AS coefficient FROM frames i JOIN j USING (frame_no) WHERE i.track <> j.j GROUP BY i.track, j.j)"""
+_PAIRS_SQL = f"""{FRAMES_SQL}, n AS (SELECT media, frame_no FROM frames GROUP BY media, frame_no HAVING count(*) FILTER (level >= 10) = 1),
+j AS (SELECT track AS j, media, frame_no, level AS lj FROM frames JOIN n USING (media, frame_no) WHERE level > 20),
+pairs AS (SELECT i.track AS i, j.j, CASE WHEN count(*) >= 8 THEN round(median(i.level / j.lj), 9) END AS coefficient FROM frames i JOIN j USING (media, frame_no) WHERE i.track <> j.j GROUP BY i.track, j.j)"""
 
 
 @query(f"WITH {_PAIRS_SQL} SELECT * FROM pairs")
@@ -63,7 +63,7 @@ def bleed_calibration(spark, sf):
 
 
 @query(f"""WITH {_PAIRS_SQL}, m AS (SELECT a.track, a.frame_no, max(coefficient * b.level) AS e, bool_or(b.level > 20 AND coefficient IS NULL) AS unknown
-  FROM frames a JOIN frames b ON a.frame_no = b.frame_no AND a.track <> b.track LEFT JOIN pairs ON pairs.i = a.track AND pairs.j = b.track GROUP BY a.track, a.frame_no)
+  FROM frames a JOIN frames b ON a.media = b.media AND a.frame_no = b.frame_no AND a.track <> b.track LEFT JOIN pairs ON pairs.i = a.track AND pairs.j = b.track GROUP BY a.track, a.frame_no)
 SELECT track, frame_no, CASE WHEN NOT unknown THEN round(e, 6) END AS expected FROM m""")
 def bleed_expected(spark, sf):
     frames = line_frames(spark, sf)
