@@ -70,3 +70,17 @@ def test_optional_modules_alone_may_be_missing(monkeypatch, tmp_path):
     with pytest.raises(ModuleNotFoundError):
         entry.optional("broken_part")
     sys.modules.pop("broken_part", None)
+
+
+def test_command_line(spark, tmp_path, capsys):
+    import pytest
+
+    from tidemark import __main__ as cli
+
+    assert cli.main(["list"]) == 0 and "merge_short" in capsys.readouterr().out
+    assert cli.main(["run", "speaker_counts", "--input", "/root/testdata/sf0.001/", "--output", f"{tmp_path}/o"]) == 0
+    assert spark.read.parquet(f"{tmp_path}/o").count() > 0
+    for wrong in (["run", "speaker_counts", "--input"], ["run", "no_such", "--input", "x"], []):
+        with pytest.raises(SystemExit) as e:
+            cli.main(wrong)
+        assert e.value.code == 2

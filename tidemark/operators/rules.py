@@ -52,6 +52,27 @@ def foreign_bucket(share: Column, *, mostly: float = 0.5, partly: float = 0.2) -
     return F.when(share > mostly, "mostly").when(share > partly, "partly")
 
 
+def sung_text(segments: DataFrame, accents: DataFrame) -> DataFrame:
+    """Segments (ord, text) with ``sung``: the marked text where there is one (ord, marked), else the text as it is."""
+    return segments.join(accents.select("ord", "marked"), "ord", "left").withColumn("sung", F.coalesce("marked", "text")).drop("marked")
+
+
+def decided(segments: DataFrame, decisions: DataFrame) -> DataFrame:
+    """Segments (ord, text) with the translation that was decided on for their very words (text, translation), else null.
+
+    Words are compared without punctuation and case; of several decisions on the same words the first by text counts.
+    """
+    key = lambda c: F.trim(F.regexp_replace(F.lower(c), r"[^\p{L}\p{N}]+", " "))
+    known = decisions.groupBy(key(F.col("text")).alias("_key")).agg(F.min_by("translation", "text").alias("translation"))
+    return segments.withColumn("_key", key(F.col("text"))).join(known, "_key", "left").drop("_key")
+
+
+def missing_voices(segments: DataFrame, references: DataFrame) -> DataFrame:
+    """(speaker) who speak but have no reference (speaker): nothing can be synthesised for them."""
+    said = segments.where("speaker IS NOT NULL").select("speaker").distinct()
+    return said.join(references.select("speaker"), "speaker", "left_anti")
+
+
 def extents(rows: DataFrame, *, by: str = "media") -> DataFrame:
     """(by, first_ms, last_ms, n) of intervals."""
     return rows.groupBy(by).agg(F.min("start_ms").alias("first_ms"), F.max("end_ms").alias("last_ms"), F.count("*").alias("n"))

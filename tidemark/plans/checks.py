@@ -191,6 +191,25 @@ def translation_findings(spark, sf):
     return rules.translation_findings(b.where("ord % 10 <> 3"), b)
 
 
+@query("SELECT doc_id AS ord, CASE WHEN doc_id % 3 = 1 THEN replace(text, 'a', '+a') ELSE text END AS sung FROM documents")
+def sung_text(spark, sf):
+    d = table(spark, sf, "documents").select(F.col("doc_id").alias("ord"), "text")
+    return rules.sung_text(d, d.where("ord % 3 = 1").select("ord", F.replace("text", F.lit("a"), F.lit("+a")).alias("marked"))).select("ord", "sung")
+
+
+@query(f"""WITH {_HEARD_SQL}, d AS (SELECT trim(regexp_replace(lower(t), '[^\p{{L}}\p{{N}}]+', ' ', 'g')) AS k, arg_min(v, t) AS v FROM (VALUES ('MM hmm', 'ага'), ('mm, hmm!', 'угу'), ('Well the laser', 'ну, лазер'), ('Yes', 'да')) AS x(t, v) GROUP BY k)
+SELECT doc_id AS ord, v AS translation FROM h LEFT JOIN d ON trim(regexp_replace(lower(heard), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')) = d.k""")
+def decided_lines(spark, sf):
+    decisions = spark.createDataFrame([("MM hmm", "ага"), ("mm, hmm!", "угу"), ("Well the laser", "ну, лазер"), ("Yes", "да")], "text string, translation string")
+    return rules.decided(_heard(spark, sf).select(F.col("doc_id").alias("ord"), F.col("heard").alias("text")), decisions).select("ord", "translation")
+
+
+@query("SELECT DISTINCT role AS speaker FROM conversations WHERE role IS NOT NULL AND role <> 'user'")
+def missing_voices(spark, sf):
+    s = table(spark, sf, "conversations").select(F.col("role").alias("speaker"))
+    return rules.missing_voices(s, s.where("speaker = 'user'").distinct())
+
+
 @query("SELECT doc_id FROM documents WHERE doc_id % 5 = 0 AND doc_id % 3 <> 0")
 def unknown_ids(spark, sf):
     d = table(spark, sf, "documents").select("doc_id")
