@@ -197,7 +197,7 @@ def sung_text(spark, sf):
     return rules.sung_text(d, d.where("ord % 3 = 1").select("ord", F.replace("text", F.lit("a"), F.lit("+a")).alias("marked"))).select("ord", "sung")
 
 
-@query(f"""WITH {_HEARD_SQL}, d AS (SELECT trim(regexp_replace(lower(t), '[^\p{{L}}\p{{N}}]+', ' ', 'g')) AS k, arg_min(v, t) AS v FROM (VALUES ('MM hmm', 'ага'), ('mm, hmm!', 'угу'), ('Well the laser', 'ну, лазер'), ('Yes', 'да')) AS x(t, v) GROUP BY k)
+@query(f"""WITH {_HEARD_SQL}, d AS (SELECT trim(regexp_replace(lower(t), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')) AS k, arg_min(v, t) AS v FROM (VALUES ('MM hmm', 'ага'), ('mm, hmm!', 'угу'), ('Well the laser', 'ну, лазер'), ('Yes', 'да')) AS x(t, v) GROUP BY k)
 SELECT doc_id AS ord, v AS translation FROM h LEFT JOIN d ON trim(regexp_replace(lower(heard), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')) = d.k""")
 def decided_lines(spark, sf):
     decisions = spark.createDataFrame([("MM hmm", "ага"), ("mm, hmm!", "угу"), ("Well the laser", "ну, лазер"), ("Yes", "да")], "text string, translation string")
