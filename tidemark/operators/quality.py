@@ -27,11 +27,11 @@ def accept(findings: DataFrame, accepted: DataFrame) -> DataFrame:
     """Findings with the failures that an acceptance (ord, stage, contains) covers lowered to warnings; unused ones warn.
 
     A failure takes the first acceptance in order of its stage whose text it holds; warnings take none. ``accepted`` is a
-    list kept by hand, which goes along with every row as one array; each row is judged by itself, so repeated
+    list kept by hand, a scalar subquery of one array; each row is judged by itself, so repeated
     findings are lowered alike.
     """
-    listed = accepted.agg(F.array_sort(F.collect_list(F.struct("ord", "stage", "contains"))).alias("_accepted"))  # one row
-    rows = findings.crossJoin(F.broadcast(listed))
+    listed = accepted.agg(F.array_sort(F.collect_list(F.struct("ord", "stage", "contains"))).alias("_accepted"))
+    rows = findings.withColumn("_accepted", listed.scalar())
     fits = F.filter("_accepted", lambda a: (a["stage"] == F.col("stage")) & F.contains(F.col("msg"), a["contains"]))
     rows = rows.withColumn("_used", F.when((F.col("severity") == "fail") & (F.size(fits) > 0), F.get(fits, F.lit(0))["ord"]))
     lowered = rows.select("stage", F.when(F.col("_used").isNotNull(), "warn").otherwise(F.col("severity")).alias("severity"), "seg_id", "msg")

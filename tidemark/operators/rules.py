@@ -240,7 +240,7 @@ def clip_findings(rows: DataFrame, *, most_missing: float = 0.1, before_synthesi
     absent = F.coalesce("bytes", F.lit(0)) < 1024
     total = rows.agg(F.avg(absent.cast("double")).alias("_share"))
     few = (F.col("_share") <= most_missing) | F.lit(before_synthesis)
-    m = rows.crossJoin(total)  # one row
+    m = rows.withColumn("_share", total.scalar())
     gone = _finding(m.where(absent), "clips", F.when(few, "warn").otherwise("fail"), F.lit("missing"))
     return gone.unionByName(_finding(rows.where(~absent & ~F.col("entry").eqNullSafe(F.col("wanted"))), "clips", "fail", F.lit("stale")))
 

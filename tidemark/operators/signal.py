@@ -134,9 +134,9 @@ def voice_margin(vectors: DataFrame, *, label: str = "label", vector: str = "emb
     c = c.withColumn("_slice", F.pmod(F.xxhash64(label), F.lit(slices)))
     out = vectors.withColumns({"_own": F.lit(None).cast("double"), "_other": F.lit(None).cast("double")})
     for k in range(slices):
-        part = c.where(F.col("_slice") == k).agg(F.collect_list(F.struct(F.col(label).alias("label"), "centroid")).alias("_all"))  # one row
+        part = c.where(F.col("_slice") == k).agg(F.collect_list(F.struct(F.col(label).alias("label"), "centroid")).alias("_all"))
         sims = lambda own: F.array_max(F.transform(F.filter("_all", lambda x: (x["label"] == F.col(label)) == F.lit(own)), lambda x: cosine(F.col(vector), x["centroid"])))
-        met = out.crossJoin(F.broadcast(part))
+        met = out.withColumn("_all", part.scalar())
         out = met.withColumns({"_own": F.coalesce("_own", sims(True)), "_other": F.greatest("_other", sims(False))}).drop("_all")
     return out.withColumn("margin", F.col("_own") - F.col("_other")).drop("_own", "_other", vector)
 
