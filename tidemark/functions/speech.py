@@ -9,6 +9,8 @@ from difflib import SequenceMatcher
 import pandas as pd
 from pyspark.sql import functions as F
 
+from .text import HUNDREDS, SCALES, TENS, UNITS
+
 _END = re.compile(r"(?<=[.!?…;]) +")
 _TOKEN = re.compile(r"[а-яa-z]+|\d+")
 
@@ -23,13 +25,6 @@ def vectorised(fn: Callable, returns: str):
     return run
 
 
-# Russian cardinal words.
-UNITS = "ноль один два три четыре пять шесть семь восемь девять десять одиннадцать двенадцать тринадцать четырнадцать пятнадцать шестнадцать семнадцать восемнадцать девятнадцать".split()
-TENS = "двадцать тридцать сорок пятьдесят шестьдесят семьдесят восемьдесят девяносто".split()
-HUNDREDS = "сто двести триста четыреста пятьсот шестьсот семьсот восемьсот девятьсот".split()
-SCALES = [("тысяча", "тысячи", "тысяч"), ("миллион", "миллиона", "миллионов"), ("миллиард", "миллиарда", "миллиардов")]
-
-
 def number_words(n: int) -> list[str]:
     """Words of 0 <= n < 10^12; a lone thousand drops its "one"."""
     if n < 20:

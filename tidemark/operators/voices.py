@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 from .sequence import ordered_fold
 
 # Tokens that recognisers write for sounds.
-SOUNDS = "mm mmm hmm hm mhm mmhmm uh um uhhuh oh ooh ah aah huh heh hah ha ho wow whoa ugh hmph phew shh".split()
+SOUNDS = (
+    "mm", "mmm", "hmm", "hm", "mhm", "mmhmm", "uh", "um", "uhhuh", "oh", "ooh", "ah", "aah", "huh", "heh", "hah", "ha", "ho", "wow", "whoa", "ugh", "hmph", "phew", "shh",
+)
 
 
 def reference_runs(segments: DataFrame, *, gap_ms: int = 500, max_ms: int = 20_000, min_ms: int = 6000) -> DataFrame:
