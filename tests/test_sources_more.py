@@ -20,6 +20,25 @@ def test_durations(spark, tmp_path):
     assert got == {"a.wav": 1500, "b.wav": 250}
 
 
+def test_levels_of_a_range(spark, tmp_path):
+    x = (np.sin(np.arange(8000 * 200) / 9) * np.linspace(0, 20_000, 8000 * 200)).astype("<i2")
+    both = np.stack([x, -x // 2], 1)
+    for name, sound, channels in (("one", x, 1), ("two", both, 2)):
+        with wave.open(f"{tmp_path}/{name}.wav", "wb") as w:
+            w.setnchannels(channels)
+            w.setsampwidth(2)
+            w.setframerate(8000)
+            w.writeframes(sound.tobytes())
+    for start, end in ((0, None), (1234, 150_100), (199_900, None), (500_000, None)):
+        got = {(r.path[-7:-4], r.frame_no): r.rms for r in src.read_wav_levels(spark, str(tmp_path), start_ms=start, end_ms=end, part=7).collect()}
+        want = {}
+        for name, sound in (("one", x / 32768), ("two", both.mean(1) / 32768)):
+            part = sound[start * 8 : end and end * 8]
+            part = part[: len(part) // 2000 * 2000].reshape(-1, 2000)
+            want |= {(name, k): float(np.sqrt((f * f).mean())) for k, f in enumerate(part)}
+        assert set(got) == set(want) and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+
+
 def test_backup_is_made_once(spark, tmp_path):
     at = f"{tmp_path}/t"
     for n in (3, 2, 1):

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import io
 import json
-import wave
 from datetime import UTC, datetime
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 WORDS = "ARRAY<STRUCT<start: DOUBLE, end: DOUBLE, word: STRING, speaker: STRING, prob: DOUBLE>>"
@@ -72,40 +70,52 @@ def missing_files(wanted: DataFrame, files: DataFrame, *, least: int = 1024) ->
     return wanted.join(have, "file", "left").where(F.coalesce("_n", F.lit(0)) < least).drop("_n")
 
 
-def read_wav_levels(spark: SparkSession, path: str, *, frame_ms: int = 250, start_ms: int = 0, end_ms: int | None = None) -> DataFrame:
-    """(path, frame_no, rms) of 16-bit sound files, read a frame at a time between two moments; part frames are left out."""
+def _little_endian(hexed: Column, at: Column, n: int) -> Column:
+    """The number in ``n`` bytes from byte ``at`` of a text of hex digits."""
+    digits = F.concat(*[F.substring(hexed, at * 2 + (2 * i + 1), F.lit(2)) for i in reversed(range(n))])
+    return F.conv(digits, 16, 10).cast("long")
 
-    def run(batches):
-        for batch in batches:
-            for p, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist(), strict=True):
-                with wave.open(io.BytesIO(content)) as w:
-                    frame = w.getframerate() * frame_ms // 1000
-                    w.setpos(min(w.getframerate() * start_ms // 1000, w.getnframes()))
-                    stop = w.getnframes() if end_ms is None else min(w.getnframes(), w.getframerate() * end_ms // 1000)
-                    out = []
-                    while w.tell() + frame <= stop:
-                        x = np.frombuffer(w.readframes(frame), np.int16).reshape(-1, w.getnchannels()).mean(1) / 32768
-                        out.append(float(np.sqrt((x * x).mean())))
-                yield pa.RecordBatch.from_pydict({"path": [p] * len(out), "frame_no": pa.array(range(len(out)), pa.int64()), "rms": out})
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.wav").load(path).select("path", "content")
-    return files.mapInArrow(run, "path string, frame_no long, rms double")
+def _sound_files(spark: SparkSession, path: str) -> DataFrame:
+    """(path, content, rate, block, channels, data_at, n_bytes) of 16-bit sound files, read from their headers in the JVM."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.wav").load(path).withColumn("_h", F.hex(F.substring("content", 1, 4096)))
+    files = files.withColumns({"_f": ((F.instr("_h", "666D7420") - 1) / 2).cast("int"), "_d": ((F.instr("_h", "64617461") - 1) / 2).cast("int")})
+    h = F.col("_h")
+    files = files.withColumns({"rate": _little_endian(h, F.col("_f") + 12, 4), "block": _little_endian(h, F.col("_f") + 20, 2), "channels": _little_endian(h, F.col("_f") + 10, 2), "data_at": (F.col("_d") + 8).cast("long")})
+    files = files.withColumn("n_bytes", F.least(_little_endian(h, F.col("_d") + 4, 4), F.col("length") - F.col("data_at")))
+    return files.where("_f >= 0 AND _d >= 0 AND rate > 0 AND block > 0").select("path", "content", "rate", "block", "channels", "data_at", "n_bytes")
 
 
 def probe_durations(spark: SparkSession, path: str) -> DataFrame:
-    """(path, duration_ms) of sound files, from their headers and lengths; only the first bytes go to Python."""
+    """(path, duration_ms) of sound files, from their headers and lengths."""
+    f = _sound_files(spark, path)
+    return f.select("path", F.floor(F.col("n_bytes") * 1000 / (F.col("rate") * F.col("block"))).alias("duration_ms"))
+
+
+def read_wav_levels(spark: SparkSession, path: str, *, frame_ms: int = 250, start_ms: int = 0, end_ms: int | None = None, part: int = 240) -> DataFrame:
+    """(path, frame_no, rms) of 16-bit sound files between two moments; part frames are left out.
+
+    The range is cut in the JVM, in parts of ``part`` frames, so that what a Python worker holds is a minute of sound
+    however long the recording is.
+    """
 
     def run(batches):
         for batch in batches:
-            out = []
-            for head, length in zip(batch.column("head").to_pylist(), batch.column("length").to_pylist(), strict=True):
-                data, at = head.find(b"data"), head.find(b"fmt ")
-                rate = int.from_bytes(head[at + 16 : at + 20], "little") if at >= 0 else 0  # bytes a second
-                out.append((min(int.from_bytes(head[data + 4 : data + 8], "little"), length - data - 8)) * 1000 // rate if data >= 0 and rate else None)
-            yield pa.RecordBatch.from_arrays([batch.column("path"), pa.array(out, pa.int64())], names=["path", "duration_ms"])
-
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.wav").load(path)
-    return files.select("path", "length", F.substring("content", 1, 4096).alias("head")).mapInArrow(run, "path string, duration_ms long")
+            for p, first, size, channels, raw in zip(*(batch.column(c).to_pylist() for c in ("path", "first", "size", "channels", "raw")), strict=True):
+                x = np.frombuffer(raw, "<i2").reshape(-1, size, channels).mean(2) / 32768
+                n = len(x)
+                yield pa.RecordBatch.from_pydict({"path": [p] * n, "frame_no": pa.array(range(first, first + n), pa.int64()), "rms": np.sqrt((x * x).mean(1))})
+
+    f = _sound_files(spark, path).withColumn("size", F.floor(F.col("rate") * frame_ms / 1000))  # samples a frame
+    samples = F.floor(F.col("n_bytes") / F.col("block"))
+    begin = F.least(F.floor(F.col("rate") * start_ms / 1000), samples)
+    stop = samples if end_ms is None else F.least(samples, F.floor(F.col("rate") * end_ms / 1000))
+    f = f.withColumn("begin", begin).withColumn("n", F.floor((stop - F.col("begin")) / F.col("size"))).where("n > 0")
+    f = f.withColumn("first", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(part).cast("long"))))
+    frames = F.least(F.col("n") - F.col("first"), F.lit(part).cast("long"))
+    at = F.col("data_at") + (F.col("begin") + F.col("first") * F.col("size")) * F.col("block")
+    cut = F.substring("content", (at + 1).cast("int"), (frames * F.col("size") * F.col("block")).cast("int"))
+    return f.select("path", "first", F.col("size").cast("int").alias("size"), "channels", cut.alias("raw")).mapInArrow(run, "path string, frame_no long, rms double")
 
 
 def backup_once(df: DataFrame, path: str) -> None:
