@@ -68,9 +68,10 @@ def cached_token_counts(
     version = tokenizer_version(path)
     docs = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("content", content_digest(F.col("text")))
     known = read_cache(spark, cache, version)
-    missing = docs.groupBy("content").agg(F.first("text").alias("text"))
-    if known is not None:
-        missing = missing.join(known, "content", "left_anti")
+    wanted = docs
+    if known is not None:  # digests meet the cache first, so that texts it knows need not be moved
+        wanted = docs.join(docs.select("content").distinct().join(known, "content", "left_anti"), "content", "left_semi")
+    missing = wanted.groupBy("content").agg(F.first("text").alias("text"))
 
     def encode(content, text):
         return {"content": content, "tokenizer": [version] * len(text), "n_tokens": counter(path)(text)}
