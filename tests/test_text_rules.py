@@ -1,4 +1,4 @@
-"""Stress, splitting and number rules: the reference's cases by name, and plain Python on random lines."""
+"""Stress, splitting and number rules: known cases, and plain Python on random lines."""
 
 import random
 import re
