@@ -167,6 +167,8 @@ def forms(token: str, model: CharModel | None) -> list[str]:
     bare = token.strip(PUNCTUATION)
     if not bare.isalpha():
         bare = trimmed(token)
+    elif not _REPEAT.search(bare):
+        return [bare]
     spaced = _SPACED.fullmatch(bare)
     if not spaced and not is_disguised(bare):
         return [bare] if bare.isalpha() else _WORD.findall(bare)
@@ -195,7 +197,8 @@ class TokenFeatures(dict):
     """Features of plain tokens, kept up to a bounded number."""
 
     def __missing__(self, token: str) -> tuple[int, ...]:
-        out = tuple(h for w in forms(token, None) for h in word_features(w))
+        words = forms(token, None)
+        out = word_features(words[0]) if len(words) == 1 else tuple(h for w in words for h in word_features(w))
         if len(token) <= KEPT:
             if len(self) >= 150_000:
                 self.clear()
