@@ -7,12 +7,11 @@ import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WORD_BYTES, TokenHashes, bounded_batches, map_rows, mixed, stored, table, words_of
+from .common import WORD_BYTES, TokenHashes, bounded_batches, drop_held, map_rows, mixed, release_memory, stored, table, words_of
 
 WINDOW = 10
 #: Words of benchmark text that are broadcast at most (some 100 bytes each); a larger benchmark is met in a join.
@@ -142,6 +141,7 @@ def mark_overlap(
                     runs.append(_runs(hit))
                 made = [pa.array(n_words, pa.int64()), pa.array(items, pa.list_(pa.string())), pa.array(runs, pa.list_(pa.int64()))]
                 yield pa.RecordBatch.from_arrays([*(rows.column(c) for c in inputs), *made], names=[*inputs, *names])
+        release_memory()
 
     return docs.mapInArrow(run, out.schema)
 
@@ -171,7 +171,9 @@ def _marked_by_join(docs: DataFrame, rows: DataFrame, text_col: str, window: int
     windows = stored(map_rows(rows, windows_of, f"{parts}, item string", 16).distinct(), "overlap-windows")
     lengths = sorted(r[0] for r in windows.select("k").distinct().collect())  # ``window`` of them at most
 
-    def bits(pdf: pd.DataFrame) -> pd.DataFrame:
+    def bits(pdf):
+        import pandas as pd  # only here: a worker without it is smaller by some 50 MB
+
         part = np.zeros(1 << PART_BITS, bool)
         part[pdf["bit"].to_numpy() & ((1 << PART_BITS) - 1)] = True
         return pd.DataFrame({"part": [int(pdf["bit"].iloc[0]) >> PART_BITS], "bits": [np.packbits(part).tobytes()]})
@@ -265,6 +267,7 @@ def rewrite_text(docs: DataFrame, fn: Callable[..., tuple[str | None, bool]], sc
     """Rows with the text ``fn(text, *using) -> (text, keep)``; the other columns of ``schema`` pass through."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_held()
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
                 rows = batch.slice(lo, 256)
@@ -272,6 +275,7 @@ def rewrite_text(docs: DataFrame, fn: Callable[..., tuple[str | None, bool]], sc
                 cols = [pa.array([t for t, _ in done], pa.string()) if c == text_col else rows.column(c) for c in schema.names]
                 out = pa.RecordBatch.from_arrays(cols, names=schema.names)
                 yield out if all(k for _, k in done) else out.filter(pa.array([k for _, k in done]))
+        release_memory()
 
     return docs.mapInArrow(run, schema)
 

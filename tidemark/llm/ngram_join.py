@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import TokenHashes, map_rows, mixed, pa_schema, stored, table, words_of
+from .common import TokenHashes, map_rows, mixed, pa_schema, release_memory, stored, table, words_of
 from .components import components
 
 TREES, TALLEST = 16, 6
@@ -162,6 +162,7 @@ def _candidates(least: float):
                         roots.join(x, y)
                         edges.append((members[x]["node"], members[y]["node"], int(hits[x, y - (k if two else 0)])))
             yield pa.RecordBatch.from_arrays([pa.array([e[c] for e in edges], t) for c, t in enumerate((pa.binary(), pa.binary(), pa.int32()))], schema=schema)
+        release_memory()
 
     return run
 
@@ -213,6 +214,7 @@ def _verified(similarity: float):
                     roots.join(int(i), int(j))
                 keep = [i for i in range(len(members)) if links[i]]
                 yield pa.RecordBatch.from_arrays([pa.array([members[i]["node"] for i in keep], pa.binary()), pa.array([members[roots.root(i)]["node"] for i in keep], pa.binary()), pa.array([int(links[i]) for i in keep], pa.int64())], schema=schema)
+        release_memory()
 
     return run
 

@@ -435,6 +435,7 @@ def encode_pieces(docs: DataFrame, *, text_col: str = "text", ids_col: str = "pi
     schema = docs.select(*inputs).withColumn(ids_col, F.array().cast("array<int>")).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_memory()  # what an earlier stage has left
         encoder = Encoder.kept(path, seed, dropout)
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
