@@ -3,6 +3,7 @@
 import random
 from difflib import SequenceMatcher
 
+import duckdb
 import pytest
 
 from tidemark.plans import catalogue, tracks
@@ -75,3 +76,25 @@ def test_span_rms_of_long_tracks(spark, long_tracks):
                 want[track, k] = round(sum(over) / len(over), 6)
     got = {(r.track, r.ord): r.rms for r in catalogue.QUERIES["span_rms"](spark, folder).collect()}
     assert got == pytest.approx(want)
+
+
+def spoken(spark, folder, rows):
+    spark.createDataFrame(rows, "conv_id long, turn int, role string, text string").write.parquet(f"{folder}/conversations.parquet")
+    return str(folder)
+
+
+def sql_rows(folder, name):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM read_parquet('{folder}/conversations.parquet/*.parquet')")
+    return sorted(con.execute(tracks.SQL[name]).fetchall(), key=str)
+
+
+#: Sounds in the spelling of the SQL, in others, and among words.
+SOUNDS = "Well then. Hmm. Mm-hmm. Haha. That was all. Uh-huh. mhm! Mm-hmm. Hmhm. It was so. Ha ha. Hmm. Mmm."
+
+
+def test_routes_of_sounds_in_the_texts_agree_with_sql(spark, tmp_path):
+    folder = spoken(spark, tmp_path, [(c, t, "user" if t % 2 else "assistant", SOUNDS) for c in range(4) for t in range(6)])
+    got = sorted((tuple(r) for r in catalogue.QUERIES["confidence_routing"](spark, folder).collect()), key=str)
+    assert got == sql_rows(folder, "confidence_routing")
+    assert {r[3] for r in got} == {"paste", "backchannel", "flag", None}

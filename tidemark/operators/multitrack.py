@@ -45,18 +45,22 @@ def quiet_inventions(segments: DataFrame, *, share: float = 0.25) -> DataFrame:
     return hit.where(F.col("level") < share * F.col("_m")).drop("_m")
 
 
-def confidence(segments: DataFrame, words: DataFrame, *, slack_ms: int = 50, paste: float = 0.5, flag: float = 0.65, longest_ms: int = 4000) -> DataFrame:
+def confidence(
+    segments: DataFrame, words: DataFrame, *, slack_ms: int = 50, paste: float = 0.5, flag: float = 0.65, longest_ms: int = 4000, sound: Column | None = None,
+) -> DataFrame:
     """Mean probability of the words inside each segment (null without any) and what follows from it.
 
     ``route`` is ``paste`` for short lines of low confidence, else ``backchannel`` for sounds that are no words, else
     ``flag`` for lines of middling confidence, else null. A segment without words has no confidence, so only its text counts.
+    ``sound`` tells the segments that are sounds where the text's spelling (``non_verbal``) is not to.
     """
     a = segments.select("media", "speaker", "ord", "text", F.col("start_ms").alias("_s"), F.col("end_ms").alias("_e"), (F.col("start_ms") - slack_ms).alias("l_start"), (F.col("end_ms") + slack_ms).alias("l_end"))
     b = words.select("media", "speaker", "prob", F.col("start_ms").alias("r_start"), F.col("end_ms").alias("r_end"))
     met = interval_join(a, b, on=["media", "speaker"]).where("r_start >= l_start AND r_end <= l_end")
     p = met.groupBy("media", "ord").agg(F.avg("prob").alias("conf"))
     low = (F.col("conf") < paste) & (F.col("end_ms") - F.col("start_ms") <= longest_ms)
-    route = F.when(low, "paste").when(non_verbal(F.trim("text")), "backchannel").when(F.col("conf") < flag, "flag")
+    sound = non_verbal(F.trim("text")) if sound is None else sound
+    route = F.when(low, "paste").when(sound, "backchannel").when(F.col("conf") < flag, "flag")
     return segments.join(p, ["media", "ord"], "left").withColumn("route", route)
 
 
