@@ -98,3 +98,10 @@ def test_routes_of_sounds_in_the_texts_agree_with_sql(spark, tmp_path):
     got = sorted((tuple(r) for r in catalogue.QUERIES["confidence_routing"](spark, folder).collect()), key=str)
     assert got == sql_rows(folder, "confidence_routing")
     assert {r[3] for r in got} == {"paste", "backchannel", "flag", None}
+
+
+def test_cut_list_of_sounds_and_missing_speakers_agrees_with_sql(spark, tmp_path):
+    folder = spoken(spark, tmp_path, [(c, t, None if t % 5 == 3 else "user" if t % 2 else "assistant", SOUNDS) for c in range(4) for t in range(6)])
+    got = sorted((tuple(r) for r in catalogue.QUERIES["cut_list"](spark, folder).collect()), key=str)
+    assert got == sql_rows(folder, "cut_list")
+    assert any(r[4] is None for r in got) and {r[2] for r in got} == {"low_conf", "backchannel"}

@@ -91,11 +91,11 @@ def cut_list(routed: DataFrame) -> DataFrame:
     """(media, ord, label, copy, file, start_ms, length_ms) of what is pasted from the recording instead of being voiced.
 
     ``routed`` are segments with a ``route`` of ``multitrack.confidence`` and a ``copy`` of ``paste_source``. Sounds
-    always come from the raw copy: cleaning mutes them.
+    always come from the raw copy: cleaning mutes them. Without a speaker the file has no name (null).
     """
     s = routed.where(F.col("route").isin("paste", "backchannel"))
     label = F.when(F.col("route") == "paste", "low_conf").otherwise("backchannel")
-    name = F.format_string("%s_%06d.wav", F.col("speaker").cast("string"), F.floor(F.col("start_ms") / 100))
+    name = F.when(F.col("speaker").isNotNull(), F.format_string("%s_%06d.wav", F.col("speaker").cast("string"), F.floor(F.col("start_ms") / 100)))
     return s.select("media", "ord", label.alias("label"), F.when(F.col("route") == "paste", F.col("copy")).otherwise("raw").alias("copy"), name.alias("file"), "start_ms", (F.col("end_ms") - F.col("start_ms")).alias("length_ms"))
 
 
