@@ -1,9 +1,11 @@
 """Training-data operators on what a cut once left out."""
 
+import hashlib
 import itertools
 import random
 import re
 import time
+import zlib
 
 import numpy as np
 import pytest
@@ -165,3 +167,23 @@ def test_language_query_prunes_no_rare_grams(spark, tmp_path, monkeypatch):
     want = rows()
     monkeypatch.setattr(language_id, "isqrt", lambda n: 50)  # as with 2,500 * 10**8 characters
     assert rows() == want
+
+
+def test_media_columns_move_no_payload(spark, tmp_path, monkeypatch):
+    texts = [None, "", "same " * 300, "same " * 300, "é" * 288, "other"] * 3
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    described, plans = media_sequences.describe_media, []
+
+    def watched(media):
+        plans.append(media._jdf.queryExecution().executedPlan().toString())
+        return described(media)
+
+    monkeypatch.setattr(media_sequences, "describe_media", watched)
+    got = {x.doc_id: x for x in media_sequences.op4_media_columns(spark, str(tmp_path)).collect()}
+    assert plans and "Exchange" not in plans[0]
+    assert len(got) == len(texts)
+    for i, text in enumerate(texts):
+        raw = (text or "").encode()
+        payload = raw + b"\xff" * (max(-(-len(raw) // 576), 1) * 576 - len(raw))
+        assert (got[i].n_bytes, got[i].payload_bytes, got[i].payload_sha256, got[i].tail_crc32) == (len(raw), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]))
+        assert got[i][1:] == got[i % 6][1:]

@@ -243,7 +243,7 @@ def op4_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document is a page whose figure refers by digest to the grey map that holds its text."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("data", stored_form(payload_of(F.col("text"))))
     docs = docs.withColumn("digest", F.sha2("data", 256))
-    media = describe_media(docs.groupBy("digest").agg(F.first("data").alias("data")))
+    media = describe_media(docs.select("digest", "data"))  # copies meet as rows of features: no payload is shuffled
     size = F.octet_length(F.coalesce("text", F.lit(""))).cast("string")
     page = F.concat(F.lit("<article><p>stored text</p><figure><img src=\"digest:"), F.col("digest"), F.lit("\"><figcaption>"), size, F.lit(" bytes</figcaption></figure></article>"))
     found = resolve_media(interleaved_sequences(docs.select("doc_id", page.alias("html")), id_col="doc_id"), media)
